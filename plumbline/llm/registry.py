@@ -1,14 +1,17 @@
 """Queries of the corpus operators and the DuckDB SQL of those that SQL can express."""
 
-from plumbline.llm import chat, mixing, toxicity, warc
+from plumbline.llm import chat, html_crf, mixing, topk, toxicity, warc
 
 QUERIES = {
     "op2_toxicity_nnpu": toxicity.op2_toxicity_nnpu,
+    "op4_impact_topk": topk.op4_impact_topk,
     "op5_chat_snapshots": chat.op5_chat_snapshots,
+    "op6_html_crf": html_crf.op6_html_crf,
     "op8_pareto_mixing": mixing.op8_pareto_mixing,
     "op9_warc_capture_index": warc.op9_warc_capture_index,
 }
 SQL = {
+    "op4_impact_topk": topk.SQL,
     "op5_chat_snapshots": chat.SQL,
     "op9_warc_capture_index": warc.SQL,
 }
