@@ -1,8 +1,9 @@
 """Queries of the corpus operators and the DuckDB SQL of those that SQL can express."""
 
-from plumbline.llm import chat, html_crf, mixing, topk, toxicity, warc
+from plumbline.llm import chat, html_crf, jaccard, mixing, topk, toxicity, warc
 
 QUERIES = {
+    "op10_shingle_jaccard": jaccard.op10_shingle_jaccard,
     "op2_toxicity_nnpu": toxicity.op2_toxicity_nnpu,
     "op4_impact_topk": topk.op4_impact_topk,
     "op5_chat_snapshots": chat.op5_chat_snapshots,
@@ -11,6 +12,7 @@ QUERIES = {
     "op9_warc_capture_index": warc.op9_warc_capture_index,
 }
 SQL = {
+    "op10_shingle_jaccard": jaccard.SQL,
     "op4_impact_topk": topk.SQL,
     "op5_chat_snapshots": chat.SQL,
     "op9_warc_capture_index": warc.SQL,
