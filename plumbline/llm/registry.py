@@ -1,6 +1,6 @@
 """Queries of the corpus operators and the DuckDB SQL of those that SQL can express."""
 
-from plumbline.llm import chat, html_crf, jaccard, mixing, topk, toxicity, warc
+from plumbline.llm import chat, html_crf, jaccard, mixing, suffix, topk, toxicity, warc
 
 QUERIES = {
     "op10_shingle_jaccard": jaccard.op10_shingle_jaccard,
@@ -8,6 +8,7 @@ QUERIES = {
     "op4_impact_topk": topk.op4_impact_topk,
     "op5_chat_snapshots": chat.op5_chat_snapshots,
     "op6_html_crf": html_crf.op6_html_crf,
+    "op7_suffix_dedup": suffix.op7_suffix_dedup,
     "op8_pareto_mixing": mixing.op8_pareto_mixing,
     "op9_warc_capture_index": warc.op9_warc_capture_index,
 }
