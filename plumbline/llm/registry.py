@@ -1,11 +1,12 @@
 """Queries of the corpus operators and the DuckDB SQL of those that SQL can express."""
 
-from plumbline.llm import chat, html_crf, jaccard, mixing, spans, suffix, topk, toxicity, warc
+from plumbline.llm import chat, decontam, html_crf, jaccard, mixing, spans, suffix, topk, toxicity, warc
 
 QUERIES = {
     "op1_sentence_spans": spans.op1_sentence_spans,
     "op10_shingle_jaccard": jaccard.op10_shingle_jaccard,
     "op2_toxicity_nnpu": toxicity.op2_toxicity_nnpu,
+    "op3_latent_decontamination": decontam.op3_latent_decontamination,
     "op4_impact_topk": topk.op4_impact_topk,
     "op5_chat_snapshots": chat.op5_chat_snapshots,
     "op6_html_crf": html_crf.op6_html_crf,
