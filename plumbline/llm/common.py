@@ -23,11 +23,23 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/plumbline/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark's setting that deletes the shuffle files of an execution when it has ended.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: a lost executor costs a re-read, not the lineage before it."""
+    """``df`` as a Parquet table in the shared folder: a lost executor costs a re-read, not the lineage before it.
+
+    Once the table is there, the shuffle files that made it are of no use and go.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEAN, "false")
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

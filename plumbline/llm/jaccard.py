@@ -23,7 +23,6 @@ an empty table gives an empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import heapq
 from bisect import bisect_left
@@ -141,12 +140,6 @@ def search(query: np.ndarray, members: list[np.ndarray], sim: tuple[int, int] =
     return divide_skip([x.tolist() for x in np.split(member, cuts)], max(1, min(need)), need)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished stages whose results are written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def components(links: DataFrame) -> DataFrame:
     """(ref, comp) of every node of ``links`` (a, b): comp is the smallest ref that links lead to.
 
@@ -167,7 +160,6 @@ def components(links: DataFrame) -> DataFrame:
         hop = lambda df, c: df.join(parent.select(F.col("a").alias(c), F.col("up").alias("_up")), c, "left").withColumn(c, F.coalesce("_up", c)).drop("_up")
         labels = written(hop(labels, "comp"), "cc")
         edges = written(hop(hop(edges, "a"), "b").where("a <> b").distinct(), "cc-edges")
-        release(spark)
 
 
 def _sets(rows: DataFrame, frequent: list[int], sim: tuple[int, int], k: int) -> DataFrame:
@@ -250,13 +242,10 @@ def join_components(documents: DataFrame, sim: tuple[int, int] = SIM, k: int = W
     full = docs.where("n > 0")
     unique = full.groupBy("set_hi", "set_lo").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.min("doc_id").alias("least_id"), F.min(F.struct("key_hi", "key_lo")).alias("key"))
     unique = written(unique.withColumn("ref", F.monotonically_increasing_id()), "jaccard-sets")
-    release(spark)
     postings = unique.select("ref", "n", F.explode("prefix").alias("token"))
     shared = written(unique.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token"), "jaccard-shared")
-    release(spark)
     # lists that one set alone is in cannot give a candidate
     lists = written(postings.join(shared, "token"), "jaccard-lists")
-    release(spark)
     active = lists.select("ref").distinct().join(unique.select("ref", "key.key_hi", "key.key_lo"), "ref")
     wanted = rows.select("key_hi", "key_lo", "text").join(active, ["key_hi", "key_lo"]).groupBy("ref").agg(F.first("text").alias("text"))
 
@@ -268,7 +257,6 @@ def join_components(documents: DataFrame, sim: tuple[int, int] = SIM, k: int = W
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingles(t, cache, k).tobytes() for t in part.column(1).to_pylist()], pa.binary())], names=["ref", "raw"])
 
     sets = written(wanted.mapInArrow(whole, "ref long, raw binary"), "jaccard-active")
-    release(spark)
     tried = links = comps = None
     current = lists.withColumn("comp", F.col("ref"))
     for turn in range(PIVOT_ROUNDS + 1):
@@ -296,11 +284,9 @@ def join_components(documents: DataFrame, sim: tuple[int, int] = SIM, k: int = W
             continue
         tried = pairs if tried is None else tried.union(pairs)
         found = written(_verify(pairs, sets, sim), "jaccard-links")
-        release(spark)
         links = found if links is None else links.union(found)
         comps = components(links)
         current = written(lists.join(comps, "ref", "left").withColumn("comp", F.coalesce("comp", "ref")), "jaccard-current")
-        release(spark)
     if links is None:
         named = unique.select("set_hi", "set_lo", F.col("least_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     else:

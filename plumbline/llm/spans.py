@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import content_key, table, written
-from plumbline.llm.jaccard import release
 
 SENTENCES = 3
 WORDS = 12
@@ -91,10 +90,8 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     found = rows.mapInArrow(_emit, "holder long, key_hi long, key_lo long, place int, n int, s_hi long, s_lo long")
     where = F.struct("holder", "key_hi", "key_lo", "place")
     many = written(found.groupBy("s_hi", "s_lo").agg(F.count("*").alias("c"), F.min(where).alias("first")).where("c > 1").select("s_hi", "s_lo", "first"), "spans-repeated")
-    release(spark)
     later = found.join(many, ["s_hi", "s_lo"]).where(where != F.col("first"))
     out = written(later.groupBy("holder", "key_hi", "key_lo").agg(F.collect_set(F.struct("place", "n")).alias("at")), "spans-removed")
-    release(spark)
     return out
 
 

@@ -29,7 +29,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import content_key, table, written
-from plumbline.llm.jaccard import release
 
 LENGTH = 200
 GRAM = 64
@@ -278,12 +277,9 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     found = long_enough.mapInArrow(_emit_anchors(length, gram), "anchor long, key_hi long, key_lo long, pos int, first int, last int")
     place = F.xxhash64("key_hi", "key_lo", "pos")
     twice = written(found.groupBy("anchor").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("anchor"), "suffix-anchors")
-    release(spark)
     places = written(found.join(twice, "anchor").distinct().select("key_hi", "key_lo", "pos", "first", "last", "anchor", F.lit(1).cast("long").alias("weight")), "suffix-places")
-    release(spark)
     keys = places.select("key_hi", "key_lo").distinct()
     held = written(long_enough.join(keys, ["key_hi", "key_lo"]).groupBy("key_hi", "key_lo").agg(F.first("data").alias("data")), "suffix-texts")
-    release(spark)
     results: list[DataFrame] = []
     width: int | None = None
     for level in range(len(WIDTHS) + 1):
@@ -306,7 +302,6 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
             buckets = -(-todo_rows // BUCKET)
             merged = cut.withColumn("bucket", F.pmod(F.xxhash64(*group), F.lit(buckets))).groupBy("bucket").applyInArrow(_merge_bucket(length), "key_hi long, key_lo long, start int, windows int")
             results.append(written(merged, "suffix-merged"))
-        release(spark)
         if last:
             break
         hot = single.where(F.col("d") > HOT)
