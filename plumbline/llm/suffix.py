@@ -277,7 +277,9 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     found = long_enough.mapInArrow(_emit_anchors(length, gram), "anchor long, key_hi long, key_lo long, pos int, first int, last int")
     place = F.xxhash64("key_hi", "key_lo", "pos")
     twice = written(found.groupBy("anchor").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("anchor"), "suffix-anchors")
-    places = written(found.join(twice, "anchor").distinct().select("key_hi", "key_lo", "pos", "first", "last", "anchor", F.lit(1).cast("long").alias("weight")), "suffix-places")
+    # the copies of a text go in a step of their own: a join that nothing is grouped behind can be split where it is hot
+    held_places = written(found.join(twice, "anchor"), "suffix-found")
+    places = written(held_places.distinct().select("key_hi", "key_lo", "pos", "first", "last", "anchor", F.lit(1).cast("long").alias("weight")), "suffix-places")
     keys = places.select("key_hi", "key_lo").distinct()
     held = written(long_enough.join(keys, ["key_hi", "key_lo"]).groupBy("key_hi", "key_lo").agg(F.first("data").alias("data")), "suffix-texts")
     results: list[DataFrame] = []
