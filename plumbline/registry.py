@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple = ()
+from plumbline import query
+
+for _name in ("positional", "windows", "aggregates", "sampling", "sets", "rules", "retrieve", "evaluate", "curate", "layout", "parsing", "lookup", "store"):
+    importlib.import_module(f"plumbline.plans.{_name}")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for m in MODULES for name, f in m.QUERIES.items()}
+    return dict(query.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for m in MODULES for name, sql in m.SQL.items()}
+    return dict(query.SQL)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return next(iter(queries().values()))(spark, sf_dir)
+    return query.QUERIES["interpolate_bracketed"](spark, sf_dir)
