@@ -153,13 +153,15 @@ def components(links: DataFrame) -> DataFrame:
         parent = written(both.groupBy("a").agg(F.min("b").alias("up")).where("up < a"), "cc-parents")
         if parent.isEmpty():
             return labels
-        for _ in range(3):
+        while True:
             above = parent.select(F.col("a").alias("up"), F.col("up").alias("top"))
-            parent = parent.join(above, "up", "left").select("a", F.coalesce("top", "up").alias("up"))
-        parent = written(parent, "cc-parents")
+            parent = written(parent.join(above, "up", "left").select("a", F.coalesce("top", "up").alias("up"), F.col("top").isNotNull().alias("moved")), "cc-parents")
+            if parent.where("moved").isEmpty():
+                break
+            parent = parent.select("a", "up")
         hop = lambda df, c: df.join(parent.select(F.col("a").alias(c), F.col("up").alias("_up")), c, "left").withColumn(c, F.coalesce("_up", c)).drop("_up")
-        labels = written(hop(labels, "comp"), "cc")
-        edges = written(hop(hop(edges, "a"), "b").where("a <> b").distinct(), "cc-edges")
+        labels = written(hop(labels, "comp").select("ref", "comp"), "cc")
+        edges = written(hop(hop(edges, "a"), "b").where("a <> b").select("a", "b").distinct(), "cc-edges")
 
 
 def _sets(rows: DataFrame, frequent: list[int], sim: tuple[int, int], k: int) -> DataFrame:
@@ -273,8 +275,13 @@ def join_components(documents: DataFrame, sim: tuple[int, int] = SIM, k: int = W
             right = open_lists.select("token", F.col("ref").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"), (F.col("comp") == F.col("main")).alias("in_main"))
             size = F.lit(sim[1]) * F.least("nx", "ny") >= F.lit(sim[0]) * F.greatest("nx", "ny")
             met = left.join(right, "token").where((F.col("cx") != F.col("cy")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & size)
+        if turn == PIVOT_ROUNDS:
+            # lists differ in which side is outside: a pair's lists are counted whichever way round they give it
+            swap = F.col("x") > F.col("y")
+            pick = lambda p, q: F.when(swap, F.col(q)).otherwise(F.col(p))
+            met = met.select(pick("x", "y").alias("x"), pick("y", "x").alias("y"), pick("nx", "ny").alias("nx"), pick("ny", "nx").alias("ny"))
         pairs = met.groupBy("x", "y", "nx", "ny").agg(F.count("*").alias("c")).where(_reach(F.col("c"), F.col("nx"), F.col("ny"), sim))
-        pairs = pairs.select("x", "y", F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")).dropDuplicates(["lo", "hi"]).drop("lo", "hi") if turn < PIVOT_ROUNDS else pairs.select("x", "y")
+        pairs = pairs.select("x", "y", F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")).dropDuplicates(["lo", "hi"])
         pairs = pairs.select(F.col("x").alias("a"), F.col("y").alias("b"))
         if tried is not None:
             # a pair that was searched before, either way round, has its answer
