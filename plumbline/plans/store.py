@@ -23,7 +23,7 @@ def content_hash_first_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").groupBy(F.sha2("text", 256).alias("sha")).agg(F.min("doc_id").alias("doc_id"))
 
 
-@query("SELECT p_partkey FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R')")
+@query("SELECT p_partkey FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R' AND l_quantity > 40)")
 def insert_or_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_partkey").alias("p_partkey"))
+    known = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R' and l_quantity > 40").select(F.col("l_partkey").alias("p_partkey"))
     return table(spark, sf_dir, "part").select("p_partkey").join(known, "p_partkey", "left_anti")

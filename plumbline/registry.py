@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plumbline import query
 
-for _name in ("positional", "windows", "aggregates", "sampling", "sets", "rules", "retrieve", "evaluate", "curate", "layout", "parsing", "lookup", "store"):
+for _name in ("positional", "windows", "joins", "aggregates", "sampling", "sets", "rules", "retrieve", "evaluate", "curate", "layout", "parsing", "lookup", "store"):
     importlib.import_module(f"plumbline.plans.{_name}")
 
 
