@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +29,23 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Tables written inside the scratches that are open now.
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables written inside, but for those of ``written(..., keep=True)``: a result must not be lazy on them."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: a lost executor costs a re-read, not the lineage before it.
 
     Once the table is there, the shuffle files that made it are of no use and go.
@@ -40,6 +58,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(CLEAN, before)
+    if _OPEN and not keep:
+        _OPEN[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

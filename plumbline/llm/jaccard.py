@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import content_key, table, written
+from plumbline.llm.common import content_key, scratch, table, written
 
 WORDS = 5
 #: The similarity as a fraction, so that all bounds are exact integers.
@@ -145,7 +145,6 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round hooks a root to its smallest neighbour, flattens, and contracts the links; roots at least halve.
     """
-    spark = links.sparkSession
     labels = written(links.select(F.col("a").alias("ref")).union(links.select("b")).distinct().withColumn("comp", F.col("ref")), "cc")
     edges = links.select("a", "b")
     while True:
@@ -237,7 +236,11 @@ def _verify(pairs: DataFrame, sets: DataFrame, sim: tuple[int, int]) -> DataFram
 
 def join_components(documents: DataFrame, sim: tuple[int, int] = SIM, k: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id and n_links (verified links of its set; copies not counted) for every row."""
-    spark = documents.sparkSession
+    with scratch(documents.sparkSession):
+        return written(_join_components(documents, sim, k), "jaccard-result", keep=True)
+
+
+def _join_components(documents: DataFrame, sim: tuple[int, int], k: int) -> DataFrame:
     text = F.col("text").cast("string")
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), *content_key(F.coalesce(text, F.lit(""))), text.alias("text"))
     docs = written(_sets(rows, frequent_shingles(rows, k), sim, k), "jaccard-docs")
@@ -314,7 +317,9 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` whose id names their component, all columns; rows without words stay."""
     kept = join_components(documents).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
     rows = documents.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    # rows of one id: texts are dealt out again only if there are any
+    twice = documents.groupBy("doc_id").count().where("count > 1")
+    return rows if twice.isEmpty() else rows.dropDuplicates(["doc_id", "text"])
 
 
 SQL = r"""

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import content_key, table, written
+from plumbline.llm.common import content_key, scratch, table, written
 
 SENTENCES = 3
 WORDS = 12
@@ -85,14 +85,13 @@ NO_ID = (1 << 63) - 1
 
 def repeated_spans(documents: DataFrame) -> DataFrame:
     """(key_hi, key_lo, holder, at: array<struct<place, n>>): spans of each text that an earlier place holds already."""
-    spark = documents.sparkSession
     rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("holder"), *content_key(F.coalesce(F.col("text").cast("string"), F.lit(""))), F.col("text").cast("string").alias("text"))
     found = rows.mapInArrow(_emit, "holder long, key_hi long, key_lo long, place int, n int, s_hi long, s_lo long")
     where = F.struct("holder", "key_hi", "key_lo", "place")
-    many = written(found.groupBy("s_hi", "s_lo").agg(F.count("*").alias("c"), F.min(where).alias("first")).where("c > 1").select("s_hi", "s_lo", "first"), "spans-repeated")
-    later = found.join(many, ["s_hi", "s_lo"]).where(where != F.col("first"))
-    out = written(later.groupBy("holder", "key_hi", "key_lo").agg(F.collect_set(F.struct("place", "n")).alias("at")), "spans-removed")
-    return out
+    with scratch(documents.sparkSession):
+        many = written(found.groupBy("s_hi", "s_lo").agg(F.count("*").alias("c"), F.min(where).alias("first")).where("c > 1").select("s_hi", "s_lo", "first"), "spans-repeated")
+        later = found.join(many, ["s_hi", "s_lo"]).where(where != F.col("first"))
+        return written(later.groupBy("holder", "key_hi", "key_lo").agg(F.collect_set(F.struct("place", "n")).alias("at")), "spans-removed", keep=True)
 
 
 def _remove(columns: list[str]):
@@ -123,7 +122,6 @@ def _remove(columns: list[str]):
 
 def remove_repeats(documents: DataFrame) -> DataFrame:
     """All rows and columns of ``documents`` with the repeated sentences out of ``text``, and _sentences, _removed."""
-    spark = documents.sparkSession
     at = repeated_spans(documents)
     columns = documents.columns
     text = F.col("text").cast("string")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import content_key, table, written
+from plumbline.llm.common import content_key, scratch, table, written
 
 LENGTH = 200
 GRAM = 64
@@ -271,7 +271,6 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     """``texts``: key_hi, key_lo, data (one or more rows a key). Returns the texts of step 2 and (key, start, windows).
 
     Every returned window of ``length`` bytes occurs elsewhere, in another text or at another place of its own."""
-    spark = texts.sparkSession
     group = ["anchor", "cut", "core"]
     long_enough = texts.where(F.octet_length("data") >= length)
     found = long_enough.mapInArrow(_emit_anchors(length, gram), "anchor long, key_hi long, key_lo long, pos int, first int, last int")
@@ -342,10 +341,12 @@ def _analysed(documents: DataFrame, length: int) -> tuple[DataFrame, DataFrame,
     data = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8")
     rows = documents.withColumns(dict(zip(("_hi", "_lo"), content_key(F.coalesce(F.col("text").cast("string"), F.lit(""))), strict=True))).withColumn("_data", data)
     texts = rows.select(F.col("_hi").alias("key_hi"), F.col("_lo").alias("key_lo"), F.col("_data").alias("data"))
-    copies = written(texts.groupBy("key_hi", "key_lo").agg(F.count("*").alias("copies")).where("copies > 1"), "suffix-copies")
-    held, ranges = repeated_ranges(texts, length)
-    per_text = ranges.groupBy("key_hi", "key_lo").agg(F.collect_list(F.struct("start", "windows")).alias("at"))
-    cut = written(held.join(per_text, ["key_hi", "key_lo"]).select("key_hi", "key_lo", "data", "at").mapInArrow(_cut(length), "key_hi long, key_lo long, n_removed long, n_spans long, kept binary"), "suffix-cut")
+    copies = written(texts.groupBy("key_hi", "key_lo").agg(F.count("*").alias("copies")).where("copies > 1"), "suffix-copies", keep=True)
+    with scratch(documents.sparkSession):
+        held, ranges = repeated_ranges(texts, length)
+        per_text = ranges.groupBy("key_hi", "key_lo").agg(F.collect_list(F.struct("start", "windows")).alias("at"))
+        left = held.join(per_text, ["key_hi", "key_lo"]).select("key_hi", "key_lo", "data", "at").mapInArrow(_cut(length), "key_hi long, key_lo long, n_removed long, n_spans long, kept binary")
+        cut = written(left, "suffix-cut", keep=True)
     return rows, copies, cut
 
 
