@@ -8,7 +8,7 @@ sets of n and m shingles reach the similarity when they share at least T = ceil(
    one keeps common passages out of the prefixes.
 2. In each inverted list of the index a pivot stands for the rest: (pivot, member) is a candidate if the lists they
    share leave T within reach. Linked members need no further pair among themselves, so a group of thousands of near
-   copies costs a few searches, not its square. Three rounds use different pivots; a last one takes every pair of list
+   copies costs a few searches, not its square. Two rounds use different pivots; a last one takes every pair of list
    members that are still in different components, which makes the result exact.
 3. Search: for a query set, ``divide_skip`` heap-merges the short inverted lists of its candidates, probes the long ones
    by bisection, and keeps those that reach T.
@@ -41,7 +41,7 @@ WORDS = 5
 SIM = (4, 5)
 #: One text in SAMPLE is read for the order of shingles; those found in at least OFTEN of them go last, at most MOST.
 SAMPLE, OFTEN, MOST = 16, 6, 100_000
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
 CHUNK = 256
 CACHE = 300_000
 
@@ -251,8 +251,6 @@ def _join_components(documents: DataFrame, sim: tuple[int, int], k: int) -> Data
     shared = written(unique.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token"), "jaccard-shared")
     # lists that one set alone is in cannot give a candidate
     lists = written(postings.join(shared, "token"), "jaccard-lists")
-    active = lists.select("ref").distinct().join(unique.select("ref", "key.key_hi", "key.key_lo"), "ref")
-    wanted = rows.select("key_hi", "key_lo", "text").join(active, ["key_hi", "key_lo"]).groupBy("ref").agg(F.first("text").alias("text"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _Words()
@@ -261,7 +259,13 @@ def _join_components(documents: DataFrame, sim: tuple[int, int], k: int) -> Data
                 part = batch.slice(start, 500)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingles(t, cache, k).tobytes() for t in part.column(1).to_pylist()], pa.binary())], names=["ref", "raw"])
 
-    sets = written(wanted.mapInArrow(whole, "ref long, raw binary"), "jaccard-active")
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """Whole sets, made again from the texts, of the members of candidate pairs alone."""
+        refs = pairs.select(F.col("a").alias("ref")).union(pairs.select("b")).distinct()
+        keys = refs.join(unique.select("ref", "key.key_hi", "key.key_lo"), "ref")
+        texts = rows.select("key_hi", "key_lo", "text").join(keys, ["key_hi", "key_lo"]).groupBy("ref").agg(F.first("text").alias("text"))
+        return written(texts.mapInArrow(whole, "ref long, raw binary"), "jaccard-members")
+
     tried = links = comps = None
     current = lists.withColumn("comp", F.col("ref"))
     for turn in range(PIVOT_ROUNDS + 1):
@@ -293,7 +297,8 @@ def _join_components(documents: DataFrame, sim: tuple[int, int], k: int) -> Data
         if pairs.isEmpty():
             continue
         tried = pairs if tried is None else tried.union(pairs)
-        found = written(_verify(pairs, sets, sim), "jaccard-links")
+        with scratch(documents.sparkSession):
+            found = written(_verify(pairs, sets_of(pairs), sim), "jaccard-links", keep=True)
         links = found if links is None else links.union(found)
         comps = components(links)
         current = written(lists.join(comps, "ref", "left").withColumn("comp", F.coalesce("comp", "ref")), "jaccard-current")
