@@ -8,7 +8,7 @@ sets of n and m shingles reach the similarity when they share at least T = ceil(
    one keeps common passages out of the prefixes.
 2. In each inverted list of the index a pivot stands for the rest: (pivot, member) is a candidate if the lists they
    share leave T within reach. Linked members need no further pair among themselves, so a group of thousands of near
-   copies costs a few searches, not its square. Two rounds use different pivots; a last one takes every pair of list
+   copies costs a few searches, not its square. PIVOT_ROUNDS rounds use different pivots; a last one takes every pair of list
    members that are still in different components, which makes the result exact.
 3. Search: for a query set, ``divide_skip`` heap-merges the short inverted lists of its candidates, probes the long ones
    by bisection, and keeps those that reach T.
@@ -41,7 +41,7 @@ WORDS = 5
 SIM = (4, 5)
 #: One text in SAMPLE is read for the order of shingles; those found in at least OFTEN of them go last, at most MOST.
 SAMPLE, OFTEN, MOST = 16, 6, 100_000
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 5
 CHUNK = 256
 CACHE = 300_000
 
