@@ -4,7 +4,8 @@ Terms are the words of the benchmark (hashed to TERMS buckets beyond that many).
 words for the document frequencies, and a distributed randomised SVD of the TF-IDF passages gives the latent space: one
 pass adds Y = A^T(A G) over the partitions for a random G, and the singular vectors of A's best approximation in that
 sketch (Nystrom: Y (G^T Y)^-1 Y^T) are found on the driver. Frequent terms (in more than COMMON of the passages) are
-left out.
+left out, but for the rarest of each item that carry SHARE of its weight: an item that leaks into many passages makes all
+its own words frequent, and is still found by them.
 
 Every window of every text, and every item, is projected. A window is a candidate for an item if their cosine reaches
 COSINE and the window's part along the item is WEIGHT of the item itself, which a few chance words cannot give; around it the longest common subsequence of words (bit-parallel) is found. An item leaks if SEQUENCE of its
@@ -40,6 +41,7 @@ WINDOW = BLOCK * SCALES[-1]
 TERMS = 1 << 16
 RANK = 64
 COMMON = 0.01
+SHARE = 0.75
 COSINE = 0.5
 WEIGHT = 0.4
 SEQUENCE, PARAPHRASE, ANSWER = 0.8, 0.65, 0.6
@@ -142,6 +144,17 @@ class Space:
     masks: list[dict[str, int]] = field(default_factory=list)
 
 
+def kept_terms(items: list[np.ndarray], df: np.ndarray, n: float, idf: np.ndarray) -> np.ndarray:
+    """The terms that are not frequent, and of each item the rarest ones that carry SHARE of its weight."""
+    keep = df <= max(COMMON * n, 2)
+    for own in items:
+        own = np.unique(own)
+        own = own[np.argsort(-idf[own], kind="stable")]
+        weight = np.cumsum(idf[own] ** 2)
+        keep[own[: np.searchsorted(weight, SHARE * weight[-1]) + 1]] = True
+    return keep
+
+
 def fit(texts: DataFrame, items: list[tuple[int, str]], rank: int = RANK, seed: int = 1) -> Space | None:
     items = [(i, t) for i, t in items if t and any(words_of(t))]
     if not items:
@@ -164,8 +177,10 @@ def fit(texts: DataFrame, items: list[tuple[int, str]], rank: int = RANK, seed:
 
     counts = _add_up(texts, frequency, size, 2)
     df, n = counts[:, 0], counts[0, 1]
-    idf = np.log((1 + n) / (1 + df))
-    keep = df <= max(COMMON * n, 2)
+    # above 0 also for a term in every passage
+    idf = np.log1p(n / (1 + df))
+    words = [[w for w in words_of(t) if w] for _, t in items]
+    keep = kept_terms([np.array([terms[w] for w in own]) for own in words], df, n, idf)
     rng = np.random.default_rng(seed)
     rank = min(rank, size)
 
@@ -200,7 +215,6 @@ def fit(texts: DataFrame, items: list[tuple[int, str]], rank: int = RANK, seed:
     root = np.linalg.cholesky((small + small.T) / 2 + shift * np.eye(rank))
     v, _, _ = np.linalg.svd(np.linalg.solve(root, y.T).T, full_matrices=False)
     rows = (v * (idf * keep)[:, None]).astype(np.float32)
-    words = [[w for w in words_of(t) if w] for _, t in items]
     answers = [[w for w in words_of(t.strip().split("\n")[-1]) if w] or own for (_, t), own in zip(items, words, strict=True)]
     vectors = np.zeros((len(items), rank), np.float32)
     for k, own in enumerate(words):

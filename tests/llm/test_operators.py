@@ -136,6 +136,16 @@ def test_decontamination(spark):
     assert decontam.leaks(docs(spark, []), bench).count() == 0
 
 
+@pytest.mark.parametrize(("n", "length", "held"), [(900, 60, 300), (100, 60, 3), (20, 0, 20)])
+def test_decontamination_of_a_widespread_item(spark, n, length, held):
+    """One item in a third of the documents, in three of a table of about 200 passages, and alone in every document."""
+    rng = random.Random(4)
+    items = [(k, words(rng, 20) + ".\n" + words(rng, 10)) for k in range(8)]
+    rows = [(i, " ".join([words(rng, length), items[3][1] if i < held else "", words(rng, 8) if length else ""]), "a") for i in range(n)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(docs(spark, rows), bench).collect()} == {(i, 3) for i in range(held)}
+
+
 def test_lcs():
     def plain(a, b):
         t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
