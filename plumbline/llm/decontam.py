@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import table
 
 #: Windows start every BLOCK words and are SCALES blocks long; passages for the statistics are as long as the longest.
+#: For longer items the scales are doubled until the longest is covered; those windows start every eighth of their length.
 BLOCK = 8
 SCALES = (2, 4)
 WINDOW = BLOCK * SCALES[-1]
@@ -248,9 +249,16 @@ class Matcher:
     def __init__(self, space: Space):
         self.space, self.terms = space, Terms(space.terms)
         self.norms = np.maximum(np.linalg.norm(space.vectors, axis=1), 1e-9)
-        self.least = float(WEIGHT * self.norms.min())
         self.unit = (space.vectors / self.norms[:, None]).astype(np.float32)
         self.masks: dict[int, tuple] = {}
+        # the shortest scale that covers an item, in words; a scale beyond SCALES is compared with the items it is needed for
+        self.covers = np.array([max(WINDOW, BLOCK << max(0, (-(-len(w) // BLOCK) - 1).bit_length())) for w in space.words])
+        self.scales = list(SCALES)
+        while self.scales[-1] * BLOCK < self.covers.max():
+            self.scales.append(2 * self.scales[-1])
+        #: Texts are filled up so that no window reaches into the next one; where windows are long, fewer are taken at once.
+        self.pad = self.scales[-1] * BLOCK
+        self.step = max(1, min(500, (1 << 19) // self.pad))
 
     def candidates(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(first word of the window, item, cosine), in order of the window."""
@@ -262,22 +270,25 @@ class Matcher:
             return none, none, np.zeros(0)
         blocks = at // BLOCK
         first = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1]))
-        windows = np.zeros((len(terms) // BLOCK + SCALES[-1], space.rows.shape[1]), np.float32)
+        windows = np.zeros((len(terms) // BLOCK + self.scales[-1], space.rows.shape[1]), np.float32)
         windows[blocks[first]] = np.add.reduceat(space.rows[terms[at]], first)
         out, scale, weight = [], 1, (WEIGHT * self.norms).astype(np.float32)
-        for wanted in SCALES:
+        for wanted in self.scales:
             while scale < wanted:
                 windows, scale = windows[:-scale] + windows[scale:], 2 * scale
-            norm = np.sqrt(np.einsum("ij,ij->i", windows, windows))
-            some = np.flatnonzero(norm > self.least)
+            own = np.flatnonzero(self.covers >= wanted * BLOCK) if wanted > SCALES[-1] else np.arange(len(self.covers))
+            stride = max(1, wanted // 8)
+            unit, least, looked = self.unit[own].T, weight[own], windows[::stride]
+            norm = np.sqrt(np.einsum("ij,ij->i", looked, looked))
+            some = np.flatnonzero(norm > least.min())
             for a in range(0, len(some), 4096):
                 part = some[a : a + 4096]
-                along = windows[part] @ self.unit.T
+                along = looked[part] @ unit
                 # the weight decides nearly all; cosines are worked out for what is left
-                w, i = np.nonzero(along >= weight)
+                w, i = np.nonzero(along >= least)
                 cosine = along[w, i] / norm[part][w]
                 good = cosine >= COSINE
-                out.append((part[w[good]] * BLOCK, i[good], cosine[good]))
+                out.append((part[w[good]] * stride * BLOCK, own[i[good]], cosine[good]))
         if not out:
             return none, none, np.zeros(0)
         start, item, cosine = (np.concatenate(x) for x in zip(*out, strict=True))
@@ -285,29 +296,29 @@ class Matcher:
         return start[order], item[order], cosine[order]
 
     def batch(self, texts: list[str | None]) -> list[list[tuple[int, float, float, float]]]:
-        terms, starts = self.terms.of(texts, WINDOW)
+        terms, starts = self.terms.of(texts, self.pad)
         start, item, cosine = self.candidates(terms)
-        cuts = np.searchsorted(start, np.append(starts, len(terms) + WINDOW))
+        cuts = np.searchsorted(start, np.append(starts, len(terms) + self.pad))
         return [self._check(t, start[a:b] - s, item[a:b], cosine[a:b]) if b > a else [] for t, s, a, b in zip(texts, starts.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
     def _check(self, text: str, start: np.ndarray, item: np.ndarray, cosine: np.ndarray) -> list[tuple[int, float, float, float]]:
         words = words_of(text)
         found: dict[int, tuple[float, float, float]] = {}
-        margin = max(len(self.space.words[k]) for k in set(item.tolist()))
-        at, near, bag = -1, [], frozenset()
+        at, near, bag = (-1, 0), [], frozenset()
         # windows that start within one stretch of WINDOW words share a region, and are looked at once for each item
-        best_of: dict[tuple[int, int], float] = {}
-        for q, k, c in zip((start // WINDOW).tolist(), item.tolist(), cosine.tolist(), strict=True):
-            best_of[q, k] = max(c, best_of.get((q, k), 0.0))
-        for (q, k), c in sorted(best_of.items()):
-            if q != at:
-                at, near = q, words[max(0, q * WINDOW - margin) : (q + 2) * WINDOW + margin]
+        best_of: dict[tuple[int, int, int], float] = {}
+        for q, k, m, c in zip((start // WINDOW).tolist(), item.tolist(), self.covers[item].tolist(), cosine.tolist(), strict=True):
+            best_of[q, m, k] = max(c, best_of.get((q, m, k), 0.0))
+        for (q, m, k), c in sorted(best_of.items()):
+            if (q, m) != at:
+                # no window of the item is longer than m, nor is the item
+                at, near = (q, m), words[max(0, q * WINDOW - m) : (q + 1) * WINDOW + 2 * m]
                 bag = frozenset(near)
             own = self.masks.get(k)
             if own is None:
                 w, a = self.space.words[k], self.space.answers[k]
                 own = self.masks[k] = (word_masks(w), len(w), word_masks(a), len(a), Counter(w))
-            masks, n, answer, m, counts = own
+            masks, n, answer, n_answer, counts = own
             # a sequence is no longer than the words in common
             if sum(counts[w] for w in counts.keys() & bag) < PARAPHRASE * n or (k in found and found[k][1] >= 1):
                 continue
@@ -317,7 +328,7 @@ class Matcher:
                 piece = near[a : a + n + max(2, n // 2)]
                 share = lcs(masks, n, piece) / n
                 if share > best[0]:
-                    best = (share, lcs(answer, m, piece) / m)
+                    best = (share, lcs(answer, n_answer, piece) / n_answer)
             if best[0] >= SEQUENCE or (best[0] >= PARAPHRASE and best[1] >= ANSWER):
                 if k not in found or found[k][1] < best[0]:
                     found[k] = (c, *best)
@@ -346,8 +357,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch], space: Space = space) -> Iterator[pa.RecordBatch]:
             match = Matcher(space)
             for batch in batches:
-                for at in range(0, batch.num_rows, 500):
-                    part = batch.slice(at, 500)
+                for at in range(0, batch.num_rows, match.step):
+                    part = batch.slice(at, match.step)
                     found = [(d, space.ids[k], c, s, a) for d, own in zip(part.column(0).to_pylist(), match.batch(part.column(1).to_pylist()), strict=True) for k, c, s, a in own]
                     if found:
                         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()), strict=True)], names=["doc_id", "item_id", "cosine", "lcs_share", "answer_share"])
@@ -366,8 +377,8 @@ def drop_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch], space: Space = space) -> Iterator[pa.RecordBatch]:
             match = Matcher(space)
             for batch in batches:
-                for at in range(0, batch.num_rows, 500):
-                    part = batch.slice(at, 500)
+                for at in range(0, batch.num_rows, match.step):
+                    part = batch.slice(at, match.step)
                     yield part.filter(pa.array([not own for own in match.batch(part.column(where).to_pylist())], pa.bool_()))
 
         out = out.mapInArrow(run, documents.schema)

@@ -146,6 +146,14 @@ def test_decontamination_of_a_widespread_item(spark, n, length, held):
     assert {(r.doc_id, r.item_id) for r in decontam.leaks(docs(spark, rows), bench).collect()} == {(i, 3) for i in range(held)}
 
 
+def test_decontamination_of_long_items(spark):
+    rng = random.Random(6)
+    items = [(k, words(rng, n)) for k, n in enumerate([20, 60, 80, 100, 150, 150, 200, 300, 300, 1000])]
+    rows = [(100 + k, words(rng, 60) + " " + t + " " + words(rng, 60), "a") for k, t in items] + [(i, words(rng, 400), "a") for i in range(60)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(docs(spark, rows), bench).collect()} == {(100 + k, k) for k, _ in items}
+
+
 def test_lcs():
     def plain(a, b):
         t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
