@@ -1,8 +1,9 @@
 """Substring dedup by sliding sentence spans.
 
 A text is cut into sentences (at line ends and after . ! ? … before white space); its lower-cased words make a
-sentence's hash. From every sentence starts a span, the shortest run of sentences with at least SENTENCES of them and
-WORDS words, or LONG words in fewer. Spans are joined globally by a 128-bit hash; of equal spans the first by (doc_id,
+sentence's hash. From every sentence starts a span, and at every sentence ends one, the shortest run with at least
+SENTENCES sentences and WORDS words; where LONG words are reached in fewer, that run is a span too. So every sentence of
+a run of SENTENCES or more with WORDS is in a span inside that run, and goes with it. Spans are joined globally by a 128-bit hash; of equal spans the first by (doc_id,
 text hash, place) stays, and sentences that any other one covers are removed.
 
 A span's hash is summed to one row (count and first holder) before rows of equal hash meet, so a passage in a third of
@@ -52,13 +53,18 @@ def spans(text: str | None, least: int = SENTENCES, words: int = WORDS, long: in
         hashes.append(xxhash.xxh3_128_digest(" ".join(own).encode("utf-8", "surrogatepass")))
     out, n = [], len(counts)
     upto = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-    # the end of the shortest run: enough sentences and words, or many words
+    # the shortest runs from each start, and to each end: enough sentences and words, or many words in fewer
     start = np.arange(n)
     few = np.maximum(start + least, np.searchsorted(upto, upto[:-1] + words, side="left"))
     many = np.searchsorted(upto, upto[:-1] + long, side="left")
-    for i, j in zip(start.tolist(), np.minimum(few, many).tolist(), strict=True):
+    end = start + 1
+    back = np.minimum(end - least, np.searchsorted(upto, upto[1:] - words, side="right") - 1)
+    runs = {*zip(start.tolist(), few.tolist(), strict=True), *zip(back.tolist(), end.tolist(), strict=True)}
+    short = many < few
+    runs.update(zip(start[short].tolist(), many[short].tolist(), strict=True))
+    for i, j in sorted(runs):
         # empty sentences begin no span: it would be the span of the sentence after them
-        if j <= n and counts[i]:
+        if 0 <= i and j <= n and counts[i]:
             d = xxhash.xxh3_128_digest(b"".join(hashes[i:j]))
             out.append((i, j - i, int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True)))
     return out

@@ -71,6 +71,16 @@ def test_spans_brute(spark, real):
     assert got == brute_spans([(i, t) for i, t, _ in real])
 
 
+@pytest.mark.parametrize("lengths", [[30, 12, 12], [12, 12, 30, 12, 12], [12, 12, 12, 3, 3, 3], [3, 3, 3, 12, 12]])
+def test_spans_remove_whole_passages(spark, lengths):
+    rng = random.Random(7)
+    text = lambda sizes: " ".join(words(rng, n) + "." for n in sizes)
+    passage = text(lengths)
+    rows = [(i, " ".join([text([14, 9]), passage, text([11, 20])]), "a") for i in (1, 2)]
+    got = {r.doc_id: r.text for r in spans.remove_repeats(docs(spark, rows)).collect()}
+    assert got[1] == rows[0][1] and got[2] == rows[1][1].replace(passage + " ", "")
+
+
 def test_spans_edges(spark):
     out = spans.remove_repeats(docs(spark, EDGE, True)).collect()
     assert len(out) == len(EDGE) and {"score", "at", "n"} <= set(out[0].asDict())
