@@ -146,7 +146,7 @@ def test_decontamination(spark):
     assert decontam.leaks(docs(spark, []), bench).count() == 0
 
 
-@pytest.mark.parametrize(("n", "length", "held"), [(900, 60, 300), (100, 60, 3), (20, 0, 20)])
+@pytest.mark.parametrize(("n", "length", "held"), [(900, 60, 300), (60, 60, 3), (20, 0, 20)])
 def test_decontamination_of_a_widespread_item(spark, n, length, held):
     """One item in a third of the documents, in three of a table of about 200 passages, and alone in every document."""
     rng = random.Random(4)
