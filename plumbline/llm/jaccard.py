@@ -3,22 +3,25 @@
 A document's set holds the hashes of its distinct k-word shingles. Equal sets collapse to one, so copies meet once. Two
 sets of n and m shingles reach the similarity when they share at least T = ceil(sim * (n + m) / (1 + sim)) shingles.
 
-1. Prefix index: under one global order a similar pair shares a shingle among the first n - ceil(sim * n) + 1 of each.
-   The order is by hash, with shingles that a sample of texts shows to be frequent at the end: any order is exact, this
-   one keeps common passages out of the prefixes.
-2. In each inverted list of the index a pivot stands for the rest: (pivot, member) is a candidate if the lists they
-   share leave T within reach. Linked members need no further pair among themselves, so a group of thousands of near
-   copies costs a few searches, not its square. PIVOT_ROUNDS rounds use different pivots; a last one takes every pair of list
-   members that are still in different components, which makes the result exact.
-3. Search: for a query set, ``divide_skip`` heap-merges the short inverted lists of its candidates, probes the long ones
-   by bisection, and keeps those that reach T.
-
-Candidate lists of a query are cut into chunks that go to different tasks. Components are found by contracting links,
-in DataFrames. Shingles are compared by 64-bit hashes.
+1. Prefix index: under one global order a similar pair shares a shingle among the first n - ceil(sim * n) + 1 of each,
+   and behind the first one that it shares each set still has T - 1 shingles (the place filter). The order is by hash,
+   with shingles that a sample of texts shows to be frequent at the end: any order is exact, this one keeps common
+   passages out of the prefixes and gives edited copies, whose own shingles come first, late places.
+2. Pivots: in each inverted list the member with the earliest place, the one with the fewest shingles of its own, stands
+   for the rest; members linked to it need no further pair among themselves, so a group of thousands of near copies
+   costs one search of a pivot and not its square.
+3. The rest: members of a list outside its pivot's component meet those of other components if sizes and places allow
+   T. No pair that can be linked is left out, which makes the components exact.
+4. Search: a query set meets an inverted index of the whole sets of its candidates. ``divide_skip`` heap-merges the short
+   lists, probes the long ones by bisection, and keeps the members that reach T; only those links leave the task.
+
+Candidates of a query are cut into chunks that go to different tasks. Components are found by contracting links, in
+DataFrames. Shingles are compared by 64-bit hashes.
 
 Defined results: a null text is empty; an empty document is linked with nothing; fewer words than k make one shingle;
 rows repeated in full are linked like any equal texts; a null doc_id never names a component while another id is in it;
-an empty table gives an empty result. Extra columns are ignored.
+an empty table gives an empty result. Extra columns are ignored, and kept by ``one_of_each``, also when their names clash
+with those here.
 """
 
 from __future__ import annotations
@@ -30,48 +33,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from plumbline.llm.common import content_key, scratch, table, written
+from plumbline.llm.shingling import shingle_sets
 
 WORDS = 5
 #: The similarity as a fraction, so that all bounds are exact integers.
 SIM = (4, 5)
 #: One text in SAMPLE is read for the order of shingles; those found in at least OFTEN of them go last, at most MOST.
 SAMPLE, OFTEN, MOST = 16, 6, 100_000
-PIVOT_ROUNDS = 5
-CHUNK = 256
-CACHE = 300_000
-
-
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > CACHE:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_MIX = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
-
-
-def shingles(text: str | None, cache: dict, k: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's k-word shingles. Words are split at ASCII white space, A-Z lower-cased."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.array([cache[w] for w in words], np.uint64)
-    n = min(k, len(h))
-    with np.errstate(over="ignore"):
-        out = np.full(len(h) - n + 1, n, np.uint64)
-        for j in range(n):
-            out = (out ^ h[j : len(h) - n + 1 + j]) * _MIX[j % 5]
-            out ^= out >> np.uint64(29)
-        out *= _MIX[1]
-        out ^= out >> np.uint64(32)
-    return np.unique(out)
+#: Candidates of a query that meet in one task, and the shingles they may have together.
+CHUNK, CHUNK_SHINGLES = 256, 1 << 21
+NO_ID = (1 << 63) - 1
 
 
 def needed(n: int, m: int, sim: tuple[int, int] = SIM) -> int:
@@ -127,17 +103,26 @@ def divide_skip(lists: list[list[int]], least: int, need: list[int]) -> dict[int
     return out
 
 
-def search(query: np.ndarray, members: list[np.ndarray], sim: tuple[int, int] = SIM) -> dict[int, int]:
-    """Members (by place) similar to the query set, with the overlap."""
-    need = [needed(len(query), len(m), sim) for m in members]
-    places = [np.searchsorted(query, m) for m in members]
-    hits = [p[(p < len(query)) & (query[np.minimum(p, len(query) - 1)] == m)] for p, m in zip(places, members, strict=True)]
-    token = np.concatenate(hits)
-    member = np.repeat(np.arange(len(members)), [len(h) for h in hits])
-    order = np.argsort(token, kind="stable")
-    token, member = token[order], member[order]
-    cuts = np.flatnonzero(np.diff(token)) + 1
-    return divide_skip([x.tolist() for x in np.split(member, cuts)], max(1, min(need)), need)
+class InvertedIndex:
+    """Shingle -> sorted places of the sets that hold it."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = [len(s) for s in sets]
+        shingle = np.concatenate(sets)
+        # stable: places ascend within a shingle
+        order = np.argsort(shingle, kind="stable")
+        place = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        shingle = shingle[order]
+        cuts = np.flatnonzero(np.append(True, shingle[1:] != shingle[:-1]))
+        self.shingles, self.starts, self.places = shingle[cuts], np.append(cuts, len(shingle)), place
+
+    def search(self, query: np.ndarray, sim: tuple[int, int] = SIM) -> dict[int, int]:
+        """Places of the sets similar to ``query``, with the overlap."""
+        at = np.searchsorted(self.shingles, query)
+        at = at[(at < len(self.shingles)) & (self.shingles[np.minimum(at, len(self.shingles) - 1)] == query)]
+        lists = [self.places[self.starts[i] : self.starts[i + 1]].tolist() for i in at.tolist()]
+        need = [needed(len(query), m, sim) for m in self.sizes]
+        return divide_skip(lists, max(1, min(need)), need)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -163,63 +148,76 @@ def components(links: DataFrame) -> DataFrame:
         edges = written(hop(hop(edges, "a"), "b").where("a <> b").select("a", "b").distinct(), "cc-edges")
 
 
+def _rows(documents: DataFrame) -> DataFrame:
+    """holder (the id, NO_ID for null), key_hi, key_lo (of the text), text: a row is known by the first three."""
+    text = F.col("text").cast("string")
+    return documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("holder"), *content_key(F.coalesce(text, F.lit(""))), text.alias("text"))
+
+
+def _among(values: np.ndarray, wanted: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Which of ``values`` are in the sorted ``wanted``; ``marks`` tells most of the others by their low 20 bits."""
+    out = marks[values & np.uint64(0xFFFFF)]
+    some = np.flatnonzero(out)
+    if len(some):
+        at = np.searchsorted(wanted, values[some])
+        out[some] = wanted[np.minimum(at, len(wanted) - 1)] == values[some]
+    return out
+
+
 def _sets(rows: DataFrame, frequent: list[int], sim: tuple[int, int], k: int) -> DataFrame:
-    """doc_id, key_hi, key_lo, text -> the same without text, n, set_hi, set_lo and the prefix in the global order."""
+    """Of each row its n shingles, the digest of its set, and the prefix in the global order; ``n_rare``: how many shingles
+    come before the frequent ones."""
     last = np.array(sorted(frequent), np.uint64)
+    marks = np.zeros(1 << 20, bool)
+    marks[last & np.uint64(0xFFFFF)] = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Words()
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
-                n, hi, lo, prefixes = [], [], [], []
-                for text in part.column(3).to_pylist():
-                    own = shingles(text, cache, k)
-                    digest = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
+            for row, sets in shingle_sets(batch.column(3), k):
+                n, rare, hi, lo, prefixes = [], [], [], [], []
+                for own in sets:
+                    digest = hashlib.blake2b(own, digest_size=16).digest()
                     n.append(len(own))
                     hi.append(int.from_bytes(digest[:8], "big", signed=True))
                     lo.append(int.from_bytes(digest[8:], "big", signed=True))
-                    if len(own):
-                        p = prefix_length(len(own), sim)
-                        late = np.isin(own, last, assume_unique=True) if len(last) else np.zeros(len(own), bool)
-                        prefixes.append(np.concatenate([own[~late], own[late]])[:p].view(np.int64))
-                    else:
-                        prefixes.append(np.zeros(0, np.int64))
+                    p = prefix_length(len(own), sim) if len(own) else 0
+                    late = _among(own, last, marks)
+                    early = own[~late]
+                    rare.append(len(early))
+                    prefixes.append((early if len(early) >= p else np.concatenate([early, own[late]]))[:p])
                 offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
-                arrays = [part.column(0), part.column(1), part.column(2), pa.array(n, pa.int32()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefixes)))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "key_hi", "key_lo", "n", "set_hi", "set_lo", "prefix"])
+                prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefixes).view(np.int64)))
+                part = batch.slice(row, len(sets))
+                arrays = [*(part.column(i) for i in range(3)), *(pa.array(x, t) for x, t in ((n, pa.int32()), (rare, pa.int32()), (hi, pa.int64()), (lo, pa.int64()))), prefix]
+                yield pa.RecordBatch.from_arrays(arrays, names=["holder", "key_hi", "key_lo", "n", "n_rare", "set_hi", "set_lo", "prefix"])
 
-    return rows.select("doc_id", "key_hi", "key_lo", "text").mapInArrow(run, "doc_id long, key_hi long, key_lo long, n int, set_hi long, set_lo long, prefix array<long>")
+    return rows.mapInArrow(run, "holder long, key_hi long, key_lo long, n int, n_rare int, set_hi long, set_lo long, prefix array<long>")
 
 
 def frequent_shingles(rows: DataFrame, k: int) -> list[int]:
     """Shingles that many different texts hold, by a sample of the texts; at most MOST, the most frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Words()
         for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                found = [shingles(t, cache, k) for t in batch.column(0).slice(start, 200).to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["token"])
+            for _, sets in shingle_sets(batch.column(0), k):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], names=["token"])
 
     sample = rows.where(F.pmod("key_lo", F.lit(SAMPLE)) == 0).groupBy("key_hi", "key_lo").agg(F.first("text").alias("text")).select("text")
     counts = sample.mapInArrow(run, "token long").groupBy("token").count().where(F.col("count") >= OFTEN)
     return [r.token % (1 << 64) for r in counts.orderBy(F.desc("count"), "token").limit(MOST).collect()]
 
 
-def _reach(c: Column, n: Column, m: Column, sim: tuple[int, int]) -> Column:
-    """Whether sets of n and m that share c prefix shingles can still reach T: what is behind a prefix holds n - p at most."""
-    a, b = sim
-    size = (F.lit(b) * F.least(n, m) >= F.lit(a) * F.greatest(n, m))
-    need = F.ceil(F.lit(a) * (n + m) / F.lit(float(a + b)) - 1e-9)
-    rest = lambda x: F.ceil(F.lit(a) * x / F.lit(float(b)) - 1e-9) - 1
-    return size & (c + F.greatest(rest(n), rest(m)) >= need)
+def _possible(n: Column, q: Column, m: Column, r: Column, sim: tuple[int, int]) -> Column:
+    """Whether sets of n and m whose first shared shingle has the places q and r can share T."""
+    a, b = (F.lit(x).cast("long") for x in sim)
+    size = b * F.least(n, m) >= a * F.greatest(n, m)
+    return size & ((a + b) * F.least(n - q, m - r) >= a * (n + m))
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, sim: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) that are similar. ``sets``: ref, raw. A query's candidates come in chunks of about CHUNK."""
-    many = pairs.groupBy("a").agg(F.count("*").alias("n_pairs"))
-    cut = pairs.join(many, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.ceil(F.col("n_pairs") / CHUNK)).cast("int"))
+    """The pairs (a, b) that are similar. ``pairs``: a, b, nb; ``sets``: ref, raw. A query's candidates come in chunks."""
+    many = pairs.groupBy("a").agg(F.ceil(F.greatest(F.count("*") / CHUNK, F.sum("nb") / CHUNK_SHINGLES)).alias("chunks"))
+    cut = pairs.join(many, "a").select("a", F.pmod(F.xxhash64("b"), "chunks").cast("int").alias("chunk"), "b")
     member = cut.join(sets.select(F.col("ref").alias("b"), "raw"), "b").select("a", "chunk", "b", "raw")
     query = cut.select("a", "chunk").distinct().join(sets.select(F.col("ref").alias("a"), "raw"), "a").select("a", "chunk", F.lit(None).cast("long").alias("b"), "raw")
 
@@ -227,7 +225,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, sim: tuple[int, int]) -> DataFram
         b, raw = part["b"].to_pylist(), part["raw"].to_pylist()
         at = b.index(None)
         own = [i for i in range(len(b)) if i != at]
-        found = search(np.frombuffer(raw[at], np.uint64), [np.frombuffer(raw[i], np.uint64) for i in own], sim) if own else {}
+        found = InvertedIndex([np.frombuffer(raw[i], np.uint64) for i in own]).search(np.frombuffer(raw[at], np.uint64), sim) if own else {}
         hit = [b[own[i]] for i in found]
         return pa.table({"a": pa.array([part["a"][0].as_py()] * len(hit), pa.int64()), "b": pa.array(hit, pa.int64())})
 
@@ -237,81 +235,73 @@ def _verify(pairs: DataFrame, sets: DataFrame, sim: tuple[int, int]) -> DataFram
 def join_components(documents: DataFrame, sim: tuple[int, int] = SIM, k: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id and n_links (verified links of its set; copies not counted) for every row."""
     with scratch(documents.sparkSession):
-        return written(_join_components(documents, sim, k), "jaccard-result", keep=True)
+        found = _grouped(_rows(documents), sim, k)
+        doc_id = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
+        out = found.select(doc_id("holder").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), doc_id("rep_holder").alias("component_id"), "n_links")
+        return written(out, "jaccard-result", keep=True)
 
 
-def _join_components(documents: DataFrame, sim: tuple[int, int], k: int) -> DataFrame:
-    text = F.col("text").cast("string")
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), *content_key(F.coalesce(text, F.lit(""))), text.alias("text"))
+def _grouped(rows: DataFrame, sim: tuple[int, int] = SIM, k: int = WORDS) -> DataFrame:
+    """holder, key_hi, key_lo, n, rep_holder, rep_hi, rep_lo (the least row of its component) and n_links of every row."""
+    spark = rows.sparkSession
     docs = written(_sets(rows, frequent_shingles(rows, k), sim, k), "jaccard-docs")
-    full = docs.where("n > 0")
-    unique = full.groupBy("set_hi", "set_lo").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.min("doc_id").alias("least_id"), F.min(F.struct("key_hi", "key_lo")).alias("key"))
+    row = F.struct("holder", "key_hi", "key_lo")
+    unique = docs.where("n > 0").groupBy("set_hi", "set_lo").agg(F.first("n").alias("n"), F.first("n_rare").alias("n_rare"), F.first("prefix").alias("prefix"), F.min(row).alias("least"))
     unique = written(unique.withColumn("ref", F.monotonically_increasing_id()), "jaccard-sets")
-    postings = unique.select("ref", "n", F.explode("prefix").alias("token"))
-    shared = written(unique.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token"), "jaccard-shared")
-    # lists that one set alone is in cannot give a candidate
-    lists = written(postings.join(shared, "token"), "jaccard-lists")
+    postings = unique.select("ref", "n", "n_rare", F.posexplode("prefix").alias("q", "token"))
+    # a list that one set alone is in cannot give a candidate; the frequent ones, which alone may be very long, need no count
+    counted = postings.where("q < n_rare").withColumn("many", F.count(F.lit(1)).over(Window.partitionBy("token")))
+    columns = ["token", "ref", "n", "q"]
+    lists = written(counted.where("many > 1").select(columns).unionByName(postings.where("q >= n_rare").select(columns)), "jaccard-lists")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Words()
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingles(t, cache, k).tobytes() for t in part.column(1).to_pylist()], pa.binary())], names=["ref", "raw"])
-
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        """Whole sets, made again from the texts, of the members of candidate pairs alone."""
-        refs = pairs.select(F.col("a").alias("ref")).union(pairs.select("b")).distinct()
-        keys = refs.join(unique.select("ref", "key.key_hi", "key.key_lo"), "ref")
-        texts = rows.select("key_hi", "key_lo", "text").join(keys, ["key_hi", "key_lo"]).groupBy("ref").agg(F.first("text").alias("text"))
-        return written(texts.mapInArrow(whole, "ref long, raw binary"), "jaccard-members")
-
-    tried = links = comps = None
-    current = lists.withColumn("comp", F.col("ref"))
-    for turn in range(PIVOT_ROUNDS + 1):
-        if turn < PIVOT_ROUNDS:
-            order = F.xxhash64("ref", F.lit(turn))
-            pivots = current.groupBy("token").agg(F.min_by(F.struct("ref", "n", "comp"), order).alias("p"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("token", "p")
-            met = current.join(pivots, "token").where(F.col("p.comp") != F.col("comp")).select(F.col("p.ref").alias("x"), F.col("p.n").alias("nx"), F.col("ref").alias("y"), F.col("n").alias("ny"))
-        else:
-            # all that is left: members outside a list's largest component, with the members of every other one
-            apart = current.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("token")
-            main = current.join(apart, "token").groupBy("token").agg(F.mode("comp", True).alias("main"))
-            open_lists = current.join(main, "token")
-            left = open_lists.where("comp <> main").select("token", F.col("ref").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-            right = open_lists.select("token", F.col("ref").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"), (F.col("comp") == F.col("main")).alias("in_main"))
-            size = F.lit(sim[1]) * F.least("nx", "ny") >= F.lit(sim[0]) * F.greatest("nx", "ny")
-            met = left.join(right, "token").where((F.col("cx") != F.col("cy")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & size)
-        if turn == PIVOT_ROUNDS:
-            # lists differ in which side is outside: a pair's lists are counted whichever way round they give it
-            swap = F.col("x") > F.col("y")
-            pick = lambda p, q: F.when(swap, F.col(q)).otherwise(F.col(p))
-            met = met.select(pick("x", "y").alias("x"), pick("y", "x").alias("y"), pick("nx", "ny").alias("nx"), pick("ny", "nx").alias("ny"))
-        pairs = met.groupBy("x", "y", "nx", "ny").agg(F.count("*").alias("c")).where(_reach(F.col("c"), F.col("nx"), F.col("ny"), sim))
-        pairs = pairs.select("x", "y", F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")).dropDuplicates(["lo", "hi"])
-        pairs = pairs.select(F.col("x").alias("a"), F.col("y").alias("b"))
-        if tried is not None:
-            # a pair that was searched before, either way round, has its answer
-            pairs = pairs.join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-        pairs = written(pairs, "jaccard-pairs")
-        if pairs.isEmpty():
-            continue
-        tried = pairs if tried is None else tried.union(pairs)
-        with scratch(documents.sparkSession):
-            found = written(_verify(pairs, sets_of(pairs), sim), "jaccard-links", keep=True)
-        links = found if links is None else links.union(found)
-        comps = components(links)
-        current = written(lists.join(comps, "ref", "left").withColumn("comp", F.coalesce("comp", "ref")), "jaccard-current")
-    if links is None:
-        named = unique.select("set_hi", "set_lo", F.col("least_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
-    else:
-        ends = links.select(F.col("a").alias("ref")).union(links.select("b")).groupBy("ref").agg(F.count("*").alias("n_links"))
-        placed = unique.select("ref", "set_hi", "set_lo", "least_id").join(comps, "ref", "left").join(ends, "ref", "left").withColumn("comp", F.coalesce("comp", "ref"))
-        least = placed.groupBy("comp").agg(F.min("least_id").alias("component_id"))
-        named = placed.join(least, "comp").select("set_hi", "set_lo", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    out = docs.select("doc_id", "n", "set_hi", "set_lo").join(named, ["set_hi", "set_lo"], "left")
-    empty = F.col("n") == 0
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.when(empty, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"))
+            for at, sets in shingle_sets(batch.column(1), k):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], names=["ref", "raw"])
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        """The links among candidate pairs, by whole sets made again from the texts of their members alone."""
+        with scratch(spark):
+            refs = pairs.select(F.col("a").alias("ref")).union(pairs.select("b")).distinct()
+            members = refs.join(unique.select("ref", "least.*"), "ref")
+            texts = rows.join(members, ["holder", "key_hi", "key_lo"]).groupBy("ref").agg(F.first("text").alias("text"))
+            return written(_verify(pairs, written(texts.mapInArrow(whole, "ref long, raw binary"), "jaccard-members"), sim), "jaccard-links", keep=True)
+
+    def pairs_of(met: DataFrame) -> DataFrame:
+        """Each pair of ``met`` once, whichever way round."""
+        return met.dropDuplicates(["lo", "hi"]).select("lo", "hi", F.col("x").alias("a"), F.col("y").alias("b"), F.col("ny").alias("nb"))
+
+    side = lambda *names: F.struct(*[F.col(c) for c in names])
+    earliest = F.struct((F.col("q") / F.col("n")).alias("at"), F.col("n"), F.col("ref"))
+    both = lambda: [F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi"), "x", "y", "ny"]
+    # a pivot for each list
+    pivots = lists.groupBy("token").agg(F.min_by(side("ref", "n", "q"), earliest).alias("p"))
+    met = lists.join(pivots, "token").where((F.col("p.ref") != F.col("ref")) & _possible(F.col("n"), F.col("q"), F.col("p.n"), F.col("p.q"), sim))
+    tried = written(pairs_of(met.select(F.col("p.ref").alias("x"), F.col("ref").alias("y"), F.col("n").alias("ny")).select(both())), "jaccard-pairs")
+    links = similar(tried)
+    comps = components(links)
+    # what is left: members outside the component of their list's pivot
+    current = lists.join(comps, "ref", "left").withColumn("comp", F.coalesce("comp", "ref"))
+    current = written(current, "jaccard-current")
+    apart = current.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min_by("comp", earliest).alias("main")).where("c0 <> c1").select("token", "main")
+    open_lists = current.join(apart, "token")
+    left = open_lists.where("comp <> main").select("token", F.col("ref").alias("x"), F.col("n").alias("nx"), F.col("q").alias("qx"), F.col("comp").alias("cx"))
+    right = open_lists.select("token", F.col("ref").alias("y"), F.col("n").alias("ny"), F.col("q").alias("qy"), F.col("comp").alias("cy"), (F.col("comp") == F.col("main")).alias("in_main"))
+    met = left.join(right, "token").where((F.col("cx") != F.col("cy")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & _possible(F.col("nx"), F.col("qx"), F.col("ny"), F.col("qy"), sim))
+    # a pair that was searched before has its answer
+    pairs = written(pairs_of(met.select(both())).join(tried.select("lo", "hi"), ["lo", "hi"], "left_anti"), "jaccard-pairs")
+    if not pairs.isEmpty():
+        found = similar(pairs)
+        if not found.isEmpty():
+            links = links.union(found)
+            comps = components(links)
+    ends = links.select(F.col("a").alias("ref")).union(links.select("b")).groupBy("ref").agg(F.count("*").alias("n_links"))
+    placed = unique.select("ref", "set_hi", "set_lo", "least").join(comps, "ref", "left").join(ends, "ref", "left").withColumn("comp", F.coalesce("comp", "ref"))
+    least = placed.groupBy("comp").agg(F.min("least").alias("rep"))
+    named = placed.join(least, "comp").select("set_hi", "set_lo", "rep", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    out = docs.select("holder", "key_hi", "key_lo", "n", "set_hi", "set_lo").join(named, ["set_hi", "set_lo"], "left")
+    rep = F.coalesce("rep", row)
+    return out.select("holder", "key_hi", "key_lo", "n", rep["holder"].alias("rep_holder"), rep["key_hi"].alias("rep_hi"), rep["key_lo"].alias("rep_lo"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def op10_shingle_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,12 +309,21 @@ def op10_shingle_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
-    """The rows of ``documents`` whose id names their component, all columns; rows without words stay."""
-    kept = join_components(documents).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = documents.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    # rows of one id: texts are dealt out again only if there are any
-    twice = documents.groupBy("doc_id").count().where("count > 1")
-    return rows if twice.isEmpty() else rows.dropDuplicates(["doc_id", "text"])
+    """One row of ``documents`` of each component, all columns: that of the smallest doc_id, then text hash. Rows without
+    words all stay; of rows that repeat id and text one stays."""
+    with scratch(documents.sparkSession):
+        found = _grouped(_rows(documents))
+        kept = written(found.where((F.col("holder") == F.col("rep_holder")) & (F.col("key_hi") == F.col("rep_hi")) & (F.col("key_lo") == F.col("rep_lo"))).groupBy("holder", "key_hi", "key_lo").agg((F.first("n") > 0).alias("full"), F.count("*").alias("rows")), "jaccard-kept", keep=True)
+    text = F.col("text").cast("string")
+    me = [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("holder"), *content_key(F.coalesce(text, F.lit("")))]
+    # the row is packed, so that its own names clash with none here
+    mine = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), *me)
+    met = mine.join(kept, ["holder", "key_hi", "key_lo"])
+    if kept.where("full and rows > 1").isEmpty():
+        return met.select("row.*")
+    twice = F.col("full") & (F.col("rows") > 1)
+    repeated = met.where(twice).groupBy("holder", "key_hi", "key_lo").agg(F.first("row").alias("row"))
+    return met.where(~twice).select("row.*").union(repeated.select("row.*"))
 
 
 SQL = r"""

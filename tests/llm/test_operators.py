@@ -3,13 +3,15 @@
 import collections
 import hashlib
 import random
+import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.llm import chat, common, decontam, html_crf, jaccard, mixing, registry, spans, suffix, topk, toxicity, warc
+from plumbline.llm import chat, common, decontam, html_crf, jaccard, mixing, registry, shingling, spans, suffix, topk, toxicity, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -347,8 +349,14 @@ def test_surt_and_blocks():
 # 10
 
 
+def word_runs(text, k=5):
+    """The set of a text by the letter of its contract, without the operator's code."""
+    own = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+    return {tuple(own[i : i + k]) for i in range(max(1, len(own) - k + 1))} if own else set()
+
+
 def brute_components(rows):
-    sets = [(i, jaccard.shingles(t, jaccard._Words())) for i, t in rows]
+    sets = [(i, word_runs(t)) for i, t in rows]
     parent = list(range(len(sets)))
 
     def find(a):
@@ -360,7 +368,7 @@ def brute_components(rows):
         for b in range(a):
             x, y = sets[a][1], sets[b][1]
             if len(x) and len(y):
-                both = len(np.intersect1d(x, y))
+                both = len(x & y)
                 if 100 * both >= 80 * (len(x) + len(y) - both):
                     parent[find(a)] = find(b)
     ids = collections.defaultdict(list)
@@ -396,6 +404,38 @@ def test_jaccard_edges(spark):
     assert sorted(r.doc_id for r in kept) == [1, 3, 4]
 
 
+def test_one_of_each_goes_by_row(spark):
+    t, other = "some words of a text that is here twice or more", "another text of its own with quite other words in it"
+    rows = [(0, t, "a"), (1, other, "a"), (1, t, "a"), (2, other, "a"), (2, other, "a"), (None, t, "a"), (3, "", "a"), (3, "", "a"), (None, None, "a")]
+    clash = docs(spark, rows, True).withColumns({"holder": F.lit("h"), "key_hi": F.lit(9), "row": F.lit(8), "rows": F.lit(7), "full": F.lit(6)})
+    kept = jaccard.one_of_each(clash)
+    assert kept.columns == clash.columns
+    assert sorted((r.doc_id or -1, r.text or "", r.holder, r.key_hi, r.row, r.rows, r.full) for r in kept.collect()) == sorted((i or -1, x or "", "h", 9, 8, 7, 6) for i, x in [(0, t), (1, other), (3, ""), (3, ""), (None, None)])
+    # only copies of one row: the first of them stays
+    assert [r.doc_id for r in jaccard.one_of_each(docs(spark, [(5, t, "a"), (5, t, "a"), (5, t, "b")])).collect()] == [5]
+
+
+def test_inverted_index_search():
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        base = rng.integers(0, 1 << 60, 60).astype(np.uint64)
+        sets = [np.unique(np.concatenate([rng.choice(base, rng.integers(1, 60), replace=False), rng.integers(0, 1 << 60, rng.integers(0, 20)).astype(np.uint64)])) for _ in range(25)]
+        query = np.unique(base)
+        want = {i: len(np.intersect1d(query, s)) for i, s in enumerate(sets)}
+        want = {i: c for i, c in want.items() if 100 * c >= 80 * (len(query) + len(sets[i]) - c)}
+        found = jaccard.InvertedIndex(sets).search(query)
+        assert found.keys() == want.keys() and all(jaccard.needed(len(query), len(sets[i])) <= c <= want[i] for i, c in found.items())
+
+
+def test_shingles_equal_brute(real, monkeypatch):
+    texts = [t for _, t, _ in real] + [None, "", " \t\n", "one", "A b\x0bC", "x" * 9000, "é É ß", "\u00a0 no \u2003 break"]
+    for piece in (1 << 21, 500):
+        monkeypatch.setattr(shingling, "PIECE", piece)
+        sets = [s for _, part in shingling.shingle_sets(pa.array(texts)) for s in part]
+        assert [len(s) for s in sets] == [len(word_runs(t)) for t in texts]
+        assert len(np.unique(np.concatenate(sets))) == len(set().union(*map(word_runs, texts)))
+
+
 def test_divide_skip():
     rng = random.Random(2)
     for _ in range(100):
