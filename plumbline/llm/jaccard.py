@@ -12,7 +12,9 @@ sets of n and m shingles reach the similarity when they share at least T = ceil(
    costs one search of a pivot and not its square.
 3. The rest: members of a list outside its pivot's component meet those of other components if sizes and places allow
    T. No pair that can be linked is left out, which makes the components exact.
-4. Search: a query set meets an inverted index of the whole sets of its candidates. ``divide_skip`` heap-merges the short
+4. Bitmaps: a set's parity bitmap has about two to four bits a shingle. Two sets differ in at least as many shingles as
+   their bitmaps in bits, which drops most candidates below the similarity before whole sets are fetched; it is exact.
+5. Search: a query set meets an inverted index of the whole sets of its candidates. ``divide_skip`` heap-merges the short
    lists, probes the long ones by bisection, and keeps the members that reach T; only those links leave the task.
 
 Candidates of a query are cut into chunks that go to different tasks. Components are found by contracting links, in
@@ -164,9 +166,25 @@ def _among(values: np.ndarray, wanted: np.ndarray, marks: np.ndarray) -> np.ndar
     return out
 
 
+def parity_bits(own: np.ndarray) -> bytes:
+    """Bit i tells whether an odd number of shingles end in i; two bits a shingle or more, a power of two."""
+    size = 1 << max(6, (2 * len(own) - 1).bit_length())
+    return np.packbits(np.bincount((own & np.uint64(size - 1)).view(np.int64), minlength=size) & 1).tobytes()
+
+
+def differing_bits(x: bytes, y: bytes) -> int:
+    """Bits in which two parity bitmaps differ, the longer one folded; the sets differ in that many shingles at least."""
+    p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    if len(p) < len(q):
+        p, q = q, p
+    while len(p) > len(q):
+        p = p[: len(p) // 2] ^ p[len(p) // 2 :]
+    return int(np.bitwise_count(p ^ q).sum())
+
+
 def _sets(rows: DataFrame, frequent: list[int], sim: tuple[int, int], k: int) -> DataFrame:
-    """Of each row its n shingles, the digest of its set, and the prefix in the global order; ``n_rare``: how many shingles
-    come before the frequent ones."""
+    """Of each row its n shingles, the digest and the bitmap of its set, and the prefix in the global order; ``n_rare``: how
+    many shingles come before the frequent ones."""
     last = np.array(sorted(frequent), np.uint64)
     marks = np.zeros(1 << 20, bool)
     marks[last & np.uint64(0xFFFFF)] = True
@@ -174,12 +192,13 @@ def _sets(rows: DataFrame, frequent: list[int], sim: tuple[int, int], k: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, sets in shingle_sets(batch.column(3), k):
-                n, rare, hi, lo, prefixes = [], [], [], [], []
+                n, rare, hi, lo, bits, prefixes = [], [], [], [], [], []
                 for own in sets:
                     digest = hashlib.blake2b(own, digest_size=16).digest()
                     n.append(len(own))
                     hi.append(int.from_bytes(digest[:8], "big", signed=True))
                     lo.append(int.from_bytes(digest[8:], "big", signed=True))
+                    bits.append(parity_bits(own))
                     p = prefix_length(len(own), sim) if len(own) else 0
                     late = _among(own, last, marks)
                     early = own[~late]
@@ -188,10 +207,10 @@ def _sets(rows: DataFrame, frequent: list[int], sim: tuple[int, int], k: int) ->
                 offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
                 prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefixes).view(np.int64)))
                 part = batch.slice(row, len(sets))
-                arrays = [*(part.column(i) for i in range(3)), *(pa.array(x, t) for x, t in ((n, pa.int32()), (rare, pa.int32()), (hi, pa.int64()), (lo, pa.int64()))), prefix]
-                yield pa.RecordBatch.from_arrays(arrays, names=["holder", "key_hi", "key_lo", "n", "n_rare", "set_hi", "set_lo", "prefix"])
+                arrays = [*(part.column(i) for i in range(3)), *(pa.array(x, t) for x, t in ((n, pa.int32()), (rare, pa.int32()), (hi, pa.int64()), (lo, pa.int64()), (bits, pa.binary()))), prefix]
+                yield pa.RecordBatch.from_arrays(arrays, names=["holder", "key_hi", "key_lo", "n", "n_rare", "set_hi", "set_lo", "bits", "prefix"])
 
-    return rows.mapInArrow(run, "holder long, key_hi long, key_lo long, n int, n_rare int, set_hi long, set_lo long, prefix array<long>")
+    return rows.mapInArrow(run, "holder long, key_hi long, key_lo long, n int, n_rare int, set_hi long, set_lo long, bits binary, prefix array<long>")
 
 
 def frequent_shingles(rows: DataFrame, k: int) -> list[int]:
@@ -214,6 +233,19 @@ def _possible(n: Column, q: Column, m: Column, r: Column, sim: tuple[int, int])
     return size & ((a + b) * F.least(n - q, m - r) >= a * (n + m))
 
 
+def _near(pairs: DataFrame, unique: DataFrame, sim: tuple[int, int]) -> DataFrame:
+    """The rows of ``pairs`` (a, b) whose bitmaps leave the similarity possible, with nb."""
+    side = lambda c: unique.select(F.col("ref").alias(c), F.col("n").alias("n" + c), F.col("bits").alias("bits_" + c))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m, x, y = (batch.column(c).to_pylist() for c in ("na", "nb", "bits_a", "bits_b"))
+            keep = [differing_bits(x[i], y[i]) <= n[i] + m[i] - 2 * needed(n[i], m[i], sim) for i in range(batch.num_rows)]
+            yield batch.select(["a", "b", "nb"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long, nb int")
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, sim: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) that are similar. ``pairs``: a, b, nb; ``sets``: ref, raw. A query's candidates come in chunks."""
     many = pairs.groupBy("a").agg(F.ceil(F.greatest(F.count("*") / CHUNK, F.sum("nb") / CHUNK_SHINGLES)).alias("chunks"))
@@ -246,7 +278,7 @@ def _grouped(rows: DataFrame, sim: tuple[int, int] = SIM, k: int = WORDS) -> Dat
     spark = rows.sparkSession
     docs = written(_sets(rows, frequent_shingles(rows, k), sim, k), "jaccard-docs")
     row = F.struct("holder", "key_hi", "key_lo")
-    unique = docs.where("n > 0").groupBy("set_hi", "set_lo").agg(F.first("n").alias("n"), F.first("n_rare").alias("n_rare"), F.first("prefix").alias("prefix"), F.min(row).alias("least"))
+    unique = docs.where("n > 0").groupBy("set_hi", "set_lo").agg(F.first("n").alias("n"), F.first("n_rare").alias("n_rare"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"), F.min(row).alias("least"))
     unique = written(unique.withColumn("ref", F.monotonically_increasing_id()), "jaccard-sets")
     postings = unique.select("ref", "n", "n_rare", F.posexplode("prefix").alias("q", "token"))
     # a list that one set alone is in cannot give a candidate; the frequent ones, which alone may be very long, need no count
@@ -262,6 +294,7 @@ def _grouped(rows: DataFrame, sim: tuple[int, int] = SIM, k: int = WORDS) -> Dat
     def similar(pairs: DataFrame) -> DataFrame:
         """The links among candidate pairs, by whole sets made again from the texts of their members alone."""
         with scratch(spark):
+            pairs = written(_near(pairs, unique, sim), "jaccard-near")
             refs = pairs.select(F.col("a").alias("ref")).union(pairs.select("b")).distinct()
             members = refs.join(unique.select("ref", "least.*"), "ref")
             texts = rows.join(members, ["holder", "key_hi", "key_lo"]).groupBy("ref").agg(F.first("text").alias("text"))
@@ -269,15 +302,14 @@ def _grouped(rows: DataFrame, sim: tuple[int, int] = SIM, k: int = WORDS) -> Dat
 
     def pairs_of(met: DataFrame) -> DataFrame:
         """Each pair of ``met`` once, whichever way round."""
-        return met.dropDuplicates(["lo", "hi"]).select("lo", "hi", F.col("x").alias("a"), F.col("y").alias("b"), F.col("ny").alias("nb"))
+        return met.select(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi"), "x", "y").dropDuplicates(["lo", "hi"]).withColumnsRenamed({"x": "a", "y": "b"})
 
     side = lambda *names: F.struct(*[F.col(c) for c in names])
     earliest = F.struct((F.col("q") / F.col("n")).alias("at"), F.col("n"), F.col("ref"))
-    both = lambda: [F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi"), "x", "y", "ny"]
     # a pivot for each list
     pivots = lists.groupBy("token").agg(F.min_by(side("ref", "n", "q"), earliest).alias("p"))
     met = lists.join(pivots, "token").where((F.col("p.ref") != F.col("ref")) & _possible(F.col("n"), F.col("q"), F.col("p.n"), F.col("p.q"), sim))
-    tried = written(pairs_of(met.select(F.col("p.ref").alias("x"), F.col("ref").alias("y"), F.col("n").alias("ny")).select(both())), "jaccard-pairs")
+    tried = written(pairs_of(met.select(F.col("p.ref").alias("x"), F.col("ref").alias("y"))), "jaccard-pairs")
     links = similar(tried)
     comps = components(links)
     # what is left: members outside the component of their list's pivot
@@ -289,7 +321,7 @@ def _grouped(rows: DataFrame, sim: tuple[int, int] = SIM, k: int = WORDS) -> Dat
     right = open_lists.select("token", F.col("ref").alias("y"), F.col("n").alias("ny"), F.col("q").alias("qy"), F.col("comp").alias("cy"), (F.col("comp") == F.col("main")).alias("in_main"))
     met = left.join(right, "token").where((F.col("cx") != F.col("cy")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & _possible(F.col("nx"), F.col("qx"), F.col("ny"), F.col("qy"), sim))
     # a pair that was searched before has its answer
-    pairs = written(pairs_of(met.select(both())).join(tried.select("lo", "hi"), ["lo", "hi"], "left_anti"), "jaccard-pairs")
+    pairs = written(pairs_of(met).join(tried.select("lo", "hi"), ["lo", "hi"], "left_anti"), "jaccard-pairs")
     if not pairs.isEmpty():
         found = similar(pairs)
         if not found.isEmpty():

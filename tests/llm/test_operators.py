@@ -427,6 +427,15 @@ def test_inverted_index_search():
         assert found.keys() == want.keys() and all(jaccard.needed(len(query), len(sets[i])) <= c <= want[i] for i, c in found.items())
 
 
+def test_bitmaps_bound_the_difference():
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        n, own = rng.integers(1, 400), rng.integers(0, 1 << 62, 900).astype(np.uint64)
+        x, y = np.unique(own[:n]), np.unique(own[rng.integers(0, n) : n + rng.integers(0, 500)])
+        bits = jaccard.differing_bits(jaccard.parity_bits(x), jaccard.parity_bits(y))
+        assert bits <= len(np.setxor1d(x, y)) and jaccard.differing_bits(jaccard.parity_bits(x), jaccard.parity_bits(x)) == 0
+
+
 def test_shingles_equal_brute(real, monkeypatch):
     texts = [t for _, t, _ in real] + [None, "", " \t\n", "one", "A b\x0bC", "x" * 9000, "é É ß", "\u00a0 no \u2003 break"]
     for piece in (1 << 21, 500):
