@@ -18,5 +18,6 @@ SQL = {
     "op10_shingle_jaccard": jaccard.SQL,
     "op4_impact_topk": topk.SQL,
     "op5_chat_snapshots": chat.SQL,
+    "op8_pareto_mixing": mixing.SQL,
     "op9_warc_capture_index": warc.SQL,
 }

@@ -304,9 +304,76 @@ def test_suffix_edges(spark):
 # 8
 
 
-def test_targets_stop_at_twice_the_size():
-    got = mixing.targets([("b", 100), ("a", 1000), (None, 500), ("c", 0)])
-    assert got["b"] == 200 and got["c"] == 0 and abs(sum(got.values()) - 1.5 * 1600) < 1e-6 and got["a"] <= 2000 and got[None] <= 1000
+def brute_targets(sizes):
+    """Shares of 1.5 times all words by weight; what passes twice a source's size goes to the others, over and over."""
+    order = sorted((x for x in sizes if x[0] is not None), key=lambda x: [ord(c) for c in x[0]]) + [x for x in sizes if x[0] is None]
+    weight = {s: (5, 2, 1)[k % 3] for k, (s, _) in enumerate(order)}
+    size, out = dict(order), {s: 0.0 for s, _ in order}
+    left, free = 1.5 * sum(size.values()), [s for s, n in order if n]
+    while free:
+        total = sum(weight[s] for s in free)
+        full = [s for s in free if left * weight[s] / total > 2 * size[s]]
+        if not full:
+            return out | {s: left * weight[s] / total for s in free}
+        out |= {s: 2.0 * size[s] for s in full}
+        left -= sum(2 * size[s] for s in full)
+        free = [s for s in free if s not in full]
+    return out
+
+
+def test_targets_equal_brute(spark):
+    rng = random.Random(6)
+    for case in [[("b", 100), ("a", 1000), (None, 500), ("c", 0)], [("a", 0)], [(None, 7)], *([(f"s{i}" if i else None, rng.choice([0, 1, 50, 900, 4000])) for i in range(rng.randint(1, 9))] for _ in range(6))]:
+        rows = [("n" if s is None else "s" + s, n) for s, n in case]
+        got = {None if r.source_key == "n" else r.source_key[1:]: r.target for r in mixing.targets(spark.createDataFrame(rows, "source_key string, source_size long")).collect()}
+        want = brute_targets(case)
+        assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-6 for s in want)
+
+
+def brute_mix(rows):
+    """[(size, target, taken)] by the letter: kappa by bisection, then one Pareto order a source, sorted whole."""
+    size = [len((t or "").encode().split()) for _, t, _ in rows]
+    totals = collections.Counter()
+    for n, (_, _, s) in zip(size, rows, strict=True):
+        totals[s] += n
+    wanted, out = brute_targets(list(totals.items())), [None] * len(rows)
+    for s, target in wanted.items():
+        own = [k for k, r in enumerate(rows) if r[2] == s]
+        pull = {k: int(1024 * size[k] ** 0.5) for k in own}
+        low, high = 0.0, 2.0
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(min(2.0, mid * pull[k]) * size[k] for k in own) < target else (low, mid)
+        copies = {k: round(min(2.0, high * pull[k]), 9) for k in own}
+        steps = collections.Counter()
+        rank = {}
+        for k in own:
+            i, t, _ = rows[k]
+            inner = "?" if t is None else hashlib.sha256(t.encode()).hexdigest()
+            u = (int(hashlib.sha256(f"{mixing.SEED}|{'?' if i is None else i}|{inner}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+            p = copies[k] % 1
+            if p:
+                q = (u / (1 - u)) / (p / (1 - p))
+                rank[k] = q / (1 + q)
+                steps[rank[k]] += size[k]
+        need, upto, end = sum(copies[k] % 1 * size[k] for k in own), 0, -1
+        for r in sorted(steps):
+            if upto + steps[r] - need < need - upto:
+                end = r
+            upto += steps[r]
+        for k in own:
+            out[k] = (rows[k][0], size[k], round(target, 3), (int(copies[k]) + (k in rank and rank[k] <= end)) * size[k])
+    return out
+
+
+def test_mixing_equals_brute(spark, real):
+    rows = [(i, t, s) for i, t, s in real] + EDGE
+    got = mixing.mix(docs(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.mix_size, round(r.mix_target, 3), r.mix_taken) for r in got), key=str) == sorted(brute_mix(rows), key=str)
+    assert {r.mix_taken // r.mix_size for r in got if r.mix_size} == {0, 1, 2}
+    # documents of one source differ in their odds: the long ones are taken more often
+    ratio = lambda rs: sum(r.mix_taken for r in rs) / max(1, sum(r.mix_size for r in rs))
+    assert ratio([r for r in got if r.mix_size > 400]) > ratio([r for r in got if 0 < r.mix_size < 100])
 
 
 def test_mixing(spark, real):
@@ -321,6 +388,8 @@ def test_mixing(spark, real):
         own = [r for r in out if r.source == s]
         assert abs(sum(r.mix_taken for r in own) - own[0].mix_target) <= max(r.mix_size for r in own) / 2 + 1
     assert mixing.mix(docs(spark, [])).count() == 0
+    clash = mixing.mix(docs(spark, rows[:5]).withColumns({"size": F.lit("z"), "u": F.lit("y"), "row": F.lit("x"), "source_key": F.lit("w"), "target": F.lit("v")})).collect()
+    assert {(r.size, r.u, r.row, r.source_key, r.target) for r in clash} == {("z", "y", "x", "w", "v")}
 
 
 # 9
