@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,9 +13,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where it is unset (tests on one machine) a new local one is set."""
+    """The folder of ``spark.checkpoint.dir``. Where it is unset, one machine (tests) gets a new local folder; a cluster,
+    whose machines would not see that, gets an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="plumbline-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

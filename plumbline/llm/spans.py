@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from plumbline.llm.common import content_key, scratch, table, written
 
@@ -106,7 +107,8 @@ def _remove(columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept_text, total, removed = [], [], []
-            for text, at in zip(batch.column(where).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+            arrays = batch.column(0).flatten()
+            for text, at in zip(arrays[where].to_pylist(), batch.column(1).to_pylist(), strict=True):
                 cuts = sentences(text)
                 total.append(len(cuts))
                 if not at:
@@ -119,7 +121,6 @@ def _remove(columns: list[str]):
                 gone = np.cumsum(edge[:-1]) > 0
                 kept_text.append("".join(text[a:b] for (a, b), g in zip(cuts, gone.tolist(), strict=True) if not g))
                 removed.append(int(gone.sum()))
-            arrays = [batch.column(i) for i in range(batch.num_columns - 1)]
             arrays[where] = pa.array(kept_text, pa.string())
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(total, pa.int64()), pa.array(removed, pa.int64())], names=[*columns, "_sentences", "_removed"])
 
@@ -127,13 +128,16 @@ def _remove(columns: list[str]):
 
 
 def remove_repeats(documents: DataFrame) -> DataFrame:
-    """All rows and columns of ``documents`` with the repeated sentences out of ``text``, and _sentences, _removed."""
+    """All rows and columns of ``documents`` with the repeated sentences out of ``text``, and _sentences, _removed (columns
+    of these two names are replaced)."""
     at = repeated_spans(documents)
-    columns = documents.columns
+    columns = [c for c in documents.columns if c not in ("_sentences", "_removed")]
     text = F.col("text").cast("string")
-    keyed = documents.withColumn("text", text).withColumns({"_holder": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), **dict(zip(("_hi", "_lo"), content_key(F.coalesce(text, F.lit(""))), strict=True))})
-    joined = keyed.join(at.select(F.col("holder").alias("_holder"), F.col("key_hi").alias("_hi"), F.col("key_lo").alias("_lo"), F.col("at").alias("_at")), ["_holder", "_hi", "_lo"], "left").select(*columns, "_at")
-    schema = joined.drop("_at").schema.add("_sentences", "long").add("_removed", "long")
+    # the user's row is packed, so that its names clash with none here
+    row = F.struct(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in columns]).alias("row")
+    keyed = documents.select(row, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("holder"), *content_key(F.coalesce(text, F.lit(""))))
+    joined = keyed.join(at, ["holder", "key_hi", "key_lo"], "left").select("row", "at")
+    schema = StructType([*joined.schema["row"].dataType.fields, StructField("_sentences", LongType()), StructField("_removed", LongType())])
     return joined.mapInArrow(_remove(columns), schema)
 
 

@@ -337,10 +337,11 @@ def _cut(length: int):
 
 
 def _analysed(documents: DataFrame, length: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows with key and data; keys that occur twice; (key, n_removed, n_spans, kept) of texts that lose something."""
-    data = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8")
-    rows = documents.withColumns(dict(zip(("_hi", "_lo"), content_key(F.coalesce(F.col("text").cast("string"), F.lit(""))), strict=True))).withColumn("_data", data)
-    texts = rows.select(F.col("_hi").alias("key_hi"), F.col("_lo").alias("key_lo"), F.col("_data").alias("data"))
+    """(row, key, data): the user's row packed, so that its names clash with none here; keys that occur twice; (key,
+    n_removed, n_spans, kept) of texts that lose something."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), *content_key(text), F.encode(text, "UTF-8").alias("data"))
+    texts = rows.select("key_hi", "key_lo", "data")
     copies = written(texts.groupBy("key_hi", "key_lo").agg(F.count("*").alias("copies")).where("copies > 1"), "suffix-copies", keep=True)
     with scratch(documents.sparkSession):
         held, ranges = repeated_ranges(texts, length)
@@ -350,10 +351,11 @@ def _analysed(documents: DataFrame, length: int) -> tuple[DataFrame, DataFrame,
     return rows, copies, cut
 
 
-def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, copies, cut = _analysed(table(spark, sf_dir, "documents").select("doc_id", "text"), LENGTH)
+def digests(documents: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
+    rows, copies, cut = _analysed(documents.select("doc_id", "text"), LENGTH)
     # texts themselves take no part in these joins
-    docs = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_hi").alias("key_hi"), F.col("_lo").alias("key_lo"), F.octet_length("_data").cast("long").alias("n_bytes"), F.sha2("_data", 256).alias("whole"))
+    docs = rows.select(F.col("row.doc_id").cast("long").alias("doc_id"), "key_hi", "key_lo", F.octet_length("data").cast("long").alias("n_bytes"), F.sha2("data", 256).alias("whole"))
     part = cut.select("key_hi", "key_lo", "n_removed", "n_spans", F.sha2("kept", 256).alias("part"))
     out = docs.join(copies, ["key_hi", "key_lo"], "left").join(part, ["key_hi", "key_lo"], "left")
     all_gone = F.col("copies").isNotNull() & (F.col("n_bytes") >= LENGTH)
@@ -361,6 +363,10 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", pick(F.col("n_bytes"), "n_removed", F.lit(0).cast("long")).alias("n_removed"), pick(F.lit(1).cast("long"), "n_spans", F.lit(0).cast("long")).alias("n_spans"), pick(F.sha2(F.lit(b""), 256), "part", F.col("whole")).alias("kept_sha256"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(table(spark, sf_dir, "documents"))
+
+
 def cut_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """``documents`` with repeated bytes taken out of ``text`` (and ``n_chars`` counted anew); characters cut in two go."""
     rows, copies, cut = _analysed(documents, length)
@@ -368,13 +374,13 @@ def cut_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [x.decode("utf-8", "ignore") for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["_hi", "_lo", "_kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["key_hi", "key_lo", "kept"])
 
-    left = cut.select("key_hi", "key_lo", "kept").mapInArrow(decode, "_hi long, _lo long, _kept string")
-    out = rows.join(copies.select(F.col("key_hi").alias("_hi"), F.col("key_lo").alias("_lo"), "copies").withColumnRenamed("copies", "_copies"), ["_hi", "_lo"], "left").join(left, ["_hi", "_lo"], "left")
-    all_gone = F.col("_copies").isNotNull() & (F.octet_length("_data") >= length)
-    text = F.when(all_gone, F.lit("")).otherwise(F.coalesce("_kept", "text"))
-    out = out.withColumn("text", text)
+    left = cut.select("key_hi", "key_lo", "kept").mapInArrow(decode, "key_hi long, key_lo long, kept string")
+    out = rows.join(copies, ["key_hi", "key_lo"], "left").join(left, ["key_hi", "key_lo"], "left")
+    all_gone = F.col("copies").isNotNull() & (F.octet_length("data") >= length)
+    text = F.when(all_gone, F.lit("")).otherwise(F.coalesce("kept", "row.text"))
+    new = {"text": text}
     if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(documents.schema["n_chars"].dataType))
-    return out.select(*documents.columns)
+        new["n_chars"] = F.coalesce(F.length(text), F.lit(0)).cast(documents.schema["n_chars"].dataType)
+    return out.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in documents.columns])
