@@ -33,8 +33,9 @@ def free_position(text: Column) -> Column:
 
 def m_to_km(pos: Column) -> Column:
     """1240535.82 to '1240+535.820'."""
-    km = F.floor(pos / 1000)
-    return F.format_string("%d+%07.3f", km, pos - km * 1000)
+    mm = F.round(pos * 1000).cast("long")
+    km = F.floor(mm / 1_000_000)
+    return F.format_string("%d+%07.3f", km, (mm - km * 1_000_000) / 1000)
 
 
 def plain(x: Column) -> Column:
@@ -91,8 +92,16 @@ def first_kind(text: Column, rules: list[tuple[str, str]], default: str | None =
     return out
 
 
+# Character references that texts hold.
+ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
+
+
 def strip_tags(html: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(html, "<[^>]+>", " "), r"\s+", " "))
+    """Without scripts, styles and tags, character references decoded, white space as one space."""
+    text = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b.*?</(?:script|style)\s*>", " "), "<[^>]+>", " ")
+    for name, char in ENTITIES.items():
+        text = F.replace(text, F.lit(name), F.lit(char))
+    return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
 def json_block(text: Column) -> Column:
@@ -101,8 +110,9 @@ def json_block(text: Column) -> Column:
 
 
 def split_think(text: Column) -> tuple[Column, Column]:
-    """(thinking, answer) of a reply."""
-    return group(text, r"(?s)<think>(.*?)</think>"), F.trim(F.regexp_replace(text, r"(?s)^.*</think>", ""))
+    """(thinking, answer) of a reply; marker tokens <|..|> go."""
+    text = F.regexp_replace(text, r"<\|[^|<>]*\|>", "")
+    return F.trim(group(text, r"(?s)<think>(.*?)</think>")), F.trim(F.regexp_replace(text, r"(?s)^.*</think>", ""))
 
 
 def colour(value: Column) -> Column:

@@ -60,7 +60,12 @@ def successive_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select("n_nationkey", F.array_join(split_successive(F.concat(n.cast("string"), (n + 1).cast("string"))), ",").alias("pair"))
 
 
-@query(r"SELECT page_id, md5(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))) AS h FROM pages")
+_BARE = r"regexp_replace(regexp_replace(html, '(?is)<(script|style)\b.*?</(?:script|style)\s*>', ' ', 'g'), '<[^>]+>', ' ', 'g')"
+for _name, _char in parse.ENTITIES.items():
+    _BARE = f"replace({_BARE}, '{_name}', '{_char.replace(chr(39), chr(39) * 2)}')"
+
+
+@query(rf"SELECT page_id, md5(trim(regexp_replace({_BARE}, '\s+', ' ', 'g'))) AS h FROM pages")
 def tags_stripped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.md5(parse.strip_tags(F.col("html"))).alias("h"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.plans.evaluate import boxes
+from plumbline.operators.ranking import printed_match
 from plumbline.query import query, table
 
 # Words that stand for one another in questions.
@@ -100,13 +101,19 @@ def all_asked_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", F.forall(asked, lambda x: x).alias("all_asked"))
 
 
-@query("""WITH q AS (SELECT item_id, list_distinct(regexp_extract_all(lower(text), '[a-z]{3,}')) AS ws FROM benchmark WHERE item_id < 20), d AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(text), '[a-z]{3,}')) AS ws FROM documents WHERE length(text) < 400),
-j AS (SELECT item_id, doc_id, count(*) AS shared FROM (SELECT item_id, unnest(ws) AS w FROM q) JOIN (SELECT doc_id, unnest(ws) AS w FROM d) USING (w) GROUP BY 1, 2)
-SELECT item_id, arg_max(doc_id, struct_pack(s := shared, d := -doc_id)) AS best, max(shared) AS shared FROM j GROUP BY 1""")
+_PRINTED = "list_distinct(list_transform(regexp_extract_all(text, '[0-9]+(?:[.][0-9]+)?'), lambda x: x::DOUBLE)) AS numbers, list_distinct(regexp_extract_all(upper(text), '[A-Z]+-?[0-9]+')) AS codes, list_distinct(regexp_extract_all(lower(text), '[a-z]{3,}')) AS words"
+
+
+@query(f"""WITH q AS (SELECT item_id, {_PRINTED} FROM benchmark), d AS (SELECT doc_id, {_PRINTED} FROM documents),
+j AS (SELECT item_id, doc_id, sum(score)::BIGINT AS score FROM (
+ SELECT item_id, doc_id, count(DISTINCT v) * 10 AS score FROM (SELECT item_id, unnest(numbers) AS v FROM q) JOIN (SELECT doc_id, unnest(numbers) AS x FROM d) ON v >= 10 AND x >= 10 AND abs(v - x) <= 0.6 + 1e-9 GROUP BY 1, 2
+ UNION ALL SELECT item_id, doc_id, count(*) * 10 FROM (SELECT item_id, unnest(codes) AS v FROM q) JOIN (SELECT doc_id, unnest(codes) AS v FROM d) USING (v) GROUP BY 1, 2
+ UNION ALL SELECT item_id, doc_id, count(*) FROM (SELECT item_id, unnest(words) AS v FROM q) JOIN (SELECT doc_id, unnest(words) AS v FROM d) USING (v) GROUP BY 1, 2) GROUP BY 1, 2)
+SELECT item_id, arg_max(doc_id, struct_pack(s := score, d := -doc_id)) AS best, max(score) AS score FROM j GROUP BY 1""")
 def printed_text_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The text that shares the most words of three letters or more with a question."""
-    ws = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0)))
-    q = table(spark, sf_dir, "benchmark").where("item_id < 20").select("item_id", F.explode(ws).alias("w"))
-    d = table(spark, sf_dir, "documents").where("length(text) < 400").select("doc_id", F.explode(ws).alias("w"))
-    j = q.join(d, "w").groupBy("item_id", "doc_id").agg(F.count("*").alias("shared"))
-    return j.groupBy("item_id").agg(F.max_by("doc_id", F.struct("shared", (-F.col("doc_id")).alias("d"))).alias("best"), F.max("shared").alias("shared"))
+    """The text that fits a question best by numbers, codes and words of three letters or more."""
+    found = lambda pattern, text: F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    parts = [F.array_distinct(F.transform(found(r"[0-9]+(?:[.][0-9]+)?", F.col("text")), lambda x: x.cast("double"))).alias("numbers"), found("[A-Z]+-?[0-9]+", F.upper("text")).alias("codes"), found("[a-z]{3,}", F.lower("text")).alias("words")]
+    j = printed_match(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("tid"), *parts), table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), *parts))
+    best = F.max_by("tid", F.struct("score", (-F.col("tid")).alias("d")))
+    return j.groupBy(F.col("qid").alias("item_id")).agg(best.alias("best"), F.max("score").alias("score"))
