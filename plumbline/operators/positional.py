@@ -1,7 +1,7 @@
 """Joins along a one-dimensional position: as-of, bracketing interpolation, intervals, nearest, bands.
 
-Every function is a composition of equi-joins and windows over a line key. As-of sides come from one union and one sort
-for each line, not from a join on an inequality.
+Every function is a composition of equi-joins and windows over stretches of a line. As-of sides come from one union and
+sorted stretches, not from a join on an inequality; interval, band and box joins have an equality on cells.
 """
 
 from __future__ import annotations
@@ -15,22 +15,40 @@ def round3(x: Column) -> Column:
     return F.floor(x * 1000 + 0.5) / 1000
 
 
-def asof_pair(probes: DataFrame, points: DataFrame, line: str, pos: str, payload: str, seq: str) -> DataFrame:
+#: Positions that a task sorts together: a line is cut at their multiples, so a hot line is dealt to many tasks.
+STRETCH = 10_000.0
+
+
+def neighbours(rows: DataFrame, line: str, pos: str, order: list[str], value: Column, stretch: float = STRETCH) -> DataFrame:
+    """Adds _prev, the last non-null ``value`` up to each row in ``order`` along its line, and _next, the first one behind it.
+
+    ``order`` begins with ``pos``. Each stretch of a line is sorted on its own, once either way; the last and first values
+    of the stretches, one row each, are carried along the line and fill what a stretch does not hold itself.
+    """
+    cut = rows.withColumn("_stretch", F.coalesce(F.floor(F.col(pos) / stretch).cast("long"), F.lit(-(1 << 63)))).withColumn("_value", value)
+    up = Window.partitionBy(line, "_stretch").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy(line, "_stretch").orderBy(*[F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    own = cut.withColumn("_in_prev", F.last("_value", ignorenulls=True).over(up)).withColumn("_in_next", F.last("_value", ignorenulls=True).over(down))
+    at = F.when(F.col("_value").isNotNull(), F.struct(*order))
+    edges = cut.groupBy(line, "_stretch").agg(F.max_by("_value", at).alias("_last"), F.min_by("_value", at).alias("_first"))
+    along = lambda way: Window.partitionBy(line).orderBy(way("_stretch")).rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.withColumn("_before", F.last("_last", ignorenulls=True).over(along(F.asc))).withColumn("_behind", F.last("_first", ignorenulls=True).over(along(F.desc)))
+    joined = own.join(edges.select(line, "_stretch", "_before", "_behind"), [line, "_stretch"])
+    return joined.select(*rows.columns, F.coalesce("_in_prev", "_before").alias("_prev"), F.coalesce("_in_next", "_behind").alias("_next"))
+
+
+def asof_pair(probes: DataFrame, points: DataFrame, line: str, pos: str, payload: str, seq: str, stretch: float = STRETCH) -> DataFrame:
     """``probes`` with the last point at or before (prev_pos, prev) and the first one after (next_pos, next).
 
     Both have ``line``, ``pos`` and ``seq``; points have ``payload``. Points at one position: the highest seq is before,
-    the lowest is after. Lines without points give nulls.
+    the lowest is after. Lines without points give nulls; points without a position take no part.
     """
     carried = [c for c in probes.columns if c not in (line, pos, seq)]
     a = probes.select(line, pos, seq, F.lit(1).alias("_probe"), F.struct(*carried).alias("_row") if carried else F.lit(None).alias("_row"), F.lit(None).cast(points.schema[payload].dataType).alias("_v"))
-    b = points.select(line, pos, seq, F.lit(0).alias("_probe"), F.lit(None).cast(a.schema["_row"].dataType).alias("_row"), F.col(payload).alias("_v"))
-    both = a.unionByName(b)
+    b = points.where(F.col(pos).isNotNull()).select(line, pos, seq, F.lit(0).alias("_probe"), F.lit(None).cast(a.schema["_row"].dataType).alias("_row"), F.col(payload).alias("_v"))
     point = F.when(F.col("_probe") == 0, F.struct(F.col(pos).alias("p"), F.col("_v").alias("v")))
-    order = Window.partitionBy(line).orderBy(pos, "_probe", seq)
-    both = both.withColumn("_prev", F.last(point, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     # points at the probe's own position sort before it, so what follows is strictly after
-    both = both.withColumn("_next", F.first(point, ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)))
-    out = both.where("_probe = 1")
+    out = neighbours(a.unionByName(b), line, pos, [pos, "_probe", seq], point, stretch).where("_probe = 1")
     return out.select(line, pos, seq, *([F.col("_row")[c].alias(c) for c in carried]), F.col("_prev.p").alias("prev_pos"), F.col("_prev.v").alias("prev"), F.col("_next.p").alias("next_pos"), F.col("_next.v").alias("next"))
 
 
@@ -73,6 +91,39 @@ def within(left: DataFrame, right: DataFrame, line: str, pos: str, other: str, r
     return a.join(b, [line, "_bin"]).withColumn("distance", F.abs(F.col(pos) - F.col(other))).where(F.col("distance") <= radius).drop("_bin")
 
 
+def close_by(left: DataFrame, right: DataFrame, keys: list[str], axes: list[tuple[str, str, float]]) -> DataFrame:
+    """Pairs with equal ``keys`` whose positions differ by less than the reach on every axis (column, other, reach).
+
+    The plane is cut into cells as wide as the reach; a row meets those of its own cell and the ones around it, so a
+    crowded page spreads over its cells.
+    """
+    a, b, inside = left, right, F.lit(True)
+    for k, (column, other, reach) in enumerate(axes):
+        cell = lambda c, r=reach: F.floor(F.col(c) / r).cast("long")
+        a = a.withColumn(f"_cell{k}", cell(column))
+        b = b.withColumn(f"_cell{k}", F.explode(F.array(*[cell(other) + d for d in (-1, 0, 1)])))
+        inside = inside & (F.abs(F.col(column) - F.col(other)) < reach)
+    cells = [f"_cell{k}" for k in range(len(axes))]
+    return a.join(b, [*keys, *cells]).where(inside).drop(*cells)
+
+
+def nearest_intervals(probes: DataFrame, intervals: DataFrame, line: str, pos: str, low: str, high: str, probe: str, bin_width: float, stretch: float = STRETCH) -> DataFrame:
+    """``probe`` and the columns of ``intervals``: those that hold a position, or else the nearest of its line, all ties.
+
+    The distance comes from the next start and the last end along the line; the intervals that have it are met by equality.
+    """
+    held = containing(probes, intervals, line, pos, low, high, True, bin_width)
+    columns = [c for c in intervals.columns if c != line]
+    rest = probes.join(held.select(probe), probe, "left_anti").select(line, F.col(pos).alias("_at"), F.col(probe).alias("_seq"))
+    ends = intervals.withColumn("_n", F.monotonically_increasing_id())
+    side = lambda edge: asof_pair(rest, ends.select(line, F.col(edge).alias("_at"), F.col("_n").alias("_seq"), F.lit(1).alias("_one")), line, "_at", "_one", "_seq", stretch)
+    ahead = side(low).select("_seq", line, "_at", F.col("next_pos").alias("_next"))
+    back = side(high).select("_seq", F.col("prev_pos").alias("_last"))
+    both = ahead.join(back, "_seq").withColumn("_least", F.least(F.col("_next") - F.col("_at"), F.col("_at") - F.col("_last")))
+    meet = lambda edge, have, gap: both.where(gap == F.col("_least")).select(line, F.col("_seq").alias(probe), F.col(have).alias(edge)).join(intervals, [line, edge]).select(probe, *columns)
+    return held.select(probe, *columns).unionByName(meet(low, "_next", F.col("_next") - F.col("_at"))).unionByName(meet(high, "_last", F.col("_at") - F.col("_last")))
+
+
 def nearest(pairs: DataFrame, pos: str) -> DataFrame:
     """Of ``asof_pair``'s neighbours the nearer one; the earlier on a tie."""
     back, ahead = F.col(pos) - F.col("prev_pos"), F.col("next_pos") - F.col(pos)

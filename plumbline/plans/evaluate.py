@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.operators.positional import close_by
 from plumbline.query import query, table
 
 _PAIR = """WITH a AS (SELECT conv_id, arg_max(text, turn) AS pred FROM conversations WHERE role = 'assistant' GROUP BY 1), r AS (SELECT conv_id, arg_min(text, turn) AS ref FROM conversations WHERE role = 'user' GROUP BY 1), p AS (SELECT * FROM a JOIN r USING (conv_id))"""
@@ -75,9 +76,13 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT ref, floor(max(CASE WHEN w * h > 0 THEN w * h / (18 - w * h) ELSE 0 END) * 1000 + 0.5) / 1000 AS best FROM j GROUP BY 1""")
 def best_box_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = boxes(spark, sf_dir)
-    j = b.select("page", F.col("vec_id").alias("ref"), "x", "y").join(b.select("page", F.col("vec_id").alias("other"), F.col("x").alias("x2"), F.col("y").alias("y2")), "page").where("ref <> other")
-    w, h = F.greatest(F.least("x", "x2") + 3 - F.greatest("x", "x2"), F.lit(0.0)), F.greatest(F.least("y", "y2") + 3 - F.greatest("y", "y2"), F.lit(0.0))
-    return j.groupBy("ref").agg((F.floor(F.max(F.when(w * h > 0, w * h / (18 - w * h)).otherwise(0.0)) * 1000 + 0.5) / 1000).alias("best"))
+    refs = b.select("page", F.col("vec_id").alias("ref"), "x", "y")
+    others = b.select("page", F.col("vec_id").alias("other"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    w, h = F.least("x", "x2") + 3 - F.greatest("x", "x2"), F.least("y", "y2") + 3 - F.greatest("y", "y2")
+    met = close_by(refs, others, ["page"], [("x", "x2", 3.0), ("y", "y2", 3.0)]).where("ref <> other").groupBy("ref").agg(F.max(F.when((w > 0) & (h > 0), w * h / (18 - w * h))).alias("best"))
+    # a box alone on its page has no other to be compared with
+    shared = b.groupBy("page").count().where("count > 1").select("page")
+    return refs.join(shared, "page").join(met, "ref", "left").select("ref", (F.floor(F.coalesce("best", F.lit(0.0)) * 1000 + 0.5) / 1000).alias("best"))
 
 
 @query(_PAIR + """ SELECT conv_id, regexp_extract(pred, '(?s)^([^.]*[.])', 1) AS head, regexp_matches(pred, '^[A-Z]') AS capital, CASE WHEN length(pred) > length(ref) THEN 'longer' WHEN length(pred) < length(ref) THEN 'shorter' ELSE 'equal' END AS verdict FROM p""")

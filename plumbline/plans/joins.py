@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from plumbline.operators.positional import asof_pair, close_by
 from plumbline.plans.evaluate import _BOX, boxes
 from plumbline.plans.positional import _EVENTS, events
 from plumbline.query import query, table
@@ -62,7 +63,7 @@ def row_to_band_by_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = boxes(spark, sf_dir)
     c = b.select("page", F.col("vec_id").alias("band"), F.col("x").alias("x2"), F.col("y").alias("y2"))
     overlap = F.least("x", "x2") + 3 - F.greatest("x", "x2")
-    j = b.join(c, "page").where("vec_id <> band").withColumn("overlap", overlap).where("overlap > 0")
+    j = close_by(b, c, ["page"], [("x", "x2", 3.0)]).where("vec_id <> band").withColumn("overlap", overlap).where("overlap > 0")
     rank = F.struct(F.floor(F.col("overlap") * 1000).alias("o"), (-F.abs(F.col("y") - F.col("y2"))).alias("d"), (-F.col("band")).alias("v"))
     return j.groupBy("vec_id").agg(F.max_by("band", rank).alias("band"))
 
@@ -114,8 +115,6 @@ q AS (SELECT event_id, line, pos AS x FROM e WHERE event_type = 'signup')
 SELECT event_id, floor((value + (value2 - value) * (x - pos) / (pos2 - pos)) * 10 + 0.5) / 10 AS ruled FROM q JOIN p ON q.line = p.line AND x >= pos AND x < pos2""")
 def piecewise_ruler(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A coordinate through a piecewise linear ruler, to one decimal."""
-    from plumbline.operators.positional import asof_pair
-
     e = events(spark, sf_dir)
     p = asof_pair(e.where("event_type = 'signup'").select("line", "pos", "event_id"), e.where("event_type = 'view'"), "line", "pos", "value", "event_id").where("prev_pos is not null and next_pos is not null")
     ruled = F.col("prev") + (F.col("next") - F.col("prev")) * (F.col("pos") - F.col("prev_pos")) / (F.col("next_pos") - F.col("prev_pos"))

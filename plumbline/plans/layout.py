@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.udfs import components
+from plumbline.operators.positional import close_by
 from plumbline.plans.evaluate import _BOX, boxes
 from plumbline.query import query, table
 
@@ -26,7 +27,7 @@ def point_to_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 def neighbour_below(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = boxes(spark, sf_dir)
     c = b.select("page", F.col("vec_id").alias("other"), F.col("x").alias("x2"), F.col("y").alias("y2"))
-    j = b.join(c, "page").where((F.col("y2") > F.col("y")) & (F.col("y2") - F.col("y") < 2) & (F.abs(F.col("x2") - F.col("x")) < 1))
+    j = close_by(b, c, ["page"], [("x", "x2", 1.0), ("y", "y2", 2.0)]).where("y2 > y")
     return j.groupBy("vec_id").agg(F.min_by("other", F.struct((F.col("y2") - F.col("y")).alias("d"), "other")).alias("below"))
 
 
@@ -35,8 +36,8 @@ def near_duplicate_text_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows without an earlier one of the same text close by."""
     b = boxes(spark, sf_dir).withColumn("word", F.col("vec_id") % 5)
     c = b.select("page", "word", F.col("vec_id").alias("other"), F.col("x").alias("x2"), F.col("y").alias("y2"))
-    cond = [b["page"] == c["page"], b["word"] == c["word"], F.col("other") < F.col("vec_id"), F.abs(F.col("x2") - F.col("x")) < 1, F.abs(F.col("y2") - F.col("y")) < 1]
-    return b.join(c, cond, "left_anti").select("vec_id")
+    later = close_by(b, c, ["page", "word"], [("x", "x2", 1.0), ("y", "y2", 1.0)]).where("other < vec_id").select("vec_id").distinct()
+    return b.join(later, "vec_id", "left_anti").select("vec_id")
 
 
 @query("""SELECT p_partkey, i::INTEGER AS i, j::INTEGER AS j, least(i * 40, greatest(p_size * 10 - 50, 0))::INTEGER AS x, least(j * 40, greatest(p_size * 6 - 50, 0))::INTEGER AS y

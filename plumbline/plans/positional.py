@@ -88,11 +88,8 @@ def band_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH e AS ({_EVENTS}), w AS (SELECT *, last_value(CASE WHEN event_type IN ('click', 'signup') THEN event_type END IGNORE NULLS) OVER (PARTITION BY line ORDER BY pos, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS zone FROM e)
 SELECT event_id, CASE zone WHEN 'click' THEN 'curve' WHEN 'signup' THEN 'straight' ELSE 'before' END AS zone FROM w WHERE event_type = 'purchase'""")
 def zone_by_last_transition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("line").orderBy("pos", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    last = F.last(F.when(F.col("event_type").isin("click", "signup"), F.col("event_type")), ignorenulls=True).over(w)
-    return events(spark, sf_dir).withColumn("zone", last).where("event_type = 'purchase'").select("event_id", F.when(F.col("zone") == "click", "curve").when(F.col("zone") == "signup", "straight").otherwise("before").alias("zone"))
+    change = F.when(F.col("event_type").isin("click", "signup"), F.col("event_type"))
+    return op.neighbours(events(spark, sf_dir), "line", "pos", ["pos", "event_id"], change).withColumnRenamed("_prev", "zone").where("event_type = 'purchase'").select("event_id", F.when(F.col("zone") == "click", "curve").when(F.col("zone") == "signup", "straight").otherwise("before").alias("zone"))
 
 
 @query(f"""WITH e AS ({_EVENTS}), b AS (SELECT event_id, line, pos, pos + 3000 * (value / 100) AS stop FROM e WHERE event_type = 'click'), q AS (SELECT event_id AS probe, line, pos AS pt FROM e WHERE event_type = 'purchase'),
@@ -100,11 +97,7 @@ d AS (SELECT probe, event_id, greatest(pos - pt, pt - stop, 0) AS dist FROM b JO
 SELECT probe, event_id FROM m WHERE dist = least""")
 def nearest_interval_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Intervals that contain a position, or else the nearest of its line, all ties."""
-    from pyspark.sql import Window
-
     e = events(spark, sf_dir)
     b = e.where("event_type = 'click'").select("line", "event_id", "pos", (F.col("pos") + 3000 * (F.col("value") / 100)).alias("stop"))
     q = e.where("event_type = 'purchase'").select("line", F.col("event_id").alias("probe"), F.col("pos").alias("at"))
-    d = q.join(b, "line").withColumn("dist", F.greatest(F.col("pos") - F.col("at"), F.col("at") - F.col("stop"), F.lit(0.0)))
-    least = F.min("dist").over(Window.partitionBy("probe"))
-    return d.withColumn("least", least).where("dist = least").select("probe", "event_id")
+    return op.nearest_intervals(q, b, "line", "at", "pos", "stop", "probe", 3000.0).select("probe", "event_id")

@@ -134,3 +134,49 @@ def test_stream_latest(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert [(r.k, r.v) for r in spark.table("latest_test").collect()] == [("s", "new")]
+
+
+def test_lines_are_cut_without_a_trace(spark):
+    """As-of neighbours and nearest intervals do not depend on where lines are cut; all of them against brute force."""
+    import random
+
+    rng = random.Random(4)
+    points = [(rng.choice("ab"), float(rng.randint(0, 60)), k, k * 1.5) for k in range(40)] + [("a", None, 90, 1.0)]
+    probes = [(rng.choice("abc"), float(rng.randint(-5, 65)), 100 + k) for k in range(60)] + [("a", None, 200)]
+    p = spark.createDataFrame(points, "line string, pos double, seq long, v double")
+    q = spark.createDataFrame(probes, "line string, pos double, seq long")
+    whole = None
+    for stretch in (7.0, 1000.0):
+        got = {r.seq: (r.prev_pos, r.prev, r.next_pos, r.next) for r in positional.asof_pair(q, p, "line", "pos", "v", "seq", stretch).collect()}
+        for line, at, seq in probes:
+            if at is not None:
+                own = sorted((x, s, v) for n, x, s, v in points if n == line and x is not None)
+                before, after = [o for o in own if o[0] <= at], [o for o in own if o[0] > at]
+                assert got[seq] == ((before[-1][0], before[-1][2]) if before else (None, None)) + ((after[0][0], after[0][2]) if after else (None, None))
+        assert whole in (None, got)
+        whole = got
+    spans = [(n, x, x + rng.randint(0, 6), s) for n, x, s, _ in points if x is not None]
+    found = positional.nearest_intervals(q.where("pos is not null").withColumnRenamed("seq", "probe"), spark.createDataFrame(spans, "line string, low double, high double, id long"), "line", "pos", "low", "high", "probe", 5.0, 7.0)
+    want = set()
+    for line, at, probe in probes:
+        own = [(max(lo - at, at - hi, 0), i) for n, lo, hi, i in spans if n == line] if at is not None else []
+        want |= {(probe, i) for d, i in own if d == min(own)[0]}
+    assert sorted((r.probe, r.id) for r in found.collect()) == sorted(want)
+
+
+def test_ranking_by_hand(spark):
+    from plumbline.operators.ranking import printed_match, score_facts
+
+    facts = spark.createDataFrame([(1, "item", ["pier", "height"], ["12"], ["pier"]), (2, "text", ["pier"], [], []), (3, "item", ["road"], ["12", "7.5"], ["road", "far"])], "fid int, grp string, tokens array<string>, numbers array<string>, title array<string>")
+    asked = spark.createDataFrame([(9, ["pier", "near", "road"], ["12", "7.5"])], "qid int, tokens array<string>, numbers array<string>")
+    import math
+
+    once = {r.fid: r.score for r in score_facts(facts, asked).collect()}
+    pier, road = math.log1p(3 / 2), math.log1p(3)
+    assert all(abs(once[k] - v) < 1e-9 for k, v in {1: pier + 6, 2: pier - 0.5, 3: road + 6}.items())
+    each = {r.fid: r.score for r in score_facts(facts, asked, each_number=True, titles=True, weak=None).collect()}
+    assert all(abs(each[k] - v) < 1e-9 for k, v in {1: pier + 6 + 8, 2: pier, 3: road + 12}.items())
+    side = "array<double>, codes array<string>, words array<string>"
+    texts = spark.createDataFrame([(1, [12.6, 12.0, 9.0], ["LC-9"], ["bridge"]), (2, [13.4], [], ["bridge", "deck"]), (3, [11.3], [], [])], f"tid int, numbers {side}")
+    q = spark.createDataFrame([(5, [12.0, 9.0, 14.0], ["LC-9"], ["bridge", "deck"])], f"qid int, numbers {side}")
+    assert {r.tid: r.score for r in printed_match(texts, q).collect()} == {1: 10 + 10 + 1, 2: 10 + 2}
