@@ -112,7 +112,8 @@ def json_block(text: Column) -> Column:
 def split_think(text: Column) -> tuple[Column, Column]:
     """(thinking, answer) of a reply; marker tokens <|..|> go."""
     text = F.regexp_replace(text, r"<\|[^|<>]*\|>", "")
-    return F.trim(group(text, r"(?s)<think>(.*?)</think>")), F.trim(F.regexp_replace(text, r"(?s)^.*</think>", ""))
+    bare = lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")
+    return bare(group(text, r"(?s)<think>(.*?)</think>")), bare(F.regexp_replace(text, r"(?s)^.*</think>", ""))
 
 
 def colour(value: Column) -> Column:

@@ -121,15 +121,6 @@ def piecewise_ruler(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("event_id", (F.floor(ruled * 10 + 0.5) / 10).alias("ruled"))
 
 
-@query("""SELECT c_mktsegment AS tool, count(*) FILTER (WHERE c_acctbal::BIGINT % 2 = 0) AS identical, count(*) FILTER (WHERE c_acctbal::BIGINT % 2 <> 0) AS different FROM customer GROUP BY 1""")
-def replay_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recorded results against live ones, as JSON texts: how many are identical for each tool."""
-    whole = F.rint("c_acctbal").cast("long")
-    recorded, live = F.to_json(F.struct((whole % 2).alias("v"))), F.lit('{"v":0}')
-    same = recorded == live
-    return table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("tool")).agg(F.count_if(same).alias("identical"), F.count_if(~same).alias("different"))
-
-
 @query("""WITH s AS (SELECT doc_id, lang, length(text) AS n, doc_id % 3 AS a, doc_id % 5 AS b FROM documents)
 SELECT doc_id, CASE WHEN a = 0 AND b = 0 THEN 'both' WHEN a = 0 THEN 'list' WHEN b = 0 THEN 'curve' WHEN n > 2000 THEN 'position' ELSE 'text' END AS route FROM s""")
 def route_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,13 +102,6 @@ def rule_any_level_fits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.get(fits, F.lit(0)).alias("fits"))
 
 
-@query("""WITH p AS (SELECT user_id, event_id, event_type AS a, lead(event_type) OVER w AS b, lead(event_type, 2) OVER w AS c FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) SELECT event_id FROM p WHERE a = 'view' AND b = 'click' AND c = 'purchase'""")
-def sequence_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("event_id")
-    p = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("a"), F.lead("event_type").over(w).alias("b"), F.lead("event_type", 2).over(w).alias("c"))
-    return p.where("a = 'view' and b = 'click' and c = 'purchase'").select("event_id")
-
-
 @query("""SELECT 'part' AS source, severity, count(*) AS n FROM (SELECT CASE WHEN p_retailprice < 900 + p_size * 10 THEN 'FLAG' WHEN p_size > 45 THEN 'CHECK' ELSE 'INFO' END AS severity FROM part) GROUP BY 2""")
 def findings_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.when(F.col("p_retailprice") < 900 + F.col("p_size") * 10, "FLAG").when(F.col("p_size") > 45, "CHECK").otherwise("INFO")
