@@ -2,7 +2,8 @@
 
 A text is cut into sentences (at line ends and after . ! ? … before white space); its lower-cased words make a
 sentence's hash. From every sentence starts a span, and at every sentence ends one, the shortest run with at least
-SENTENCES sentences and WORDS words; where LONG words are reached in fewer, that run is a span too. So every sentence of
+SENTENCES sentences and WORDS words; where LONG words are reached in PAIR sentences or more, but fewer, that run is a
+span too. A single sentence is none. So every sentence of
 a run of SENTENCES or more with WORDS is in a span inside that run, and goes with it. Spans are joined globally by a 128-bit hash; of equal spans the first by (doc_id,
 text hash, place) stays, and sentences that any other one covers are removed.
 
@@ -30,7 +31,8 @@ from plumbline.llm.common import content_key, scratch, table, written
 
 SENTENCES = 3
 WORDS = 12
-LONG = 25
+PAIR = 2
+LONG = 20
 #: Where a sentence ends, with the white space after it.
 BREAK = re.compile(r"[.!?…]+[\"'”»)\]]*\s+|\n\s*")
 
@@ -57,7 +59,7 @@ def spans(text: str | None, least: int = SENTENCES, words: int = WORDS, long: in
     # the shortest runs from each start, and to each end: enough sentences and words, or many words in fewer
     start = np.arange(n)
     few = np.maximum(start + least, np.searchsorted(upto, upto[:-1] + words, side="left"))
-    many = np.searchsorted(upto, upto[:-1] + long, side="left")
+    many = np.maximum(start + PAIR, np.searchsorted(upto, upto[:-1] + long, side="left"))
     end = start + 1
     back = np.minimum(end - least, np.searchsorted(upto, upto[1:] - words, side="right") - 1)
     runs = {*zip(start.tolist(), few.tolist(), strict=True), *zip(back.tolist(), end.tolist(), strict=True)}

@@ -52,15 +52,49 @@ def test_query_equals_sql(spark, sf, name):
 # 1
 
 
+def cut_sentences(text):
+    """Pieces of a text behind line ends and behind . ! ? with marks and white space, one character after another."""
+    out, at, k = [], 0, 0
+    while k < len(text):
+        j = k
+        if text[k] in ".!?…":
+            while j < len(text) and text[j] in ".!?…":
+                j += 1
+            while j < len(text) and text[j] in "\"'”»)]":
+                j += 1
+            if j == len(text) or not text[j].isspace():
+                k = j
+                continue
+        elif text[k] != "\n":
+            k += 1
+            continue
+        while j < len(text) and text[j].isspace():
+            j += 1
+        out.append(text[at:j])
+        at = k = j
+    return out + ([text[at:]] if at < len(text) else [])
+
+
+def naive_runs(parts):
+    """(first, behind the last) of each span: tried run by run."""
+    n = [len(p.split()) for p in parts]
+    fits = lambda i, j: j - i >= 3 and sum(n[i:j]) >= 12
+    out = set()
+    for k in range(len(parts)):
+        out |= {(k, next((j for j in range(k, len(parts) + 1) if fits(k, j)), 0)), (next((i for i in range(k, -1, -1) if fits(i, k + 1)), -1), k + 1)}
+        out.add((k, next((j for j in range(k, len(parts) + 1) if j - k >= 2 and sum(n[k:j]) >= 20 and not any(fits(k, x) for x in range(k, j + 1))), 0)))
+    return {(i, j) for i, j in out if i >= 0 and j > i and n[i]}
+
+
 def brute_spans(rows):
     first, gone = {}, collections.defaultdict(set)
     for i, t in sorted(rows):
-        for p, n, a, b in spans.spans(t):
-            if (a, b) in first:
-                gone[i].update(range(p, p + n))
-            else:
-                first[a, b] = (i, p)
-    return {i: "".join(t[a:b] for k, (a, b) in enumerate(spans.sentences(t)) if k not in gone[i]) for i, t in rows}
+        parts = cut_sentences(t)
+        for p, q in sorted(naive_runs(parts)):
+            key = tuple(tuple(x.lower().split()) for x in parts[p:q])
+            if first.setdefault(key, (i, p)) != (i, p):
+                gone[i].update(range(p, q))
+    return {i: "".join(x for k, x in enumerate(cut_sentences(t)) if k not in gone[i]) for i, t in rows}
 
 
 def test_sentences_cover_the_text(real):
@@ -83,6 +117,12 @@ def test_spans_remove_whole_passages(spark, lengths):
     assert got[1] == rows[0][1] and got[2] == rows[1][1].replace(passage + " ", "")
 
 
+def test_one_sentence_is_no_span(spark):
+    long = "This one sentence is much longer than all the others here and holds more than five and twenty words, but it is alone in its text and so it must stay where it is."
+    got = {r.doc_id: r.text for r in spans.remove_repeats(docs(spark, [(1, "Before. " + long + " After it.", "a"), (2, "Else. " + long + " Quite another end.", "a")])).collect()}
+    assert long in got[1] and long in got[2]
+
+
 def test_spans_edges(spark):
     out = spans.remove_repeats(docs(spark, EDGE, True)).collect()
     assert len(out) == len(EDGE) and {"score", "at", "n"} <= set(out[0].asDict())
