@@ -7,9 +7,11 @@ still add at most ``|q| * |rest|`` (Cauchy-Schwarz, with the exact norm of its u
 known interval. A query stops once the proof leaves few possible members - vectors whose upper bound reaches the k-th
 best lower bound - and only those are scored exactly; without a proof all levels are read and the scores are exact.
 
-Blocks hold ``BLOCK`` vectors; the stated query set is packed in blocks as well and each pair of blocks is a task's
-unit, so the work is the queries times the rows, no task or driver holds more than two blocks, and each unit gives k
-rows for each query.
+Blocks hold ``BLOCK`` vectors. A segment holds the postings of one level (vector, component, value), and a level is added
+over the vectors and components that it holds, no others. Every query first meets one block; the k-th score it finds
+there is a floor for all blocks, so most of them are given up after their first levels. Then GROUP blocks of queries at
+once meet each block of rows, whose bytes are sent once for them. The work is the stated queries times the rows, no task
+or driver holds more than a block of rows and GROUP blocks of queries, and each meeting gives k rows at most for a query.
 
 Defined results: vectors that are null or hold null or non-finite components take no part, nor do those whose id is
 null; shorter vectors count as filled with zeros; rows with the query's own id are no candidates; repeated rows are
@@ -29,6 +31,8 @@ from plumbline.llm.common import table, written
 
 BLOCK = 4096
 QUERY_BLOCK = 1024
+#: Blocks of queries that a block of rows meets in one task.
+GROUP = 16
 #: A query stops reading levels when at most this many times k rows can still be in its result.
 FEW = 4
 
@@ -59,17 +63,23 @@ class Segments:
     def __init__(self, x: np.ndarray):
         self.x = x
         impact = np.frexp(np.abs(x).astype(np.float64))[1]
-        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
-        rest = x.astype(np.float64)
+        #: Of each level: its vectors, its components, their values (a posting each; 0 where there is none), norms of the rest.
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        rest = (x.astype(np.float64) ** 2).sum(1)
         # impacts below the third bit are one last segment: they are many and add little
         for level in sorted(set(np.unique(impact[impact > 2]).tolist()) | {2}, reverse=True):
-            hit = (impact == level) if level > 2 else (impact <= 2) & (impact > 0)
-            rest = np.where(hit, 0.0, rest)
-            self.levels.append((np.where(hit, x, 0), np.sqrt((rest**2).sum(1))))
-
-
-def block_topk(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, segments: Segments, k: int, few: int = FEW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, id, score) of the k best rows of the block for each query."""
+            vector, component = np.nonzero((impact == level) if level > 2 else (impact <= 2) & (impact > 0))
+            value = x[vector, component]
+            rest = rest - np.bincount(vector, value.astype(np.float64) ** 2, len(x))
+            own, row = np.unique(vector, return_inverse=True)
+            dims, column = np.unique(component, return_inverse=True)
+            held = np.zeros((len(own), len(dims)), x.dtype)
+            held[row, column] = value
+            self.levels.append((own, dims, held, np.sqrt(np.maximum(rest, 0.0)) * (1 + 1e-9)))
+
+
+def block_topk(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, segments: Segments, k: int, few: int = FEW, floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, id, score) of the k best rows of the block for each query; with ``floor``, of those that reach it."""
     x = segments.x
     d = max(q.shape[1], x.shape[1])
     # float32 holds every partial sum exactly below 2**24, float64 below 2**53; beyond that integers
@@ -90,16 +100,20 @@ def block_topk(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, segments: Segm
         """Exact scores of the possible members of each finished query, k best of them."""
         for r, m in zip(rows, member, strict=True):
             at = np.flatnonzero(m)
-            s = x[at] @ q[r]
-            best = np.lexsort((ids[at], -s))[:k]
-            out_q.append(np.full(len(best), r))
-            out_id.append(ids[at][best])
-            out_s.append(s[best])
-
-    for n, (plane, rest) in enumerate(segments.levels):
-        if plane.shape[1] != d:
-            plane = np.pad(plane, ((0, 0), (0, d - plane.shape[1])))
-        acc += qk[live] @ plane.astype(kind).T
+            if len(at):
+                s = x[at] @ q[r]
+                best = np.lexsort((ids[at], -s))[:k]
+                out_q.append(np.full(len(best), r))
+                out_id.append(ids[at][best])
+                out_s.append(s[best])
+
+    for n, (vectors, dims, held, rest) in enumerate(segments.levels):
+        if len(vectors):
+            part = qk[np.ix_(live, dims)] @ held.astype(kind).T
+            if len(vectors) == acc.shape[1]:
+                acc += part
+            else:
+                acc[:, vectors] += part
         last = n == len(segments.levels) - 1
         # a hair wider than the bound, so that its rounding cannot turn a member away
         slack = None if last else (norm[live, None] * rest[None, :] * (1 + 1e-6) + 1e-3).astype(np.float32)
@@ -110,6 +124,8 @@ def block_topk(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, segments: Segm
             kth = np.partition(low, len(ids) - k, axis=1)[:, len(ids) - k]
         else:
             kth = np.full(len(live), -np.inf)
+        if floor is not None:
+            kth = np.maximum(kth, floor[live])
         member = ((acc if last else acc + slack) >= kth[:, None]) & ~own[live]
         done = np.ones(len(live), bool) if last else member.sum(1) <= few * k
         if done.any():
@@ -117,7 +133,7 @@ def block_topk(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, segments: Segm
             live, acc = live[~done], acc[~done]
         if not len(live):
             break
-    if not segments.levels or not out_q:
+    if not out_q:
         empty = np.zeros(0, np.int64)
         return empty, empty, empty
     return np.concatenate(out_q), np.concatenate(out_id), np.concatenate(out_s).astype(np.int64)
@@ -144,24 +160,52 @@ def topk(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     spread = F.xxhash64(F.monotonically_increasing_id())
     left = packed(candidates, F.pmod(spread, F.lit(blocks)))
     right = packed(queries, F.pmod(spread, F.lit(q_blocks))).select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("raw").alias("q_raw"), F.col("d").alias("q_d"))
-    # every block of the stated queries meets every block of rows, a pair of blocks a row
-    units = right.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).join(left, "block")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, segments, ids = None, None, None
+    left, right = written(left, "topk-blocks"), written(right, "topk-query-blocks")
+    meet = lambda rows, asked: rows.groupBy("block", "group").cogroup(asked.groupBy("block", "group")).applyInArrow(_meeting(k), "query_id long, query_row long, id long, score long")
+    # a block for each block of queries, whose k-th scores are the floors everywhere else
+    first = right.withColumn("block", F.pmod("q_block", F.lit(blocks)).cast("long")).withColumn("group", F.col("q_block")).withColumn("floors", F.lit(None).cast("binary"))
+    own = F.when(F.col("block") < q_blocks, F.sequence(F.col("block"), F.lit(q_blocks - 1).cast("long"), F.lit(blocks).cast("long")))
+    found = written(meet(left.withColumn("group", F.explode(own)), first), "topk-first")
+    kth = found.groupBy("query_row").agg(F.count("*").alias("n"), F.min("score").alias("s")).where(F.col("n") >= k).select((F.shiftright("query_row", 32)).alias("q_block"), F.struct(F.col("query_row").bitwiseAND((1 << 32) - 1).alias("row"), "s").alias("f"))
+    floors = kth.groupBy("q_block").agg(F.collect_list("f").alias("f"))
+
+    def as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                if r["block"] != block:
-                    block = r["block"]
-                    ids, x = unpack(r["ids"], r["raw"], r["d"])
-                    segments = Segments(x)
-                q_ids, q = unpack(r["q_ids"], r["q_raw"], r["q_d"])
-                at, found, score = block_topk(q_ids, q, ids, segments, k)
-                yield pa.RecordBatch.from_arrays([pa.array(q_ids[at]), pa.array(at + (r["q_block"] << 32)), pa.array(found), pa.array(score)], names=["query_id", "query_row", "id", "score"])
-
-    local = units.repartition(min(blocks * q_blocks, 4 * int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "block", "q_block").sortWithinPartitions("block").mapInArrow(run, "query_id long, query_row long, id long, score long")
+            raw = []
+            for ids, own in zip(batch.column(1).to_pylist(), batch.column(4).to_pylist(), strict=True):
+                least = np.full(len(ids) // 8, -np.inf)
+                for f in own or ():
+                    least[f["row"]] = np.nextafter(float(f["s"]), -np.inf)
+                raw.append(least.tobytes())
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(raw, pa.binary())], names=["q_block", "q_ids", "q_raw", "q_d", "floors"])
+
+    # at most QUERY_BLOCK floors come together
+    bounded = right.join(floors, "q_block", "left").mapInArrow(as_bytes, "q_block long, q_ids binary, q_raw binary, q_d int, floors binary")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    asked = bounded.withColumn("group", F.floor(F.col("q_block") / GROUP)).withColumn("block", every(blocks)).where(F.col("block") != F.pmod("q_block", F.lit(blocks)))
+    rest = meet(left.withColumn("group", every(-(-q_blocks // GROUP))), asked)
     w = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "id")
-    return local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+    return found.unionByName(rest).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+
+
+def _meeting(k: int):
+    """A block of rows with blocks of queries to the best rows of each query."""
+
+    def run(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        out: list[list[np.ndarray]] = [[], [], [], []]
+        if rows.num_rows and asked.num_rows:
+            r = rows.slice(0, 1).to_pylist()[0]
+            ids, x = unpack(r["ids"], r["raw"], r["d"])
+            segments = Segments(x)
+            for a in asked.select(["q_block", "q_ids", "q_raw", "q_d", "floors"]).to_pylist():
+                q_ids, q = unpack(a["q_ids"], a["q_raw"], a["q_d"])
+                floor = np.frombuffer(a["floors"], np.float64) if a["floors"] else None
+                at, found, score = block_topk(q_ids, q, ids, segments, k, floor=floor)
+                for part, one in zip(out, (q_ids[at], at + (a["q_block"] << 32), found, score), strict=True):
+                    part.append(one)
+        return pa.table({c: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64), pa.int64()) for c, v in zip(("query_id", "query_row", "id", "score"), out, strict=True)})
+
+    return run
 
 
 def op4_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -241,6 +241,22 @@ def test_topk_brute_and_edges(spark):
     assert topk.topk(df.where("false"), df.where("false"), 3).count() == 0
 
 
+def test_topk_over_many_blocks(spark, monkeypatch):
+    """Floors from one block, groups of query blocks, ties, long components and a vector alone, against brute force."""
+    for name, size in (("BLOCK", 16), ("QUERY_BLOCK", 8), ("GROUP", 2)):
+        monkeypatch.setattr(topk, name, size)
+    rng = np.random.default_rng(11)
+    vectors = [rng.integers(-60, 60, 6).tolist() for _ in range(150)] + [[5] * 6] * 30 + [[2**33, -(2**30), 1, 0, 0, 7], [3]]
+    rows = spark.createDataFrame(list(enumerate(vectors)), "id long, v array<long>")
+    got = collections.defaultdict(list)
+    for r in topk.topk(rows, rows.where("id % 3 = 0"), 5).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.id, r.score))
+    padded = [v + [0] * (6 - len(v)) for v in vectors]
+    for q in range(0, len(vectors), 3):
+        every = sorted(((i, sum(a * b for a, b in zip(padded[q], v, strict=True))) for i, v in enumerate(padded) if i != q), key=lambda s: (-s[1], s[0]))
+        assert got[q] == every[:5]
+
+
 def test_block_topk_large_numbers():
     x = np.array([[2**20, 1], [-(2**20), 5], [3, 2**19]], np.int64)
     q, ids = np.array([[2**20, 7]], np.int64), np.array([1, 2, 3])
