@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions import documents as d
@@ -17,32 +17,39 @@ def part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part")
 
 
-N, SIZE = F.col("p_partkey"), F.col("p_size")
+def _n() -> Column:
+    return F.col("p_partkey")
+
+
+def _size() -> Column:
+    return F.col("p_size")
+
+
 _KM = "p_partkey % 9000 + 100"
 
 
 @query(f"""SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN ({_KM}) * 1000 + p_size + 100 WHEN 1 THEN p_partkey + 1000000 WHEN 2 THEN p_partkey + 2000000 ELSE ({_KM}) * 1000 END::DOUBLE AS pos FROM part""")
 def free_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions in running text: 12+345, CH 1234567, a bare number of seven digits, km 12."""
-    km = N % 9000 + 100
-    text = F.when(SIZE % 4 == 0, F.format_string("bridge at %d+%d, left", km, SIZE + 100)).when(SIZE % 4 == 1, F.format_string("at CH. %d only", N + 1000000)).when(SIZE % 4 == 2, F.format_string("near %d there", N + 2000000)).otherwise(F.format_string("past km %d", km))
+    km = _n() % 9000 + 100
+    text = F.when(_size() % 4 == 0, F.format_string("bridge at %d+%d, left", km, _size() + 100)).when(_size() % 4 == 1, F.format_string("at CH. %d only", _n() + 1000000)).when(_size() % 4 == 2, F.format_string("near %d there", _n() + 2000000)).otherwise(F.format_string("past km %d", km))
     return part(spark, sf_dir).select("p_partkey", parse.free_position(text).alias("pos"))
 
 
 @query("SELECT p_partkey, rtrim(rtrim(printf('%.3f', p_retailprice + p_size / 8.0), '0'), '.') AS text, (p_size * 25)::DOUBLE AS one_in FROM part")
 def plain_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return part(spark, sf_dir).select("p_partkey", parse.plain(F.col("p_retailprice") + SIZE / 8.0).alias("text"), parse.one_in(F.format_string("falls 1 IN %d here", SIZE * 25)).alias("one_in"))
+    return part(spark, sf_dir).select("p_partkey", parse.plain(F.col("p_retailprice") + _size() / 8.0).alias("text"), parse.one_in(F.format_string("falls 1 IN %d here", _size() * 25)).alias("one_in"))
 
 
 @query("SELECT p_partkey, greatest(p_size, p_partkey % 60) + 0.5 AS level FROM part")
 def highest_level(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.format_string("HFL: %d.5 OHFL 999 AND HFL = %d.5", SIZE, N % 60)
+    text = F.format_string("HFL: %d.5 OHFL 999 AND HFL = %d.5", _size(), _n() % 60)
     return part(spark, sf_dir).select("p_partkey", parse.highest_level(F.regexp_replace(text, "OHFL 999", "BED 7"), "HFL").alias("level"))
 
 
 @query("SELECT p_partkey, (p_partkey % 7 + 1)::DOUBLE AS cells, p_size + 0.5 AS span, p_size::DOUBLE AS height FROM part")
 def box_configurations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.format_string("%d x %d.5 X %d", N % 7 + 1, SIZE, SIZE)
+    text = F.format_string("%d x %d.5 X %d", _n() % 7 + 1, _size(), _size())
     return part(spark, sf_dir).select("p_partkey", parse.configuration(text).alias("c")).select("p_partkey", "c.cells", "c.span", "c.height")
 
 
@@ -65,9 +72,9 @@ def thinking_and_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
  CASE p_size % 3 WHEN 2 THEN 'none - space available for proposed line' WHEN 1 THEN '2 X ' || p_size || ' - BOX' END AS proposal, CASE WHEN p_size % 3 = 1 THEN 'MINOR' END AS category, p_partkey + 0.5 AS chainage_m FROM part""")
 def callouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (
-        F.when(SIZE % 3 == 0, F.format_string("C/L OF EXG. LC %d OLD ROAD AT CH: %d.5", N, N))
-        .when(SIZE % 3 == 1, F.format_string("C/L OF EXG. BR. NO. %d PIPE %s - 1 X %d - DITCH PRO TO BE EXTENDED AS 2 X %d - BOX (MINOR) AT CH: %d.5", N, F.col("p_type"), SIZE, SIZE, N))
-        .otherwise(F.format_string("C/L OF EXG. ROB-%d LANE SPACE AVAILABLE FOR PROP. LINE AT CH: %d.5", N, N))
+        F.when(_size() % 3 == 0, F.format_string("C/L OF EXG. LC %d OLD ROAD AT CH: %d.5", _n(), _n()))
+        .when(_size() % 3 == 1, F.format_string("C/L OF EXG. BR. NO. %d PIPE %s - 1 X %d - DITCH PRO TO BE EXTENDED AS 2 X %d - BOX (MINOR) AT CH: %d.5", _n(), F.col("p_type"), _size(), _size(), _n()))
+        .otherwise(F.format_string("C/L OF EXG. ROB-%d LANE SPACE AVAILABLE FOR PROP. LINE AT CH: %d.5", _n(), _n()))
     )
     c = part(spark, sf_dir).select("p_partkey", d.callout(text).alias("c"))
     return c.select("p_partkey", *[f"c.{x}" for x in ("bridge_id", "existing_type", "existing_span", "proposal", "category", "chainage_m")])
@@ -76,7 +83,7 @@ def callouts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT p_partkey, p_size + 0.25 AS existing_fl, p_size + 0.5 + CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END AS proposed_fl, CASE WHEN p_partkey % 2 = 1 THEN p_size - 1.0 END AS bed_level FROM part""")
 def level_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Levels by the names of lines, the highest ordinal being the proposed one, or by EXG and PROP."""
-    text = F.when(N % 2 == 0, F.format_string("FL UP LINE = %d.25 FL 3RD LINE = 0.5 FL 4TH LINE = %d.5", SIZE, SIZE + 1)).otherwise(F.format_string("EXG. FL : %d.25 PROP. FL : %d.5 BL : %d.0", SIZE, SIZE, SIZE - 1))
+    text = F.when(_n() % 2 == 0, F.format_string("FL UP LINE = %d.25 FL 3RD LINE = 0.5 FL 4TH LINE = %d.5", _size(), _size() + 1)).otherwise(F.format_string("EXG. FL : %d.25 PROP. FL : %d.5 BL : %d.0", _size(), _size(), _size() - 1))
     return part(spark, sf_dir).select("p_partkey", d.level_block(text).alias("b")).select("p_partkey", "b.existing_fl", "b.proposed_fl", "b.bed_level")
 
 
@@ -84,18 +91,18 @@ def level_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
  CASE WHEN p_size % 3 = 0 THEN lower(p_brand) WHEN p_size % 3 = 1 THEN '4th line' ELSE '3rd line' END AS line,
  CASE WHEN p_size BETWEEN 10 AND 20 THEN 'this sheet' WHEN p_size < 10 THEN 'previous sheet' ELSE 'next sheet' END AS place FROM part""")
 def sheet_names_and_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    drawing = F.when(SIZE % 2 == 0, F.format_string("A/S-%d/P&P/%d", SIZE, N % 900))
-    lines = F.create_map(F.lit("proposed"), F.when(SIZE % 3 == 0, F.col("p_brand")).otherwise(F.lit("")))
-    title = F.when(SIZE % 3 == 1, "PLAN OF THE 4TH LINE").otherwise("PLAN")
-    return part(spark, sf_dir).select("p_partkey", d.sheet_id(drawing, F.format_string("in/plan %d.pdf", N), SIZE).alias("sheet"), d.line_of(lines, title).alias("line"), d.belongs_to(SIZE.cast("double"), F.lit(10.0), F.lit(20.0)).alias("place"))
+    drawing = F.when(_size() % 2 == 0, F.format_string("A/S-%d/P&P/%d", _size(), _n() % 900))
+    lines = F.create_map(F.lit("proposed"), F.when(_size() % 3 == 0, F.col("p_brand")).otherwise(F.lit("")))
+    title = F.when(_size() % 3 == 1, "PLAN OF THE 4TH LINE").otherwise("PLAN")
+    return part(spark, sf_dir).select("p_partkey", d.sheet_id(drawing, F.format_string("in/plan %d.pdf", _n()), _size()).alias("sheet"), d.line_of(lines, title).alias("line"), d.belongs_to(_size().cast("double"), F.lit(10.0), F.lit(20.0)).alias("place"))
 
 
 @query("""SELECT p_partkey, (CASE WHEN p_size % 2 = 0 THEN p_size ELSE 762 END) / 1000.0 AS rail, (CASE WHEN p_size % 3 = 0 THEN p_size + 100 ELSE 150 END)::DOUBLE AS ruling, p_size > 5 AND p_name <> '' AS complete FROM part""")
 def constants_from_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rail height and ruling gradient from notes, with defaults; whether a bridge has all that it must."""
     note = lambda on, text: F.struct(F.when(on, text).otherwise(F.lit("SEE PLAN.")).alias("text"))
-    rail, ruling = d.constants(F.array(note(SIZE % 2 == 0, F.format_string("RAIL LEVEL SHOULD BE %d MM ABOVE FORMATION.", SIZE)), note(SIZE % 3 == 0, F.format_string("RULING GRADIENT IS 1 IN %d.", SIZE + 100))))
-    bridge = F.struct(*[F.col("p_name").alias(x) for x in d.REQUIRED[:-1]], F.when(SIZE > 5, SIZE).otherwise(0).cast("double").alias("chainage_m"))
+    rail, ruling = d.constants(F.array(note(_size() % 2 == 0, F.format_string("RAIL LEVEL SHOULD BE %d MM ABOVE FORMATION.", _size())), note(_size() % 3 == 0, F.format_string("RULING GRADIENT IS 1 IN %d.", _size() + 100))))
+    bridge = F.struct(*[F.col("p_name").alias(x) for x in d.REQUIRED[:-1]], F.when(_size() > 5, _size()).otherwise(0).cast("double").alias("chainage_m"))
     return part(spark, sf_dir).select("p_partkey", rail.alias("rail"), ruling.alias("ruling"), d.complete(bridge).alias("complete"))
 
 

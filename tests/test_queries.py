@@ -41,3 +41,12 @@ def test_entry_has_rows(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_entry_is_imported_without_a_session():
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"], cwd=root, check=True, timeout=120)
