@@ -6,7 +6,8 @@ the risk on clean text without a clean label. When a batch drives that part belo
 that a flexible model cannot win by overfitting P.
 
 Features are the presence of words and of word beginnings (inflected insults share a stem), selected by a two-sample
-z score of their document frequency in P against U. The model is linear and trained here with numpy.
+z score of their document frequency in P against that in all training texts; the sample bounds the gradient steps alone.
+The model is linear and trained here with numpy.
 
 Defined results: a null or empty text has no features and gets the bias alone; a document id that is null is never in
 a sample and is scored like any other; repeated rows are scored each; with no confirmed toxic text in the training
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import table
+from plumbline.llm.common import scratch, table, written
 
 #: Bounds of what the classifier is fitted on; everything else reads all rows.
 MAX_POSITIVE = 4000
@@ -60,23 +61,37 @@ class Model:
 
 
 def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = {True: Counter(), False: Counter()}
+    counts: Counter[str] = Counter()
     cache: dict[str, list[str]] = {}
     for batch in batches:
-        for text, positive in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for text in batch.column(0).to_pylist():
             own: set[str] = set()
             for word in set(WORD.findall((text or "").lower())):
                 if (found := cache.get(word)) is None:
                     found = cache[word] = word_features(word)
                 own.update(found)
-            counts[positive].update(own)
-    names = list(counts[True].keys() | counts[False].keys())
+            counts.update(own)
+    names = list(counts)
     for at in range(0, len(names), 50_000):
         part = names[at : at + 50_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(part), *(pa.array([counts[side][x] for x in part], pa.int64()) for side in (True, False))],
-            names=["feature", "in_p", "in_u"],
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([counts[x] for x in part], pa.int64())], names=["feature", "n"])
+
+
+def _document_frequency(texts: DataFrame, features: list[str]) -> np.ndarray:
+    """In how many of all ``texts`` each feature is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, total = _Finder({x: k for k, x in enumerate(features)}), np.zeros(len(features), np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                total[list(find(text))] += 1
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[held])], names=["k", "n"])
+
+    out = np.zeros(len(features))
+    for r in texts.select("text").mapInArrow(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
+        out[r.k] = r.n
+    return out
 
 
 class _Finder:
@@ -149,16 +164,28 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
     sample = docs.join(F.broadcast(chosen), "doc_id", "left").where(F.col("positive") | (spread < F.lit(share))).select("text", F.coalesce("positive", F.lit(False)).alias("positive"), (spread < F.lit(share)).alias("drawn"))
     # a confirmed toxic text that the unlabelled draw also hits belongs to both
     sample = sample.select("text", F.explode(F.when(F.col("positive") & F.col("drawn"), F.array(F.lit(True), F.lit(False))).otherwise(F.array("positive"))).alias("positive"))
-    counts = sample.mapInArrow(_count_features, "feature string, in_p long, in_u long").groupBy("feature").agg(F.sum("in_p").alias("in_p"), F.sum("in_u").alias("in_u"))
+    with scratch(documents.sparkSession):
+        return _fit_sample(written(sample, "toxicity-sample"), docs, rows, prior)
+
+
+def _fit_sample(sample: DataFrame, docs: DataFrame, rows: int, prior: float) -> Model:
+    """Features by their counts in P and in all of ``docs``, weights by the sample."""
+    empty = Model({}, np.zeros(0), float(np.log(prior / (1 - prior))))
     n_p, n_u = sample.agg(F.sum(F.col("positive").cast("long")), F.sum((~F.col("positive")).cast("long"))).first()
     if not n_p or not n_u:
-        return Model({}, np.zeros(0), float(np.log(prior / (1 - prior))))
-    pooled = (F.col("in_p") + F.col("in_u")) / F.lit(float(n_p + n_u))
-    z = (F.col("in_p") / F.lit(float(n_p)) - F.col("in_u") / F.lit(float(n_u))) / F.sqrt(pooled * (1 - pooled) * F.lit(1 / n_p + 1 / n_u))
-    best = counts.where((F.col("in_p") >= min(MIN_DF, max(1, n_p // 10))) & (pooled < 1)).withColumn("z", z).where((F.col("z") >= MIN_Z) & (F.col("in_p") / n_p >= MIN_LIFT / prior * F.col("in_u") / n_u)).orderBy(F.desc("z"), "feature").limit(MAX_FEATURES).select("feature").collect()
-    features = {r[0]: k for k, r in enumerate(best)}
+        return empty
+    in_p = sample.where("positive").select("text").mapInArrow(_count_features, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    # features of MIN_DF of at most MAX_POSITIVE texts
+    known = sorted(in_p.where(F.col("n") >= min(MIN_DF, max(1, n_p // 10))).collect())
+    names, p = [r[0] for r in known], np.array([r[1] for r in known], float)
+    u = _document_frequency(docs, names)
+    pooled = (p + u) / (n_p + rows)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        z = (p / n_p - u / rows) / np.sqrt(pooled * (1 - pooled) * (1 / n_p + 1 / rows))
+    good = np.flatnonzero((pooled < 1) & (z >= MIN_Z) & (p / n_p >= MIN_LIFT / prior * u / rows))
+    features = {names[i]: k for k, i in enumerate(good[np.argsort(-z[good], kind="stable")][:MAX_FEATURES])}
     if not features:
-        return Model({}, np.zeros(0), float(np.log(prior / (1 - prior))))
+        return empty
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = _Finder(features)
