@@ -22,9 +22,8 @@ from __future__ import annotations
 
 import string
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
@@ -58,8 +57,14 @@ class Terms:
     """Word -> term; -1 for words outside the vocabulary."""
 
     def __init__(self, vocabulary: dict[str, int]):
+        self.bare = vocabulary.get
         self.get = {w + m: t for w, t in vocabulary.items() for m in MARKS}.get
 
+    def exact(self, text: str) -> np.ndarray:
+        """Terms of all words of one text, whatever marks are at their ends."""
+        words = text.lower().split()
+        return np.fromiter(map(self.bare, map(str.strip, words, repeat(PUNCTUATION)), repeat(-1)), np.int32, len(words))
+
     def of(self, texts: list[str | None], pad: int) -> tuple[np.ndarray, np.ndarray]:
         """Terms of all texts one behind another, each filled up to a multiple of ``pad`` and one pad more; where each starts."""
         parts, starts, at = [], [], 0
@@ -81,15 +86,17 @@ def words_of(text: str) -> list[str]:
     return [w.strip(PUNCTUATION) for w in text.lower().split()]
 
 
-def vocabulary(items: list[str]) -> dict[str, int]:
+def vocabulary(items: list[str]) -> tuple[dict[str, int], np.ndarray]:
+    """Term of each word, and the bucket of each term in the latent space."""
     words = sorted({w for t in items for w in words_of(t) if w})
-    return {w: k for k, w in enumerate(words)} if len(words) <= TERMS else {w: zlib.crc32(w.encode()) % TERMS for w in words}
+    buckets = range(len(words)) if len(words) <= TERMS else (zlib.crc32(w.encode()) % TERMS for w in words)
+    return {w: k for k, w in enumerate(words)}, np.fromiter(buckets, np.int32, len(words))
 
 
-def _passages(terms: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(passage, term) of the kept terms, in passages of WINDOW words that do not overlap."""
+def _passages(terms: np.ndarray, bucket: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(passage, bucket) of the kept terms, in passages of WINDOW words that do not overlap."""
     at = np.flatnonzero(terms >= 0)
-    own = terms[at]
+    own = bucket[terms[at]]
     good = keep[own]
     return at[good] // WINDOW, own[good]
 
@@ -133,16 +140,16 @@ def _add_up(texts: DataFrame, of_batch, size: int, width: int, parts: int = 64)
 
 @dataclass
 class Space:
-    """Latent space of a set of items: ``rows[term]`` is idf times the term's coordinates."""
+    """Latent space of a set of items: ``rows[bucket]`` is idf times its coordinates; items and answers are terms."""
 
     terms: dict[str, int]
+    bucket: np.ndarray
     rows: np.ndarray
     keep: np.ndarray
     ids: list[int]
-    words: list[list[str]]
-    answers: list[list[str]]
+    words: list[np.ndarray]
+    answers: list[np.ndarray]
     vectors: np.ndarray
-    masks: list[dict[str, int]] = field(default_factory=list)
 
 
 def kept_terms(items: list[np.ndarray], df: np.ndarray, n: float, idf: np.ndarray) -> np.ndarray:
@@ -160,15 +167,15 @@ def fit(texts: DataFrame, items: list[tuple[int, str]], rank: int = RANK, seed:
     items = [(i, t) for i, t in items if t and any(words_of(t))]
     if not items:
         return None
-    terms = vocabulary([t for _, t in items])
-    size = max(terms.values()) + 1
+    terms, bucket = vocabulary([t for _, t in items])
+    size = int(bucket.max()) + 1
 
     def frequency():
         find, every = Terms(terms), np.ones(size, bool)
 
         def add(part: list[str | None], total: np.ndarray) -> None:
             terms_of, starts = find.of(part, WINDOW)
-            p, t = _passages(terms_of, every)
+            p, t = _passages(terms_of, bucket, every)
             if len(t):
                 total[:, 0] += np.bincount(np.unique(p * size + t) % size, minlength=size)
             # every text has one passage more than it fills
@@ -180,8 +187,8 @@ def fit(texts: DataFrame, items: list[tuple[int, str]], rank: int = RANK, seed:
     df, n = counts[:, 0], counts[0, 1]
     # above 0 also for a term in every passage
     idf = np.log1p(n / (1 + df))
-    words = [[w for w in words_of(t) if w] for _, t in items]
-    keep = kept_terms([np.array([terms[w] for w in own]) for own in words], df, n, idf)
+    words = [np.array([terms[w] for w in words_of(t) if w], np.int32) for _, t in items]
+    keep = kept_terms([bucket[own] for own in words], df, n, idf)
     rng = np.random.default_rng(seed)
     rank = min(rank, size)
 
@@ -190,7 +197,7 @@ def fit(texts: DataFrame, items: list[tuple[int, str]], rank: int = RANK, seed:
             find = Terms(terms)
 
             def add(part: list[str | None], total: np.ndarray) -> None:
-                p, t = _passages(find.of(part, WINDOW)[0], keep)
+                p, t = _passages(find.of(part, WINDOW)[0], bucket, keep)
                 if not len(t):
                     return
                 first = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
@@ -216,15 +223,13 @@ def fit(texts: DataFrame, items: list[tuple[int, str]], rank: int = RANK, seed:
     root = np.linalg.cholesky((small + small.T) / 2 + shift * np.eye(rank))
     v, _, _ = np.linalg.svd(np.linalg.solve(root, y.T).T, full_matrices=False)
     rows = (v * (idf * keep)[:, None]).astype(np.float32)
-    answers = [[w for w in words_of(t.strip().split("\n")[-1]) if w] or own for (_, t), own in zip(items, words, strict=True)]
-    vectors = np.zeros((len(items), rank), np.float32)
-    for k, own in enumerate(words):
-        for w in own:
-            vectors[k] += rows[terms[w]]
-    return Space(terms, rows, keep, [i for i, _ in items], words, answers, vectors)
+    last = [[terms[w] for w in words_of(t.strip().split("\n")[-1]) if w] for _, t in items]
+    answers = [np.array(a, np.int32) if a else own for a, own in zip(last, words, strict=True)]
+    vectors = np.array([rows[bucket[own]].sum(axis=0) for own in words], np.float32)
+    return Space(terms, bucket, rows, keep, [i for i, _ in items], words, answers, vectors)
 
 
-def lcs(masks: dict[str, int], n: int, words: list[str]) -> int:
+def lcs(masks: dict, n: int, words: list) -> int:
     """Length of the longest common subsequence; ``masks``: word -> bits of its places in the other sequence of n words."""
     full = (1 << n) - 1
     s = full
@@ -236,8 +241,8 @@ def lcs(masks: dict[str, int], n: int, words: list[str]) -> int:
     return n - s.bit_count()
 
 
-def word_masks(words: list[str]) -> dict[str, int]:
-    out: dict[str, int] = {}
+def word_masks(words: list) -> dict:
+    out: dict = {}
     for k, w in enumerate(words):
         out[w] = out.get(w, 0) | 1 << k
     return out
@@ -251,6 +256,8 @@ class Matcher:
         self.norms = np.maximum(np.linalg.norm(space.vectors, axis=1), 1e-9)
         self.unit = (space.vectors / self.norms[:, None]).astype(np.float32)
         self.masks: dict[int, tuple] = {}
+        #: 1 for the terms of the region looked at
+        self.here = np.zeros(len(space.bucket) + 1, np.float32)
         # the shortest scale that covers an item, in words; a scale beyond SCALES is compared with the items it is needed for
         self.covers = np.array([max(WINDOW, BLOCK << max(0, (-(-len(w) // BLOCK) - 1).bit_length())) for w in space.words])
         self.scales = list(SCALES)
@@ -264,14 +271,14 @@ class Matcher:
         """(first word of the window, item, cosine), in order of the window."""
         space = self.space
         at = np.flatnonzero(terms >= 0)
-        at = at[space.keep[terms[at]]]
+        at = at[space.keep[space.bucket[terms[at]]]]
         none = np.zeros(0, np.int64)
         if not len(at):
             return none, none, np.zeros(0)
         blocks = at // BLOCK
         first = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1]))
         windows = np.zeros((len(terms) // BLOCK + self.scales[-1], space.rows.shape[1]), np.float32)
-        windows[blocks[first]] = np.add.reduceat(space.rows[terms[at]], first)
+        windows[blocks[first]] = np.add.reduceat(space.rows[space.bucket[terms[at]]], first)
         out, scale, weight = [], 1, (WEIGHT * self.norms).astype(np.float32)
         for wanted in self.scales:
             while scale < wanted:
@@ -298,34 +305,46 @@ class Matcher:
     def batch(self, texts: list[str | None]) -> list[list[tuple[int, float, float, float]]]:
         terms, starts = self.terms.of(texts, self.pad)
         start, item, cosine = self.candidates(terms)
-        cuts = np.searchsorted(start, np.append(starts, len(terms) + self.pad))
-        return [self._check(t, start[a:b] - s, item[a:b], cosine[a:b]) if b > a else [] for t, s, a, b in zip(texts, starts.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-
-    def _check(self, text: str, start: np.ndarray, item: np.ndarray, cosine: np.ndarray) -> list[tuple[int, float, float, float]]:
-        words = words_of(text)
-        found: dict[int, tuple[float, float, float]] = {}
-        at, near, bag = (-1, 0), [], frozenset()
         # windows that start within one stretch of WINDOW words share a region, and are looked at once for each item
-        best_of: dict[tuple[int, int, int], float] = {}
-        for q, k, m, c in zip((start // WINDOW).tolist(), item.tolist(), self.covers[item].tolist(), cosine.tolist(), strict=True):
-            best_of[q, m, k] = max(c, best_of.get((q, m, k), 0.0))
-        for (q, m, k), c in sorted(best_of.items()):
+        stretch = start // WINDOW
+        order = np.lexsort((item, self.covers[item], stretch))
+        stretch, item = stretch[order], item[order]
+        first = np.flatnonzero(np.append(True, (stretch[1:] != stretch[:-1]) | (item[1:] != item[:-1]))) if len(order) else order
+        cosine = np.maximum.reduceat(cosine[order], first) if len(order) else cosine
+        stretch, item = stretch[first], item[first]
+        cuts = np.searchsorted(stretch, np.append(starts // WINDOW, len(terms) // WINDOW + 1))
+        return [self._check(self.terms.exact(t), stretch[a:b] - s // WINDOW, item[a:b], cosine[a:b]) if b > a else [] for t, s, a, b in zip(texts, starts.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+    def _item(self, k: int) -> tuple:
+        """Masks and length of an item and of its answer, and how often the item has each of its terms."""
+        if k not in self.masks:
+            w, a = self.space.words[k].tolist(), self.space.answers[k].tolist()
+            own, counts = np.unique(self.space.words[k], return_counts=True)
+            self.masks[k] = (word_masks(w), len(w), word_masks(a), len(a), own, counts.astype(np.float32))
+        return self.masks[k]
+
+    def _check(self, terms: np.ndarray, stretch: np.ndarray, item: np.ndarray, cosine: np.ndarray) -> list[tuple[int, float, float, float]]:
+        """``terms`` of one text; candidates by stretch and item."""
+        found: dict[int, tuple[float, float, float]] = {}
+        at, near, here = (-1, 0), terms[:0], self.here
+        here[:] = 0
+        for q, k, m, c in zip(stretch.tolist(), item.tolist(), self.covers[item].tolist(), cosine.tolist(), strict=True):
             if (q, m) != at:
-                # no window of the item is longer than m, nor is the item
-                at, near = (q, m), words[max(0, q * WINDOW - m) : (q + 1) * WINDOW + 2 * m]
-                bag = frozenset(near)
-            own = self.masks.get(k)
-            if own is None:
-                w, a = self.space.words[k], self.space.answers[k]
-                own = self.masks[k] = (word_masks(w), len(w), word_masks(a), len(a), Counter(w))
-            masks, n, answer, n_answer, counts = own
+                # no window of the item is longer than m, nor is the item; the last place of ``here`` stands for -1
+                here[near] = 0
+                at, near = (q, m), terms[max(0, q * WINDOW - m) : (q + 1) * WINDOW + 2 * m]
+                here[near] = 1
+                here[-1] = 0
+                words = None
+            masks, n, answer, n_answer, own, counts = self._item(k)
             # a sequence is no longer than the words in common
-            if sum(counts[w] for w in counts.keys() & bag) < PARAPHRASE * n or (k in found and found[k][1] >= 1):
+            if counts.dot(here[own]) < PARAPHRASE * n or (k in found and found[k][1] >= 1):
                 continue
+            words = near.tolist() if words is None else words
             # a sequence counts where it is close together: pieces of a length and a half of the item
             best = (0.0, 0.0)
-            for a in range(0, max(1, len(near) - n), max(1, n // 4)):
-                piece = near[a : a + n + max(2, n // 2)]
+            for a in range(0, max(1, len(words) - n), max(1, n // 4)):
+                piece = words[a : a + n + max(2, n // 2)]
                 share = lcs(masks, n, piece) / n
                 if share > best[0]:
                     best = (share, lcs(answer, n_answer, piece) / n_answer)
