@@ -2,6 +2,10 @@
 
 The folder of ``sf_dir`` also gives the labels and the benchmark. Every stage but the last returns the columns of
 ``documents``.
+
+Defined results, in every stage: columns beyond those of ``documents`` are kept, whatever their names; an empty table stays
+empty, with its columns; whole texts are read, however long; a null doc_id is an id like any other. What a null or empty
+text, a tie or a repeated row gives is said at each stage.
 """
 
 from __future__ import annotations
@@ -17,27 +21,45 @@ from plumbline.llm.toxicity import drop_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the classifier rejects."""
+    """Without the documents that the classifier rejects.
+
+    A null or empty text has no features and stays; equal texts, repeated rows among them, are judged alike. A score of 0.5
+    rejects. Without labels nothing is rejected.
+    """
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near duplicates."""
+    """One document, that of the smallest id, of each group of near duplicates.
+
+    Texts without words, null ones too, are near nothing and all stay; of rows that repeat id and text one stays; of
+    different texts of one id each is judged, the smaller hash of the text decides.
+    """
     return one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that repeat, in them or across them; every document stays."""
+    """Texts without the passages that repeat, in them or across them; every document stays.
+
+    No copy is favoured: a passage goes from all its places, so repeated rows of long texts become empty. Null stays null.
+    """
     return cut_repeats(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents into which a benchmark item leaks."""
+    """Without the documents into which a benchmark item leaks.
+
+    A null or empty text leaks nothing; repeated rows are judged alike; without a benchmark all stay.
+    """
     return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents left, with the copies and words that the mix takes of each."""
+    """All documents left, with the copies and words that the mix takes of each.
+
+    A null or empty text has size 0 and nothing is taken of it; null is a source of its own, the last; repeated rows are
+    drawn each. Columns of the input that are named like those of the mix are replaced.
+    """
     return mix(docs)
 
 
