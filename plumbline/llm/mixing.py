@@ -143,13 +143,16 @@ def copied(rows: DataFrame, plan: DataFrame, marks: DataFrame, most: float) -> D
 
 
 def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
-    """All rows and columns of ``documents``, with mix_size, mix_source_size, mix_target, mix_copies and mix_taken."""
+    """All rows and columns of ``documents``, with mix_size, mix_source_size, mix_target, mix_copies and mix_taken, which
+    replace columns of these names."""
     # the row is packed, so that its own names clash with none here
     whole = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), *_slim(documents, seed))
     with scratch(documents.sparkSession):
         plan, marks = plan_of(written(whole.select("source_key", "size", "u"), "mixing"), weights, share, most)
     taken = copied(whole, plan, marks, most)
-    return taken.select("row.*", F.col("size").alias("mix_size"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), F.col("copies").alias("mix_copies"), (F.col("copies") * F.col("size")).alias("mix_taken"))
+    new = {"mix_size": F.col("size"), "mix_source_size": F.col("source_size"), "mix_target": F.col("target"), "mix_copies": F.col("copies"), "mix_taken": F.col("copies") * F.col("size")}
+    own = [F.col(f"row.`{c}`") for c in documents.columns if c.lower() not in new]
+    return taken.select(*own, *[c.alias(name) for name, c in new.items()])
 
 
 def mixed_sizes(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
