@@ -194,20 +194,19 @@ def fit(texts: DataFrame, items: list[tuple[int, str]], rank: int = RANK, seed:
 
     def sketch(basis: np.ndarray):
         def make():
-            find = Terms(terms)
+            find, scaled, squares = Terms(terms), basis * idf[:, None], idf**2
 
             def add(part: list[str | None], total: np.ndarray) -> None:
                 p, t = _passages(find.of(part, WINDOW)[0], bucket, keep)
                 if not len(t):
                     return
                 first = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
-                y = np.add.reduceat(basis[t] * idf[t, None], first)
-                norm = np.sqrt(np.add.reduceat(idf[t] ** 2, first))
-                y /= np.maximum(norm, 1e-9)[:, None] ** 2
-                back = np.repeat(y, np.diff(np.append(first, len(p))), axis=0) * idf[t, None]
+                y = np.add.reduceat(scaled[t], first)
+                y /= np.maximum(np.add.reduceat(squares[t], first), 1e-18)[:, None]
+                passage = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(p))))
                 order = np.argsort(t, kind="stable")
                 at = np.flatnonzero(np.append(True, t[order][1:] != t[order][:-1]))
-                total[t[order][at]] += np.add.reduceat(back[order], at)
+                total[t[order][at]] += np.add.reduceat(y[passage[order]], at)
 
             return add
 
@@ -215,7 +214,7 @@ def fit(texts: DataFrame, items: list[tuple[int, str]], rank: int = RANK, seed:
 
     g = rng.standard_normal((size, rank))
     q, _ = np.linalg.qr(g)
-    y = _add_up(texts, sketch(q), size, rank)
+    y = _add_up(texts, sketch(q), size, rank) * idf[:, None]
     # Nystrom: A^T A ~ Y (Q^T Y)^-1 Y^T, shifted so that the small matrix is positive definite
     shift = 1e-8 * max(np.linalg.norm(y), 1e-12)
     y += shift * q
