@@ -180,3 +180,13 @@ def test_ranking_by_hand(spark):
     texts = spark.createDataFrame([(1, [12.6, 12.0, 9.0], ["LC-9"], ["bridge"]), (2, [13.4], [], ["bridge", "deck"]), (3, [11.3], [], [])], f"tid int, numbers {side}")
     q = spark.createDataFrame([(5, [12.0, 9.0, 14.0], ["LC-9"], ["bridge", "deck"])], f"qid int, numbers {side}")
     assert {r.tid: r.score for r in printed_match(texts, q).collect()} == {1: 10 + 10 + 1, 2: 10 + 2}
+
+
+def test_wording(spark):
+    from plumbline.plans import wording
+
+    rows = [("Width of the",), ("Width of the span",), ("one",), ("Ends with FOR \n",), ("a  beforehand",), ("",), (None,), ("see plan.PDF now",), ("The 3rd line.",), ("The 3rd line. Or not",)]
+    got = spark.createDataFrame(rows, "v string").select(wording.complete(F.col("v")).alias("whole"), wording.may_be_reworded(F.col("v")).alias("free")).collect()
+    assert [r.whole for r in got] == [False, True, False, False, True, False, False, True, True, True]
+    assert [r.free for r in got] == [True, True, True, True, True, True, False, False, False, True]
+    assert wording.loose("details of walls") == r"details\s*of\s*walls"
