@@ -1,11 +1,12 @@
 """Queries of the corpus operators and the DuckDB SQL of those that SQL can express."""
 
-from plumbline.llm import chat, decontam, html_crf, interaction, jaccard, mixing, spans, suffix, topk, toxicity, warc
+from plumbline.llm import chat, collocation, decontam, html_crf, interaction, jaccard, mixing, spans, suffix, topk, toxicity, warc
 
 QUERIES = {
     "op1_sentence_spans": spans.op1_sentence_spans,
     "op10_shingle_jaccard": jaccard.op10_shingle_jaccard,
     "op11_filter_interaction_audit": interaction.op11_filter_interaction_audit,
+    "op12_phrase_collocations": collocation.op12_phrase_collocations,
     "op2_toxicity_nnpu": toxicity.op2_toxicity_nnpu,
     "op3_latent_decontamination": decontam.op3_latent_decontamination,
     "op4_impact_topk": topk.op4_impact_topk,
@@ -18,6 +19,7 @@ QUERIES = {
 SQL = {
     "op10_shingle_jaccard": jaccard.SQL,
     "op11_filter_interaction_audit": interaction.SQL,
+    "op12_phrase_collocations": collocation.SQL,
     "op4_impact_topk": topk.SQL,
     "op5_chat_snapshots": chat.SQL,
     "op8_pareto_mixing": mixing.SQL,
