@@ -218,17 +218,28 @@ def _run_lengths(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Keys sorted by hi; they are taken ROWS at a time and cut where hi changes. Where one hi has more, its counts are
         given out in parts."""
-        held, size = [], 0
+        held, size, begun = [], 0, None
 
         def done(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal held, size
+            nonlocal held, size, begun
             high, low, n = (np.concatenate(x) for x in zip(*held, strict=True))
             cut = len(high) if last else int(np.searchsorted(high, high[-1]))
-            open_run = cut == 0
-            cut = cut or len(high)
-            yield from _prefix_runs(*_summed(high[:cut], low[:cut], n[:cut]), least, open_run)
-            held = [(high[cut:], low[cut:], n[cut:])] if cut < len(high) else []
-            size = len(high) - cut
+            if begun is not None:
+                # the rest of a first key that was begun before
+                rest = int(np.searchsorted(high, begun, side="right"))
+                if rest:
+                    yield from _prefix_runs(*_summed(high[:rest], low[:rest], n[:rest]), least, True)
+                    high, low, n, cut = high[rest:], low[rest:], n[rest:], max(0, cut - rest)
+                if len(high):
+                    begun = None
+            if cut:
+                yield from _prefix_runs(*_summed(high[:cut], low[:cut], n[:cut]), least, False)
+                high, low, n = high[cut:], low[cut:], n[cut:]
+            if len(high) >= ROWS:
+                begun = high[0]
+                yield from _prefix_runs(*_summed(high, low, n), least, True)
+                high = high[:0]
+            held, size = ([(high, low, n)] if len(high) else []), len(high)
 
         for batch in batches:
             high, low, n = (batch.column(k).to_numpy() for k in range(3))
