@@ -1,12 +1,13 @@
 """Queries of the corpus operators and the DuckDB SQL of those that SQL can express."""
 
-from plumbline.llm import chat, collocation, decontam, html_crf, interaction, jaccard, mixing, spans, suffix, topk, toxicity, warc
+from plumbline.llm import chat, collocation, decontam, html_crf, interaction, jaccard, language, mixing, spans, suffix, topk, toxicity, warc
 
 QUERIES = {
     "op1_sentence_spans": spans.op1_sentence_spans,
     "op10_shingle_jaccard": jaccard.op10_shingle_jaccard,
     "op11_filter_interaction_audit": interaction.op11_filter_interaction_audit,
     "op12_phrase_collocations": collocation.op12_phrase_collocations,
+    "op13_language_codes": language.op13_language_codes,
     "op2_toxicity_nnpu": toxicity.op2_toxicity_nnpu,
     "op3_latent_decontamination": decontam.op3_latent_decontamination,
     "op4_impact_topk": topk.op4_impact_topk,

@@ -40,7 +40,7 @@ def test_shared_dir_is_the_sessions(spark):
 @pytest.mark.parametrize("name", sorted(registry.SQL))
 def test_query_equals_sql(spark, sf, name):
     c = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "conversations"):
+    for t in ("documents", "embeddings", "labels", "pages", "conversations"):
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     got = registry.QUERIES[name](spark, sf)
     cols = sorted(got.columns)
