@@ -191,21 +191,3 @@ def answer_mask(ids: list[int], start: list[int], end: int) -> list[int]:
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
 def answer_mask_udf(ids: pd.Series, start: pd.Series, end: pd.Series) -> pd.Series:
     return pd.Series([answer_mask(list(a), list(s), int(e)) for a, s, e in zip(ids, start, end, strict=True)])
-
-
-def components(cells: set[tuple[int, int]]) -> list[set[tuple[int, int]]]:
-    """4-neighbour components of the set cells of one page's grid, by least cell."""
-    left, out = set(cells), []
-    while left:
-        seed = min(left)
-        todo, own = [seed], {seed}
-        left.discard(seed)
-        while todo:
-            y, x = todo.pop()
-            for c in ((y + 1, x), (y - 1, x), (y, x + 1), (y, x - 1)):
-                if c in left:
-                    left.discard(c)
-                    own.add(c)
-                    todo.append(c)
-        out.append(own)
-    return out

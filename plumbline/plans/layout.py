@@ -1,13 +1,10 @@
-"""Layout operators on boxes: assignment, neighbours, near duplicates, tiles, rulers, components."""
+"""Layout operators on boxes: assignment, neighbours, near duplicates, tiles, rulers."""
 
 from __future__ import annotations
 
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.udfs import components
 from plumbline.operators.positional import close_by
 from plumbline.plans.evaluate import _BOX, boxes
 from plumbline.query import query, table
@@ -64,24 +61,6 @@ def colour_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", c[0].alias("r"), c[1].alias("g"), c[2].alias("b"))
 
 
-def page_components(cells: DataFrame) -> DataFrame:
-    """(page, y, x) to (page, y, x, comp): 4-neighbour components of each page's grid, numbered by least cell."""
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        own = components(set(zip(part["y"].tolist(), part["x"].tolist(), strict=True)))
-        return pd.DataFrame([(part["page"].iloc[0], y, x, k) for k, c in enumerate(own) for y, x in sorted(c)], columns=["page", "y", "x", "comp"])
-
-    return cells.groupBy("page").applyInPandas(run, "page long, y long, x long, comp long")
-
-
-@query("""WITH RECURSIVE c AS (SELECT DISTINCT vec_id % 20 AS page, floor(embedding[1] * 20)::BIGINT AS y, floor(embedding[2] * 20)::BIGINT AS x FROM embeddings), n AS (SELECT page, y, x, (y + 100) * 1000 + x + 100 AS id FROM c),
-e AS (SELECT a.page, a.id AS a, b.id AS b FROM n a JOIN n b ON a.page = b.page AND abs(a.y - b.y) + abs(a.x - b.x) = 1), r(page, a, b) AS (SELECT page, id, id FROM n UNION SELECT r.page, r.a, e.b FROM r JOIN e ON r.page = e.page AND r.b = e.a),
-m AS (SELECT page, a, min(b) AS root FROM r GROUP BY 1, 2), s AS (SELECT page, root, count(*) AS cells FROM m GROUP BY 1, 2) SELECT page, row_number() OVER (PARTITION BY page ORDER BY root) - 1 AS comp, cells FROM s""")
-def occupancy_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = table(spark, sf_dir, "embeddings").select((F.col("vec_id") % 20).alias("page"), F.floor(F.col("embedding")[0] * 20).alias("y"), F.floor(F.col("embedding")[1] * 20).alias("x")).distinct()
-    return page_components(cells).groupBy("page", "comp").agg(F.count("*").alias("cells"))
-
-
 @query(f"""WITH b AS ({_BOX}) SELECT vec_id, count(*) OVER (PARTITION BY page ORDER BY y, vec_id) AS row_no, floor((x * 0.6 + y * 0.8) * 1000 + 0.5) / 1000 AS along, floor((y * 0.6 - x * 0.8) * 1000 + 0.5) / 1000 AS offset_ FROM b""")
 def reading_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coordinates along and across a direction, and the order of rows on a page."""

@@ -52,7 +52,6 @@ def test_boxes_and_masks():
     assert udfs.match_boxes([[0, 0, 10, 10], [1, 0, 11, 10]], [[0, 0, 10, 10]]) == (1, 0, 1)
     assert udfs.match_boxes([], [[0, 0, 1, 1]]) == (0, 1, 0)
     assert udfs.answer_mask([5, 1, 2, 7, 9, 1, 2, 8], [1, 2], 9) == [0, 0, 0, 1, 1, 0, 0, 1]
-    assert [len(c) for c in udfs.components({(0, 0), (0, 1), (2, 2), (1, 1)})] == [3, 1]
 
 
 def test_interpolation(spark):
