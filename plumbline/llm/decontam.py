@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import table
+from plumbline.llm.common import scratch, table, written
 
 #: Windows start every BLOCK words and are SCALES blocks long; passages for the statistics are as long as the longest.
 #: For longer items the scales are doubled until the longest is covered; those windows start every eighth of their length.
@@ -49,36 +49,43 @@ ITEMS = 20_000
 PUNCTUATION = string.punctuation + "…“”‘’«»¿¡"
 
 
-#: Marks that may hang on a word; a word with other marks is found by the sequence check alone.
-MARKS = ("", ",", ".", ";", ":", "!", "?", ")", '"', "'")
+#: Words whose terms a task remembers.
+WORDS = 400_000
 
 
-class Terms:
-    """Word -> term; -1 for words outside the vocabulary."""
+class _Remembered(dict):
+    """Terms by word as it is printed, marks at its ends and all."""
 
     def __init__(self, vocabulary: dict[str, int]):
+        super().__init__()
         self.bare = vocabulary.get
-        self.get = {w + m: t for w, t in vocabulary.items() for m in MARKS}.get
-
-    def exact(self, text: str) -> np.ndarray:
-        """Terms of all words of one text, whatever marks are at their ends."""
-        words = text.lower().split()
-        return np.fromiter(map(self.bare, map(str.strip, words, repeat(PUNCTUATION)), repeat(-1)), np.int32, len(words))
-
-    def of(self, texts: list[str | None], pad: int) -> tuple[np.ndarray, np.ndarray]:
-        """Terms of all texts one behind another, each filled up to a multiple of ``pad`` and one pad more; where each starts."""
-        parts, starts, at = [], [], 0
-        for text in texts:
-            words = text.lower().split() if text else ()
-            n = len(words)
-            size = -(-n // pad) * pad + pad
-            own = np.full(size, -1, np.int32)
-            if n:
-                own[:n] = np.fromiter(map(self.get, words, repeat(-1)), np.int32, n)
-            parts.append(own)
-            starts.append(at)
-            at += size
-        return (np.concatenate(parts) if parts else np.zeros(0, np.int32)), np.array(starts, np.int64)
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= WORDS:
+            self.clear()
+        term = self[word] = self.bare(word.strip(PUNCTUATION), -1)
+        return term
+
+
+class Terms:
+    """Word -> term, whatever marks are at its ends; -1 for words outside the vocabulary."""
+
+    def __init__(self, vocabulary: dict[str, int]):
+        self.get = _Remembered(vocabulary).__getitem__
+
+    def of(self, text: str | None) -> np.ndarray:
+        words = text.lower().split() if text else ()
+        return np.fromiter(map(self.get, words), np.int32, len(words))
+
+
+def in_row(parts: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of all texts one behind another, each filled up to a multiple of ``pad`` and one pad more; where each starts."""
+    sizes = np.array([-(-len(x) // pad) * pad + pad for x in parts], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    out = np.full(int(sizes.sum()), -1, np.int32)
+    for at, own in zip(starts.tolist(), parts, strict=True):
+        out[at : at + len(own)] = own
+    return out, starts
 
 
 def words_of(text: str) -> list[str]:
@@ -101,43 +108,65 @@ def _passages(terms: np.ndarray, bucket: np.ndarray, keep: np.ndarray) -> tuple[
     return at[good] // WINDOW, own[good]
 
 
-def _total(rows: DataFrame, parts: int) -> DataFrame:
-    """Sums ``v`` (float64 bytes) by ``k`` in two levels, so no task meets what all tasks have gathered."""
+#: Matrices that one task adds at a time, and how often groups of so many are added: enough for two million partitions.
+TOGETHER, LEVELS = 128, 3
+SLICE = 512
 
-    def add(part: pa.Table) -> pa.Table:
-        total = np.sum([np.frombuffer(v, np.float64) for v in part["v"].to_pylist()], axis=0)
-        return pa.table({"k": part["k"][:1], "v": pa.array([total.tobytes()], pa.binary())})
 
-    first = rows.groupBy("k", "salt").applyInArrow(add, "k int, v binary")
-    return first.groupBy("k").applyInArrow(add, "k int, v binary")
+def _total(rows: DataFrame) -> DataFrame:
+    """Sums ``v`` (float64 bytes) by ``k`` over a tree: a task adds those of TOGETHER partitions, whatever their number."""
 
+    def add(part: pa.Table) -> pa.Table:
+        total = np.zeros(len(part["v"][0].as_py()) // 8)
+        for v in part["v"]:
+            total += np.frombuffer(v.as_py(), np.float64)
+        return pa.table({"k": part["k"][:1], "salt": part["salt"][:1], "v": pa.array([total.tobytes()], pa.binary())})
 
-SLICE = 512
+    for level in range(LEVELS):
+        up = F.floor(F.col("salt") / TOGETHER).cast("int") if level < LEVELS - 1 else F.lit(0)
+        rows = rows.select("k", up.alias("salt"), "v").groupBy("k", "salt").applyInArrow(add, "k int, salt int, v binary")
+    return rows
 
 
-def _add_up(texts: DataFrame, of_batch, size: int, width: int, parts: int = 64) -> np.ndarray:
-    """A size x width matrix summed over all texts. ``of_batch``: () -> function that adds a list of texts to a matrix."""
+def _add_up(encoded: DataFrame, make, size: int, width: int) -> np.ndarray:
+    """A size x width matrix summed over all texts. ``make``: () -> function that adds the terms of some texts to a matrix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        total, add, seen = np.zeros((size, width)), of_batch(), False
+        total, add, seen = np.zeros((size, width)), make(), False
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 seen = True
-                add(batch.column(0).slice(at, 500).to_pylist(), total)
+                add(_decoded(batch.column(0).slice(at, 500)), total)
         if seen:
-            rows = range(0, size, SLICE)
-            salt = TaskContext.get().partitionId() % parts
+            rows = [a for a in range(0, size, SLICE) if total[a : a + SLICE].any()]
+            salt = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays([pa.array([a // SLICE for a in rows], pa.int32()), pa.array([salt] * len(rows), pa.int32()), pa.array([total[a : a + SLICE].tobytes() for a in rows], pa.binary())], names=["k", "salt", "v"])
 
     out = np.zeros((size, width))
-    for r in _total(texts.mapInArrow(run, "k int, salt int, v binary"), parts).collect():
+    for r in _total(encoded.select("terms").mapInArrow(run, "k int, salt int, v binary")).collect():
         part = np.frombuffer(r.v, np.float64).reshape(-1, width)
         out[r.k * SLICE : r.k * SLICE + len(part)] = part
     return out
 
 
+def encoded(rows: DataFrame, terms: dict[str, int]) -> DataFrame:
+    """``rows`` (doc_id, text) as (doc_id, terms): texts are split into words once, and every later pass reads numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = Terms(terms)
+        for batch in batches:
+            own = [find.of(t).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["doc_id", "terms"])
+
+    return written(rows.mapInArrow(run, "doc_id long, terms binary"), "decontam-terms")
+
+
+def _decoded(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.int32) for x in column.to_pylist()]
+
+
 @dataclass
 class Space:
     """Latent space of a set of items: ``rows[bucket]`` is idf times its coordinates; items and answers are terms."""
@@ -163,18 +192,15 @@ def kept_terms(items: list[np.ndarray], df: np.ndarray, n: float, idf: np.ndarra
     return keep
 
 
-def fit(texts: DataFrame, items: list[tuple[int, str]], rank: int = RANK, seed: int = 1) -> Space | None:
-    items = [(i, t) for i, t in items if t and any(words_of(t))]
-    if not items:
-        return None
-    terms, bucket = vocabulary([t for _, t in items])
+def fit(texts: DataFrame, items: list[tuple[int, str]], terms: dict[str, int], bucket: np.ndarray, rank: int = RANK, seed: int = 1) -> Space:
+    """The space of ``items``, all with words, by the terms of all texts (``encoded``)."""
     size = int(bucket.max()) + 1
 
     def frequency():
-        find, every = Terms(terms), np.ones(size, bool)
+        every = np.ones(size, bool)
 
-        def add(part: list[str | None], total: np.ndarray) -> None:
-            terms_of, starts = find.of(part, WINDOW)
+        def add(part: list[np.ndarray], total: np.ndarray) -> None:
+            terms_of, starts = in_row(part, WINDOW)
             p, t = _passages(terms_of, bucket, every)
             if len(t):
                 total[:, 0] += np.bincount(np.unique(p * size + t) % size, minlength=size)
@@ -194,10 +220,10 @@ def fit(texts: DataFrame, items: list[tuple[int, str]], rank: int = RANK, seed:
 
     def sketch(basis: np.ndarray):
         def make():
-            find, scaled, squares = Terms(terms), basis * idf[:, None], idf**2
+            scaled, squares = basis * idf[:, None], idf**2
 
-            def add(part: list[str | None], total: np.ndarray) -> None:
-                p, t = _passages(find.of(part, WINDOW)[0], bucket, keep)
+            def add(part: list[np.ndarray], total: np.ndarray) -> None:
+                p, t = _passages(in_row(part, WINDOW)[0], bucket, keep)
                 if not len(t):
                     return
                 first = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
@@ -251,7 +277,7 @@ class Matcher:
     """Items that leak into a text: (item, cosine, share of its words in sequence, share of its answer)."""
 
     def __init__(self, space: Space):
-        self.space, self.terms = space, Terms(space.terms)
+        self.space = space
         self.norms = np.maximum(np.linalg.norm(space.vectors, axis=1), 1e-9)
         self.unit = (space.vectors / self.norms[:, None]).astype(np.float32)
         self.masks: dict[int, tuple] = {}
@@ -301,8 +327,9 @@ class Matcher:
         order = np.argsort(start, kind="stable")
         return start[order], item[order], cosine[order]
 
-    def batch(self, texts: list[str | None]) -> list[list[tuple[int, float, float, float]]]:
-        terms, starts = self.terms.of(texts, self.pad)
+    def batch(self, parts: list[np.ndarray]) -> list[list[tuple[int, float, float, float]]]:
+        """What leaks into each of some texts, given by their terms."""
+        terms, starts = in_row(parts, self.pad)
         start, item, cosine = self.candidates(terms)
         # windows that start within one stretch of WINDOW words share a region, and are looked at once for each item
         stretch = start // WINDOW
@@ -312,7 +339,7 @@ class Matcher:
         cosine = np.maximum.reduceat(cosine[order], first) if len(order) else cosine
         stretch, item = stretch[first], item[first]
         cuts = np.searchsorted(stretch, np.append(starts // WINDOW, len(terms) // WINDOW + 1))
-        return [self._check(self.terms.exact(t), stretch[a:b] - s // WINDOW, item[a:b], cosine[a:b]) if b > a else [] for t, s, a, b in zip(texts, starts.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        return [self._check(own, stretch[a:b] - s // WINDOW, item[a:b], cosine[a:b]) if b > a else [] for own, s, a, b in zip(parts, starts.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
     def _item(self, k: int) -> tuple:
         """Masks and length of an item and of its answer, and how often the item has each of its terms."""
@@ -353,53 +380,57 @@ class Matcher:
         return [(k, *v) for k, v in sorted(found.items())]
 
 
-def _spaces(documents: DataFrame, benchmark: DataFrame) -> Iterator[Space]:
-    """A space for each ITEMS of the benchmark."""
+def _spaces(documents: DataFrame, benchmark: DataFrame) -> Iterator[tuple[Space, DataFrame]]:
+    """A space for each ITEMS of the benchmark, and the terms of all texts in it."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     groups = max(1, -(-rows.count() // ITEMS))
-    texts = documents.select(F.col("text").cast("string").alias("text")).where("text is not null")
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     for g in range(groups):
         part = rows.where(F.pmod(F.xxhash64("text"), F.lit(groups)) == g).collect()
-        space = fit(texts, sorted(((r.item_id, r.text) for r in part), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
-        if space is not None:
-            yield space
+        items = sorted(((r.item_id, r.text) for r in part if any(words_of(r.text))), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        if items:
+            terms, bucket = vocabulary([t for _, t in items])
+            words = encoded(texts, terms)
+            yield fit(words, items, terms, bucket), words
 
 
-def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, cosine, lcs_share, answer_share of every item that leaks into a text."""
-    out = None
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, item_id long, cosine double, lcs_share double, answer_share double"
-    for space in _spaces(documents, benchmark):
+LEAKS = "doc_id long, item_id long, cosine double, lcs_share double, answer_share double"
 
-        def run(batches: Iterator[pa.RecordBatch], space: Space = space) -> Iterator[pa.RecordBatch]:
-            match = Matcher(space)
-            for batch in batches:
-                for at in range(0, batch.num_rows, match.step):
-                    part = batch.slice(at, match.step)
-                    found = [(d, space.ids[k], c, s, a) for d, own in zip(part.column(0).to_pylist(), match.batch(part.column(1).to_pylist()), strict=True) for k, c, s, a in own]
-                    if found:
-                        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()), strict=True)], names=["doc_id", "item_id", "cosine", "lcs_share", "answer_share"])
 
-        part = rows.mapInArrow(run, schema)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else documents.sparkSession.createDataFrame([], schema)
+def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id, cosine, lcs_share, answer_share of every item that leaks into a text."""
+    out = documents.sparkSession.createDataFrame([], LEAKS)
+    with scratch(documents.sparkSession):
+        for space, words in _spaces(documents, benchmark):
+
+            def run(batches: Iterator[pa.RecordBatch], space: Space = space) -> Iterator[pa.RecordBatch]:
+                match = Matcher(space)
+                for batch in batches:
+                    for at in range(0, batch.num_rows, match.step):
+                        part = batch.slice(at, match.step)
+                        found = [(d, space.ids[k], c, s, a) for d, own in zip(part.column(0).to_pylist(), match.batch(_decoded(part.column(1))), strict=True) for k, c, s, a in own]
+                        if found:
+                            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()), strict=True)], names=["doc_id", "item_id", "cosine", "lcs_share", "answer_share"])
+
+            out = out.unionByName(written(words.mapInArrow(run, LEAKS), "leaks", keep=True))
+    return out
 
 
 def drop_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``documents``, all columns, into which no item leaks."""
     out = documents
     where = documents.columns.index("text")
-    for space in _spaces(documents, benchmark):
+    with scratch(documents.sparkSession):
+        for space, _ in _spaces(documents, benchmark):
 
-        def run(batches: Iterator[pa.RecordBatch], space: Space = space) -> Iterator[pa.RecordBatch]:
-            match = Matcher(space)
-            for batch in batches:
-                for at in range(0, batch.num_rows, match.step):
-                    part = batch.slice(at, match.step)
-                    yield part.filter(pa.array([not own for own in match.batch(part.column(where).to_pylist())], pa.bool_()))
+            def run(batches: Iterator[pa.RecordBatch], space: Space = space) -> Iterator[pa.RecordBatch]:
+                match, find = Matcher(space), Terms(space.terms)
+                for batch in batches:
+                    for at in range(0, batch.num_rows, match.step):
+                        part = batch.slice(at, match.step)
+                        yield part.filter(pa.array([not own for own in match.batch([find.of(t) for t in part.column(where).to_pylist()])], pa.bool_()))
 
-        out = out.mapInArrow(run, documents.schema)
+            out = out.mapInArrow(run, documents.schema)
     return out
 
 

@@ -206,6 +206,45 @@ def test_decontamination_of_long_items(spark):
     assert {(r.doc_id, r.item_id) for r in decontam.leaks(docs(spark, rows), bench).collect()} == {(100 + k, k) for k, _ in items}
 
 
+def plain_leak(text, item):
+    """The rule without retrieval: SEQUENCE of the item's words in order in some piece, or PARAPHRASE and ANSWER."""
+    own, words = [w for w in decontam.words_of(item) if w], decontam.words_of(text)
+    last = [w for w in decontam.words_of(item.strip().split("\n")[-1]) if w] or own
+    n = len(own)
+    for a in range(0, max(1, len(words) - n), max(1, n // 8)):
+        piece = words[a : a + n + n // 2]
+        share = decontam.lcs(decontam.word_masks(own), n, piece) / n
+        if share >= decontam.SEQUENCE or (share >= decontam.PARAPHRASE and decontam.lcs(decontam.word_masks(last), len(last), piece) / len(last) >= decontam.ANSWER):
+            return True
+    return False
+
+
+def test_decontamination_recall_against_the_rule(spark):
+    """Copies and rewordings of given items (words left out, put in, swapped) in given documents."""
+    rng = random.Random(12)
+    items = [(i, t) for i, t in duckdb.sql("SELECT item_id, text FROM '/root/testdata/sf0.01/benchmark.parquet' ORDER BY 1").fetchall() if len(t.split()) >= 10]
+    hosts = [t for (t,) in duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet' WHERE length(text) BETWEEN 300 AND 3000 ORDER BY doc_id LIMIT 200").fetchall()]
+    rows, planted = [], []
+    for k in range(150):
+        i, t = rng.choice(items)
+        lines = [line.split(" ") for line in t.split("\n")]
+        for line in lines if k % 3 else []:
+            for _ in range(max(1, len(line) // 8)):
+                at = rng.randrange(len(line))
+                line[at : at + 1] = rng.choice([[], [line[at], "zzz"], ["yyy"]]) if len(line) > 3 else [line[at]]
+        body, at = hosts[k % len(hosts)].split(" "), rng.randrange(20)
+        text = " ".join([*body[:at], "\n".join(" ".join(line) for line in lines), *body[at:]])
+        rows.append((k, text, "a"))
+        if plain_leak(text, t):
+            planted.append((k, i))
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(planted) >= 120
+    assert len(got & set(planted)) >= 0.95 * len(planted)
+    # what it reports is a leak by the rule as well
+    text_of, item_of = {k: t for k, t, _ in rows}, dict(items)
+    assert sum(plain_leak(text_of[d], item_of[i]) for d, i in got) >= 0.98 * len(got)
+
+
 def test_lcs():
     def plain(a, b):
         t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
