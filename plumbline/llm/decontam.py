@@ -49,33 +49,26 @@ ITEMS = 20_000
 PUNCTUATION = string.punctuation + "…“”‘’«»¿¡"
 
 
-#: Words whose terms a task remembers.
-WORDS = 400_000
-
-
-class _Remembered(dict):
-    """Terms by word as it is printed, marks at its ends and all."""
-
-    def __init__(self, vocabulary: dict[str, int]):
-        super().__init__()
-        self.bare = vocabulary.get
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= WORDS:
-            self.clear()
-        term = self[word] = self.bare(word.strip(PUNCTUATION), -1)
-        return term
+#: Marks that often hang on a word: found together with it. What hangs on other words is taken off first.
+MARKS = ("", ",", ".", ";", ":", "!", "?", ")", '"', "'")
+_MARK = frozenset(PUNCTUATION)
 
 
 class Terms:
     """Word -> term, whatever marks are at its ends; -1 for words outside the vocabulary."""
 
     def __init__(self, vocabulary: dict[str, int]):
-        self.get = _Remembered(vocabulary).__getitem__
+        self.bare = vocabulary.get
+        self.get = {w + m: t for w, t in vocabulary.items() for m in MARKS}.get
 
     def of(self, text: str | None) -> np.ndarray:
         words = text.lower().split() if text else ()
-        return np.fromiter(map(self.get, words), np.int32, len(words))
+        out = np.fromiter(map(self.get, words, repeat(-1)), np.int32, len(words))
+        for k in np.flatnonzero(out < 0).tolist():
+            word = words[k]
+            if word[-1] in _MARK or word[0] in _MARK:
+                out[k] = self.bare(word.strip(PUNCTUATION), -1)
+        return out
 
 
 def in_row(parts: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray]:
@@ -281,8 +274,11 @@ class Matcher:
         self.norms = np.maximum(np.linalg.norm(space.vectors, axis=1), 1e-9)
         self.unit = (space.vectors / self.norms[:, None]).astype(np.float32)
         self.masks: dict[int, tuple] = {}
-        #: 1 for the terms of the region looked at
-        self.here = np.zeros(len(space.bucket) + 1, np.float32)
+        # the distinct terms of all items one behind another, how often the item has each, and where items begin
+        own = [np.unique(w, return_counts=True) for w in space.words]
+        self.own, self.times = (np.concatenate([o[k] for o in own]) for k in (0, 1))
+        self.begins = np.concatenate([[0], np.cumsum([len(o[0]) for o in own])])
+        self.lengths = np.array([len(w) for w in space.words])
         # the shortest scale that covers an item, in words; a scale beyond SCALES is compared with the items it is needed for
         self.covers = np.array([max(WINDOW, BLOCK << max(0, (-(-len(w) // BLOCK) - 1).bit_length())) for w in space.words])
         self.scales = list(SCALES)
@@ -317,7 +313,7 @@ class Matcher:
                 part = some[a : a + 4096]
                 along = looked[part] @ unit
                 # the weight decides nearly all; cosines are worked out for what is left
-                w, i = np.nonzero(along >= least)
+                w, i = np.divmod(np.flatnonzero((along >= least).ravel()), len(own))
                 cosine = along[w, i] / norm[part][w]
                 good = cosine >= COSINE
                 out.append((part[w[good]] * stride * BLOCK, own[i[good]], cosine[good]))
@@ -338,46 +334,66 @@ class Matcher:
         first = np.flatnonzero(np.append(True, (stretch[1:] != stretch[:-1]) | (item[1:] != item[:-1]))) if len(order) else order
         cosine = np.maximum.reduceat(cosine[order], first) if len(order) else cosine
         stretch, item = stretch[first], item[first]
-        cuts = np.searchsorted(stretch, np.append(starts // WINDOW, len(terms) // WINDOW + 1))
-        return [self._check(own, stretch[a:b] - s // WINDOW, item[a:b], cosine[a:b]) if b > a else [] for own, s, a, b in zip(parts, starts.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        text = np.searchsorted(starts, stretch * WINDOW, side="right") - 1
+        cover = self.covers[item]
+        # no window of the item is longer than its cover, nor is the item
+        low = np.maximum(starts[text], stretch * WINDOW - cover)
+        high = np.minimum(starts[text] + np.array([len(x) for x in parts], np.int64)[text], (stretch + 1) * WINDOW + 2 * cover)
+        # a window that starts behind a text's end and reaches the next text is met there too
+        good = self._shares(terms, low, np.maximum(low, high), item)
+        found: list[dict[int, tuple[float, float, float]]] = [{} for _ in parts]
+        at, words = (-1, -1), []
+        for t, a, b, k, c in zip(text[good].tolist(), low[good].tolist(), high[good].tolist(), item[good].tolist(), cosine[good].tolist(), strict=True):
+            if (a, b) != at:
+                at, words = (a, b), terms[a:b].tolist()
+            self._check(words, k, c, found[t])
+        return [[(k, *v) for k, v in sorted(own.items())] for own in found]
+
+    def _shares(self, terms: np.ndarray, low: np.ndarray, high: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """The candidates whose region, from low to high, holds PARAPHRASE of the item's words: no sequence is longer than
+        what is in common. Regions are marked in a matrix of bounded size."""
+        if not len(item):
+            return np.zeros(0, np.int64)
+        new = np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))
+        region, first = np.cumsum(new) - 1, np.flatnonzero(new)
+        width = len(self.space.bucket) + 1
+        most, out = max(1, (1 << 24) // width), []
+        for r in range(0, len(first), most):
+            a, b = low[first[r : r + most]], high[first[r : r + most]]
+            mark = np.zeros((len(a), width), bool)
+            spots = np.repeat(a - np.append(0, np.cumsum(b - a)[:-1]), b - a) + np.arange(int((b - a).sum()))
+            # -1 marks the last column, which is no term
+            mark[np.repeat(np.arange(len(a)), b - a), terms[spots]] = True
+            mine = np.flatnonzero((region >= r) & (region < r + most))
+            n = self.begins[item[mine] + 1] - self.begins[item[mine]]
+            ends = np.cumsum(n)
+            spots = np.repeat(self.begins[item[mine]] - (ends - n), n) + np.arange(int(ends[-1]))
+            shared = np.add.reduceat(mark[np.repeat(region[mine] - r, n), self.own[spots]] * self.times[spots], ends - n)
+            out.append(mine[shared >= PARAPHRASE * self.lengths[item[mine]]])
+        return np.concatenate(out)
 
     def _item(self, k: int) -> tuple:
-        """Masks and length of an item and of its answer, and how often the item has each of its terms."""
+        """Masks and length of an item and of its answer."""
         if k not in self.masks:
             w, a = self.space.words[k].tolist(), self.space.answers[k].tolist()
-            own, counts = np.unique(self.space.words[k], return_counts=True)
-            self.masks[k] = (word_masks(w), len(w), word_masks(a), len(a), own, counts.astype(np.float32))
+            self.masks[k] = (word_masks(w), len(w), word_masks(a), len(a))
         return self.masks[k]
 
-    def _check(self, terms: np.ndarray, stretch: np.ndarray, item: np.ndarray, cosine: np.ndarray) -> list[tuple[int, float, float, float]]:
-        """``terms`` of one text; candidates by stretch and item."""
-        found: dict[int, tuple[float, float, float]] = {}
-        at, near, here = (-1, 0), terms[:0], self.here
-        here[:] = 0
-        for q, k, m, c in zip(stretch.tolist(), item.tolist(), self.covers[item].tolist(), cosine.tolist(), strict=True):
-            if (q, m) != at:
-                # no window of the item is longer than m, nor is the item; the last place of ``here`` stands for -1
-                here[near] = 0
-                at, near = (q, m), terms[max(0, q * WINDOW - m) : (q + 1) * WINDOW + 2 * m]
-                here[near] = 1
-                here[-1] = 0
-                words = None
-            masks, n, answer, n_answer, own, counts = self._item(k)
-            # a sequence is no longer than the words in common
-            if counts.dot(here[own]) < PARAPHRASE * n or (k in found and found[k][1] >= 1):
-                continue
-            words = near.tolist() if words is None else words
-            # a sequence counts where it is close together: pieces of a length and a half of the item
-            best = (0.0, 0.0)
-            for a in range(0, max(1, len(words) - n), max(1, n // 4)):
-                piece = words[a : a + n + max(2, n // 2)]
-                share = lcs(masks, n, piece) / n
-                if share > best[0]:
-                    best = (share, lcs(answer, n_answer, piece) / n_answer)
-            if best[0] >= SEQUENCE or (best[0] >= PARAPHRASE and best[1] >= ANSWER):
-                if k not in found or found[k][1] < best[0]:
-                    found[k] = (c, *best)
-        return [(k, *v) for k, v in sorted(found.items())]
+    def _check(self, words: list[int], k: int, cosine: float, found: dict[int, tuple[float, float, float]]) -> None:
+        """Adds item ``k`` to ``found`` if it leaks into a region, given by its terms."""
+        if k in found and found[k][1] >= 1:
+            return
+        masks, n, answer, n_answer = self._item(k)
+        # a sequence counts where it is close together: pieces of a length and a half of the item
+        best = (0.0, 0.0)
+        for a in range(0, max(1, len(words) - n), max(1, n // 4)):
+            piece = words[a : a + n + max(2, n // 2)]
+            share = lcs(masks, n, piece) / n
+            if share > best[0]:
+                best = (share, lcs(answer, n_answer, piece) / n_answer)
+        if best[0] >= SEQUENCE or (best[0] >= PARAPHRASE and best[1] >= ANSWER):
+            if k not in found or found[k][1] < best[0]:
+                found[k] = (cosine, *best)
 
 
 def _spaces(documents: DataFrame, benchmark: DataFrame) -> Iterator[tuple[Space, DataFrame]]:
