@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.plans.evaluate import boxes
-from plumbline.operators.ranking import printed_match
+from plumbline.operators.ranking import best_printed
 from plumbline.query import query, table
 
 # Words that stand for one another in questions.
@@ -114,6 +114,6 @@ def printed_text_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text that fits a question best by numbers, codes and words of three letters or more."""
     found = lambda pattern, text: F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
     parts = [F.array_distinct(F.transform(found(r"[0-9]+(?:[.][0-9]+)?", F.col("text")), lambda x: x.cast("double"))).alias("numbers"), found("[A-Z]+-?[0-9]+", F.upper("text")).alias("codes"), found("[a-z]{3,}", F.lower("text")).alias("words")]
-    j = printed_match(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("tid"), *parts), table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), *parts))
-    best = F.max_by("tid", F.struct("score", (-F.col("tid")).alias("d")))
-    return j.groupBy(F.col("qid").alias("item_id")).agg(best.alias("best"), F.max("score").alias("score"))
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("tid"), *parts)
+    found = best_printed(texts, table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), *parts))
+    return found.select(F.col("qid").alias("item_id"), F.col("tid").alias("best"), "score")
