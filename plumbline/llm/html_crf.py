@@ -5,7 +5,8 @@ tags) and gives the text runs between block-level tags with their ancestors. Fea
 the words of their class, id and role, and its text's length, links and punctuation. The chain has two labels, main text
 or not; weights are fitted by stochastic gradient on the conditional log-likelihood (forward-backward) of labelled pages
 of several families (FAMILIES) and a page is decoded by Viterbi. The labelled pages come from ``labelled_pages``, a generator of articles amid menus,
-headers, footers, sidebars, notices, adverts, forms and reader comments in many markups.
+headers, footers, sidebars, notices, adverts, forms and reader comments in many markups, with lists, data tables, terms,
+captions and code in the articles, so that these are told from menus and page frames by what they lie in.
 
 Defined results: a null or empty html has no blocks and an empty text; character references are decoded after the tags
 are read; what is in an unclosed tag or comment at the end is dropped; ``br`` is white space; a page of text without
@@ -56,14 +57,18 @@ def _marks(name: str, attributes: str) -> tuple[str, ...]:
     return tuple(out)
 
 
+#: Elements that say what part of a page a block is in; the innermost that is open counts.
+PARTS = frozenset("article main section nav aside header footer form table ul ol dl figure details div".split())
+
+
 class _Open:
-    """The open elements: where each name is open last, which of them are blocks, and the features they give now.
+    """The open elements: where each name is open last, which of them are blocks or parts, and the features they give now.
 
     Every step costs what it adds or takes away, so a page is read in time linear in its length however deep it nests.
     """
 
     def __init__(self, known: Container[str] | None):
-        self.known, self.stack, self.at, self.blocks = known, [], {}, []
+        self.known, self.stack, self.at, self.blocks, self.parts = known, [], {}, [], []
         self.active: dict[str, int] = {}
 
     def push(self, name: str, marks: tuple[str, ...]) -> None:
@@ -74,6 +79,8 @@ class _Open:
         self.at.setdefault(name, []).append(len(self.stack))
         if name in BLOCK:
             self.blocks.append(len(self.stack))
+        if name in PARTS:
+            self.parts.append(name)
         self.stack.append((name, marks))
 
     def pop(self) -> None:
@@ -81,6 +88,8 @@ class _Open:
         self.at[name].pop()
         if name in BLOCK:
             self.blocks.pop()
+        if name in PARTS:
+            self.parts.pop()
         for m in marks:
             if self.active[m] == 1:
                 del self.active[m]
@@ -122,7 +131,10 @@ def leaf_blocks(page: str | None, known: Container[str] | None = None) -> list[t
                 words = text.count(" ") + 1
                 own = open_.stack[open_.blocks[-1]][0] if open_.blocks else "none"
                 share = linked / max(1, len(text))
-                marks = {"tag=" + own, f"words={min(7, words.bit_length())}", "links=" + ("all" if share > 0.6 else "some" if share > 0.1 else "no"), "end" if END.search(text) else "open"}
+                links = "all" if share > 0.6 else "some" if share > 0.1 else "no"
+                # what holds the block, and what holds that: an item of a list in an article is no item of a menu
+                part, around = ["none", "none", *open_.parts][-1:-3:-1]
+                marks = {"tag=" + own, f"words={min(7, words.bit_length())}", "links=" + links, "end" if END.search(text) else "open", f"{own}:links={links}", f"{own}<{part}<{around}", f"{part}<{around}:links={links}"}
                 if "©" in text or "®" in text:
                     marks.add("rights")
                 found.append((text, tuple(sorted(marks.union(open_.active)))))
@@ -257,8 +269,36 @@ def fit(pages: list[tuple[list[tuple[str, ...]], list[int]]], epochs: int = 12,
 
 
 #: Families of labelled pages: portals with all kinds of surroundings, texts with hardly a tag, short pages, articles with
-#: a header and footer of their own, and pages laid out by tables.
-FAMILIES = ("portal", "bare", "short", "headed", "table")
+#: a header and footer of their own, pages laid out by tables, and articles with lists, data tables, terms, captions and code.
+FAMILIES = ("portal", "bare", "short", "headed", "table", "structured")
+
+
+def structure(kind: str, rng: random.Random, line: Callable, sentence: Callable) -> tuple[str, int]:
+    """A piece of an article that is no paragraph, and how many blocks it has: short and long lists, data tables with or
+    without a head, terms, captions, code, quotes, details."""
+    few = lambda: line(1, 4) if rng.random() < 0.6 else f"{rng.randint(1, 3000)}{rng.choice(['', '.5', ' %', ' km'])}"
+    item = lambda: few() if rng.random() < 0.6 else sentence(2, 14) if rng.random() < 0.85 else f'<a href="/{rng.randint(1, 99)}">{line(1, 3)}</a> {line(1, 6)}'
+    k = rng.randint(2, 6)
+    if kind in ("ul", "ol"):
+        end = rng.choice(["</li>", "</li>", ""])
+        return f"<{kind}>" + "".join(f"<li>{item()}{end}" for _ in range(k)) + f"</{kind}>", k
+    if kind == "table":
+        wide = rng.randint(2, 4)
+        head = "<tr>" + "".join(f"<th>{line(1, 2)}</th>" for _ in range(wide)) + "</tr>" if rng.random() < 0.7 else ""
+        rows = "".join("<tr>" + "".join(f"<td>{few()}</td>" for _ in range(wide)) + "</tr>" for _ in range(k))
+        caption = f"<caption>{line(2, 6)}</caption>" if rng.random() < 0.3 else ""
+        body = f"<thead>{head}</thead><tbody>{rows}</tbody>" if head and rng.random() < 0.5 else head + rows
+        return f"<table>{caption}{body}</table>", wide * (k + bool(head)) + bool(caption)
+    if kind == "dl":
+        return "<dl>" + "".join(f"<dt>{line(1, 3)}</dt><dd>{item()}</dd>" for _ in range(k)) + "</dl>", 2 * k
+    if kind == "figure":
+        return f'<figure><img src="x.png">' + f"<figcaption>{line(2, 12)}</figcaption></figure>", 1
+    if kind == "details":
+        return f"<details><summary>{line(1, 5)}</summary><p>{sentence(3, 20)}</p></details>", 2
+    return f"<{kind}>{sentence(2, 25) if kind != 'pre' else line(1, 9)}</{kind}>", 1
+
+
+STRUCTURES = ("ul", "ol", "table", "dl", "figure", "details", "pre", "blockquote", "h3")
 
 
 def _other_page(kind: str, rng: random.Random, line: Callable, sentence: Callable) -> tuple[str, list[int]]:
@@ -274,7 +314,7 @@ def _other_page(kind: str, rng: random.Random, line: Callable, sentence: Callabl
     if kind == "bare":
         tag = rng.choice(["", "", "p", "pre", "div"])
         for _ in range(rng.randint(1, 6) if tag else 1):
-            add(tag, text(6), 1)
+            add(tag, text(6) if rng.random() < 0.75 else line(1, 4), 1)
         return rng.choice(["{}", "<html><body>{}</body></html>"]).format("".join(body)), gold
     if kind == "short":
         if rng.random() < 0.4:
@@ -302,12 +342,48 @@ def _other_page(kind: str, rng: random.Random, line: Callable, sentence: Callabl
         body.append("</article>")
         add("aside", links(" "), 0)
         add("footer", "&copy; " + line(1, 6), 0)
+    elif kind == "structured":
+        menu = lambda: "<ul>" + "".join(f'<li><a href="/{k}">{line(1, 2)}</a></li>' for k in range(rng.randint(2, 7))) + "</ul>"
+
+        def listed(tag: str, made: str, n: int, main: int) -> None:
+            body.append(f"<{tag}>{made}</{tag.split()[0]}>" if tag else made)
+            gold.extend([main] * n)
+
+        if rng.random() < 0.6:
+            made = menu()
+            listed(rng.choice(["nav", "div class='menu'", "header", "nav class='nav'"]), made, made.count("<li>"), 0)
+        wrap = rng.choice(["article", "article", "main", "main", "div", "div", "div class='content'", "div id='main'", "div class='post'", "section"])
+        body.append(f"<{wrap}>")
+        if rng.random() < 0.8:
+            add(rng.choice(["h1", "h2"]), line(1, 8), 1)
+        for _ in range(rng.randint(2, 7)):
+            if rng.random() < 0.5:
+                add("p", text(3), 1)
+            else:
+                listed("", *structure(rng.choice(STRUCTURES), rng, line, sentence), 1)
+        body.append(f"</{wrap.split()[0]}>")
+        if rng.random() < 0.5:
+            made = menu()
+            listed(rng.choice(["aside", "div class='sidebar'", "div class='related'", "aside class='widget'"]), made, made.count("<li>"), 0)
+        # calendars, rates, tables of links: beside the article they are no part of it
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            made, n = structure(rng.choice(["table", "table", "ul", "dl"]), rng, line, sentence)
+            if rng.random() < 0.4:
+                made = re.sub(r"(<td>|<li>|<dd>)([^<]*)", r'\1<a href="/x">\2</a>', made)
+            listed(rng.choice(["aside", "div class='sidebar'", "div class='widget'", "div class='menu'", "footer", "div class='footer'", "nav"]), made, n, 0)
+        if rng.random() < 0.7:
+            made = menu()
+            listed(rng.choice(["footer", "div id='footer'"]), *(("&copy; " + line(1, 6), 1) if rng.random() < 0.6 else (made, made.count("<li>"))), 0)
     else:
         body.append("<table><tr>")
         add("td class='menu'", links("<br>"), 0)
         body.append(rng.choice(["<td class='content'>", "<td id='main'>", "<td>"]))
         for _ in range(rng.randint(2, 9)):
             add("p", text(4), 1)
+        if rng.random() < 0.3:
+            made, n = structure(rng.choice(["ul", "ol", "table"]), rng, line, sentence)
+            body.append(made)
+            gold.extend([1] * n)
         body.append("</td>")
         if rng.random() < 0.5:
             add("td class='sidebar'", links("<br>"), 0)
@@ -416,7 +492,7 @@ def labelled_pages(n: int, seed: int = 11, families: tuple[str, ...] = ("portal"
     return out
 
 
-TRAINING_PAGES = 1400
+TRAINING_PAGES = 1800
 
 
 @lru_cache(maxsize=8)
