@@ -35,6 +35,8 @@ from plumbline.llm.common import fresh_path, table, written
 MIN_REVISIT = 100
 BLOCK_LINES = 512
 ARCHIVE_BYTES = 1 << 30
+#: Entries of a shard of the index, about: its directory has one line for each BLOCK_LINES of them.
+SHARD_ENTRIES = 1 << 22
 NO_ID = (1 << 63) - 1
 DATE = "2024-01-01T00:00:00Z"
 
@@ -176,9 +178,8 @@ def write_index(entries: DataFrame, folder: str, shards: int) -> DataFrame:
     return ordered.mapInArrow(run, "shard string, first_surt string, first_id long, n long")
 
 
-def find_blocks(directory: list[list], key: tuple[str, int]) -> range:
-    """Blocks of a directory, sorted by first key, that can hold ``key``: repeated rows may run over several."""
-    firsts = [(d[0], d[1]) for d in directory]
+def find_blocks(firsts: list[tuple[str, int]], key: tuple[str, int]) -> range:
+    """Blocks that can hold ``key``, by binary search in their sorted first keys: repeated rows may run over several."""
     low, high = bisect.bisect_left(firsts, key), bisect.bisect_right(firsts, key)
     return range(max(0, low - 1), high)
 
@@ -201,24 +202,25 @@ def read_captures(wanted: DataFrame, shards: list[tuple[str, int, str]], index_f
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, index = filesystem(index_folder)
         _, archives = filesystem(archive_folder)
-        shard, directory, file = None, [], None
+        shard, directory, begins, file = None, [], [], None
         block, lines = None, {}
         opened: dict[str, pa.NativeFile] = {}
 
         def load(which: int) -> None:
-            nonlocal shard, directory, file, block
+            nonlocal shard, directory, begins, file, block
             shard, block = which, None
             file = fs.open_input_file(f"{index}/{shards[which][2]}")
             size = file.size()
             length = int.from_bytes(file.read_at(8, size - 8), "little")
             directory = json.loads(zlib.decompress(file.read_at(length, size - 8 - length)))
+            begins = [(d[0], d[1]) for d in directory]
 
         for batch in batches:
             found = []
             for which, key, by_id in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if which != shard:
                     load(which)
-                for b in find_blocks(directory, (key, by_id)):
+                for b in find_blocks(begins, (key, by_id)):
                     if b != block:
                         block, lines = b, {}
                         for line in zlib.decompress(file.read_at(directory[b][3], directory[b][2])).decode().split("\n"):
@@ -255,7 +257,7 @@ def archive(pages: DataFrame, folder: str | None = None) -> tuple[str, str, list
     folder = folder or fresh_path(spark, "warc")
     # kept as a table, so the index names the files of one attempt only
     entries = written(write_archives(plan_records(pages), f"{folder}/archive"), "warc-entries")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries.count() // SHARD_ENTRIES))
     shards = written(write_index(entries, f"{folder}/index", parts), "warc-shards").collect()
     return f"{folder}/archive", f"{folder}/index", sorted((s.first_surt, s.first_id, s.shard) for s in shards)
 

@@ -341,6 +341,40 @@ def test_html_families_not_trained_on(family):
     assert wrong_blocks(html_crf.trained(tuple(f for f in html_crf.FAMILIES if f != family)), family) < 0.08
 
 
+@pytest.mark.parametrize("wrap", ["article", "main", "div", "div class='content'", "section"])
+def test_html_keeps_lists_and_tables_of_an_article(wrap):
+    """Short and long lists, data tables, terms, captions, code in an article stay whole; menus around it do not."""
+    rng, chain = random.Random(8), html_crf.trained()
+    line = lambda a, b: words(rng, rng.randint(a, b)).capitalize()
+    sentence = lambda a, b: line(a, b) + "."
+    menu = "<ul>" + "".join(f"<li><a href='/{k}'>Menu {k}</a></li>" for k in range(5)) + "</ul>"
+    for kind in html_crf.STRUCTURES:
+        kept = wanted = 0
+        for _ in range(25):
+            piece, n = html_crf.structure(kind, rng, line, sentence)
+            page = f"<body><nav>{menu}</nav><{wrap}><h1>{line(2, 6)}</h1><p>{sentence(5, 30)}</p>{piece}<p>{sentence(5, 30)}</p></{wrap.split()[0]}><aside>{menu}</aside><footer>{menu}</footer></body>"
+            blocks = [t for t, _ in html_crf.leaf_blocks(piece)]
+            got = html_crf.main_text(page, chain).split("\n")
+            assert len(blocks) == n and not any(t.startswith("Menu") for t in got)
+            kept, wanted = kept + sum(t in got for t in blocks), wanted + n
+        assert kept >= 0.95 * wanted, kind
+
+
+def test_html_layout_tables_and_given_pages(sf):
+    page = "<table><tr><td class='menu'><a href='/1'>Home</a><br><a href='/2'>News</a></td><td><p>The first long sentence of the text is here.</p><table><tr><th>Year</th><th>Sum</th></tr><tr><td>1999</td><td>12</td></tr></table><p>And it goes on for a while.</p></td></tr><tr><td class='footer'>&copy; all</td></tr></table>"
+    assert html_crf.main_text(page, html_crf.trained()) == "The first long sentence of the text is here.\nYear\nSum\n1999\n12\nAnd it goes on for a while."
+    pages = duckdb.sql(f"SELECT html FROM '{sf}/pages.parquet'").fetchall()
+    got = [html_crf.main_text(h, html_crf.trained()) for (h,) in pages]
+    assert all(got) and not any("©" in t for t in got)
+    assert html_crf.main_text("<div>short</div>", html_crf.trained()) == "short"
+
+
+def test_html_of_an_empty_table_and_repeated_rows(spark):
+    df = spark.createDataFrame([(1, "u", "<p>One text.</p>")] * 2 + [(2, None, None)], "page_id long, url string, html string")
+    assert html_crf.extract(df.where("false")).count() == 0
+    assert sorted((r.page_id, r.text, r.n_chars) for r in html_crf.extract(df).collect()) == [(1, "One text.", 9), (1, "One text.", 9), (2, "", 0)]
+
+
 def test_html_loses_no_text():
     text = lambda page: html_crf.main_text(page, html_crf.trained())
     assert text("Just a page of plain text. With two sentences.") == "Just a page of plain text. With two sentences."
@@ -575,7 +609,41 @@ def test_warc_round_trip_and_edges(spark):
 
 def test_surt_and_blocks():
     assert warc.surt("http://www.Example.org/A?b=C") == "org,example)/a?b=c"
-    assert list(warc.find_blocks([["a", 1, 0, 0], ["c", 1, 0, 0], ["c", 1, 0, 0], ["e", 1, 0, 0]], ("c", 1))) == [0, 1, 2]
+    assert list(warc.find_blocks([("a", 1), ("c", 1), ("c", 1), ("e", 1)], ("c", 1))) == [0, 1, 2]
+
+
+class Counted(tuple):
+    """A key that counts how often it is compared."""
+
+    seen = 0
+
+    def __lt__(self, other):
+        Counted.seen += 1
+        return tuple.__lt__(self, other)
+
+    def __gt__(self, other):
+        Counted.seen += 1
+        return tuple.__gt__(self, other)
+
+
+@pytest.mark.parametrize("n", [1000, 100_000])
+def test_a_lookup_compares_a_few_first_keys(n):
+    firsts = [Counted(("k", i)) for i in range(n)]
+    Counted.seen = 0
+    assert list(warc.find_blocks(firsts, ("k", n // 3))) == [n // 3 - 1, n // 3]
+    assert Counted.seen <= 2 * (n.bit_length() + 1)
+
+
+def test_index_of_many_shards(spark, monkeypatch):
+    """More shards than shuffle partitions, a URL over several of them, very long pages."""
+    monkeypatch.setattr(warc, "SHARD_ENTRIES", 20)
+    monkeypatch.setattr(warc, "BLOCK_LINES", 4)
+    rows = [(i, "http://a.example/hot" if i % 3 else f"http://b{i}.example/", "<p>x</p>" * (60_000 if i == 7 else i % 5 * 20)) for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    archives, index, shards = warc.archive(pages)
+    assert len(shards) >= 8
+    got = {r.page_id: (r.payload_bytes, r.record_type) for r in warc.read_captures(pages, shards, index, archives, 4).collect()}
+    assert {k: v[0] for k, v in got.items()} == {i: len(h) for i, _, h in rows}
 
 
 # 10
