@@ -10,8 +10,9 @@ best lower bound - and only those are scored exactly; without a proof all levels
 Blocks hold ``BLOCK`` vectors. A segment holds the postings of one level (vector, component, value), and a level is added
 over the vectors and components that it holds, no others. Every query first meets one block; the k-th score it finds
 there is a floor for all blocks, so most of them are given up after their first levels. Then GROUP blocks of queries at
-once meet each block of rows, whose bytes are sent once for them. The work is the stated queries times the rows, no task
-or driver holds more than a block of rows and GROUP blocks of queries, and each meeting gives k rows at most for a query.
+once meet RUN blocks of rows, one after another; the best k rows so far raise the floor and go on to the next block. The
+work is the stated queries times the rows, no task or driver holds more than RUN blocks of rows and GROUP blocks of queries,
+and each task gives k rows at most for a query.
 
 Defined results: vectors that are null or hold null or non-finite components take no part, nor do those whose id is
 null; shorter vectors count as filled with zeros; rows with the query's own id are no candidates; repeated rows are
@@ -27,12 +28,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import table, written
+from plumbline.llm.common import scratch, table, written
 
 BLOCK = 4096
 QUERY_BLOCK = 1024
 #: Blocks of queries that a block of rows meets in one task.
 GROUP = 16
+#: Blocks of rows that a task takes one after another, carrying the best rows of each query along.
+RUN = 16
 #: A query stops reading levels when at most this many times k rows can still be in its result.
 FEW = 4
 
@@ -153,6 +156,11 @@ def packed(rows: DataFrame, block: Column) -> DataFrame:
 
 def topk(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """``candidates`` and ``queries``: id long, v array<long>. Returns query_id, rank, id, score."""
+    with scratch(candidates.sparkSession):
+        return written(_topk(candidates, queries, k), "topk", keep=True)
+
+
+def _topk(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     candidates, queries = written(candidates, "topk-rows"), written(queries, "topk-queries")
     n, m = candidates.count(), queries.count()
     blocks, q_blocks = max(1, -(-n // BLOCK)), max(1, -(-m // QUERY_BLOCK))
@@ -161,11 +169,11 @@ def topk(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     left = packed(candidates, F.pmod(spread, F.lit(blocks)))
     right = packed(queries, F.pmod(spread, F.lit(q_blocks))).select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("raw").alias("q_raw"), F.col("d").alias("q_d"))
     left, right = written(left, "topk-blocks"), written(right, "topk-query-blocks")
-    meet = lambda rows, asked: rows.groupBy("block", "group").cogroup(asked.groupBy("block", "group")).applyInArrow(_meeting(k), "query_id long, query_row long, id long, score long")
+    meet = lambda rows, asked, skip: rows.groupBy("run", "group").cogroup(asked.groupBy("run", "group")).applyInArrow(_meeting(k, skip), "query_id long, query_row long, id long, score long")
     # a block for each block of queries, whose k-th scores are the floors everywhere else
-    first = right.withColumn("block", F.pmod("q_block", F.lit(blocks)).cast("long")).withColumn("group", F.col("q_block")).withColumn("floors", F.lit(None).cast("binary"))
+    first = right.withColumn("run", F.pmod("q_block", F.lit(blocks)).cast("long")).withColumn("group", F.col("q_block")).withColumn("floors", F.lit(None).cast("binary"))
     own = F.when(F.col("block") < q_blocks, F.sequence(F.col("block"), F.lit(q_blocks - 1).cast("long"), F.lit(blocks).cast("long")))
-    found = written(meet(left.withColumn("group", F.explode(own)), first), "topk-first")
+    found = written(meet(left.withColumn("run", F.col("block")).withColumn("group", F.explode(own)), first, None), "topk-first")
     kth = found.groupBy("query_row").agg(F.count("*").alias("n"), F.min("score").alias("s")).where(F.col("n") >= k).select((F.shiftright("query_row", 32)).alias("q_block"), F.struct(F.col("query_row").bitwiseAND((1 << 32) - 1).alias("row"), "s").alias("f"))
     floors = kth.groupBy("q_block").agg(F.collect_list("f").alias("f"))
 
@@ -182,27 +190,50 @@ def topk(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     # at most QUERY_BLOCK floors come together
     bounded = right.join(floors, "q_block", "left").mapInArrow(as_bytes, "q_block long, q_ids binary, q_raw binary, q_d int, floors binary")
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    asked = bounded.withColumn("group", F.floor(F.col("q_block") / GROUP)).withColumn("block", every(blocks)).where(F.col("block") != F.pmod("q_block", F.lit(blocks)))
-    rest = meet(left.withColumn("group", every(-(-q_blocks // GROUP))), asked)
+    # a task takes RUN blocks of rows one after another, so a query has k rows for each run, not for each block
+    asked = bounded.withColumn("group", F.floor(F.col("q_block") / GROUP)).withColumn("run", every(-(-blocks // RUN)))
+    rest = meet(left.withColumn("run", F.floor(F.col("block") / RUN)).withColumn("group", every(-(-q_blocks // GROUP))), asked, blocks)
     w = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "id")
     return found.unionByName(rest).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
 
-def _meeting(k: int):
-    """A block of rows with blocks of queries to the best rows of each query."""
+def _best(held: tuple[np.ndarray, np.ndarray, np.ndarray], k: int, queries: int) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
+    """Of (query row, id, score) the k best of each query, and just under the k-th score of those that have k."""
+    row, ids, score = held
+    order = np.lexsort((ids, -score, row))
+    row, ids, score = row[order], ids[order], score[order]
+    begins = np.searchsorted(row, np.arange(queries + 1))
+    place = np.arange(len(row)) - begins[row]
+    floor = np.full(queries, -np.inf)
+    kth = place == k - 1
+    floor[row[kth]] = np.nextafter(score[kth].astype(np.float64), -np.inf)
+    return (row[place < k], ids[place < k], score[place < k]), floor
+
+
+def _meeting(k: int, skip: int | None):
+    """A run of row blocks with blocks of queries to the best k rows of the run for each query.
+
+    What a query has so far bounds what the next block may add. A block of queries does not meet the block of its own number
+    modulo ``skip``, which it has met before."""
 
     def run(rows: pa.Table, asked: pa.Table) -> pa.Table:
         out: list[list[np.ndarray]] = [[], [], [], []]
-        if rows.num_rows and asked.num_rows:
-            r = rows.slice(0, 1).to_pylist()[0]
+        queries = [(a["q_block"], *unpack(a["q_ids"], a["q_raw"], a["q_d"]), a["floors"]) for a in asked.select(["q_block", "q_ids", "q_raw", "q_d", "floors"]).to_pylist()]
+        floors = [np.frombuffer(f, np.float64) if f else np.full(len(ids), -np.inf) for _, ids, _, f in queries]
+        held = [(np.zeros(0, np.int64),) * 3 for _ in queries]
+        for at in range(rows.num_rows if queries else 0):
+            r = rows.slice(at, 1).to_pylist()[0]
             ids, x = unpack(r["ids"], r["raw"], r["d"])
             segments = Segments(x)
-            for a in asked.select(["q_block", "q_ids", "q_raw", "q_d", "floors"]).to_pylist():
-                q_ids, q = unpack(a["q_ids"], a["q_raw"], a["q_d"])
-                floor = np.frombuffer(a["floors"], np.float64) if a["floors"] else None
-                at, found, score = block_topk(q_ids, q, ids, segments, k, floor=floor)
-                for part, one in zip(out, (q_ids[at], at + (a["q_block"] << 32), found, score), strict=True):
-                    part.append(one)
+            for n, (block, q_ids, q, _) in enumerate(queries):
+                if skip is not None and block % skip == r["block"]:
+                    continue
+                found = block_topk(q_ids, q, ids, segments, k, floor=floors[n])
+                held[n], floor = _best(tuple(np.concatenate(x) for x in zip(held[n], found, strict=True)), k, len(q_ids))
+                floors[n] = np.maximum(floors[n], floor)
+        for (block, q_ids, _, _), (row, ids, score) in zip(queries, held, strict=True):
+            for part, one in zip(out, (q_ids[row], row + (block << 32), ids, score), strict=True):
+                part.append(one)
         return pa.table({c: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64), pa.int64()) for c, v in zip(("query_id", "query_row", "id", "score"), out, strict=True)})
 
     return run

@@ -300,7 +300,7 @@ def test_topk_brute_and_edges(spark):
 
 def test_topk_over_many_blocks(spark, monkeypatch):
     """Floors from one block, groups of query blocks, ties, long components and a vector alone, against brute force."""
-    for name, size in (("BLOCK", 16), ("QUERY_BLOCK", 8), ("GROUP", 2)):
+    for name, size in (("BLOCK", 16), ("QUERY_BLOCK", 8), ("GROUP", 2), ("RUN", 3)):
         monkeypatch.setattr(topk, name, size)
     rng = np.random.default_rng(11)
     vectors = [rng.integers(-60, 60, 6).tolist() for _ in range(150)] + [[5] * 6] * 30 + [[2**33, -(2**30), 1, 0, 0, 7], [3]]
@@ -314,6 +314,22 @@ def test_topk_over_many_blocks(spark, monkeypatch):
         assert got[q] == every[:5]
 
 
+def test_a_task_gives_k_rows_for_a_query():
+    """However many blocks of rows it takes, those of the whole run are the best; its own block is met elsewhere."""
+    rng = np.random.default_rng(4)
+    x = [rng.integers(-50, 50, (30, 8)) for _ in range(5)]
+    row = lambda n, a, **more: {"block": n, **dict(zip(("ids", "raw", "d"), topk.pack(np.arange(len(a)) + 100 * n, list(a)), strict=True)), **more}
+    rows = pa.Table.from_pylist([row(n, a) for n, a in enumerate(x)])
+    q = row(7, x[2][:10])
+    asked = pa.Table.from_pylist([{"q_block": 7, "q_ids": q["ids"], "q_raw": q["raw"], "q_d": q["d"], "floors": None}])
+    got = topk._meeting(4, 5)(rows, asked)
+    assert got.num_rows == 4 * 10
+    for i in range(10):
+        every = sorted((-int(x[2][i] @ v), 100 * n + j) for n, a in enumerate(x) for j, v in enumerate(a) if n != 7 % 5 and 100 * n + j != 700 + i)[:4]
+        mine = [(-r["score"], r["id"]) for r in got.to_pylist() if r["query_row"] == (7 << 32) + i]
+        assert sorted(mine) == every
+
+
 def test_block_topk_large_numbers():
     x = np.array([[2**20, 1], [-(2**20), 5], [3, 2**19]], np.int64)
     q, ids = np.array([[2**20, 7]], np.int64), np.array([1, 2, 3])
