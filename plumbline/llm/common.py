@@ -1,70 +1,13 @@
-"""What the corpus operators share: the folder that all executors see, written intermediate tables, and row keys."""
+"""What the corpus operators share: written intermediate tables, and row keys."""
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.scratch import delete, fresh_path, scratch, shared_dir, written
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``. Where it is unset, one machine (tests) gets a new local folder; a cluster,
-    whose machines would not see that, gets an error."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="plumbline-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/plumbline/{name}-{uuid.uuid4().hex}"
-
-
-#: Spark's setting that deletes the shuffle files of an execution when it has ended.
-CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-#: Tables written inside the scratches that are open now.
-_OPEN: list[list[str]] = []
-
-
-@contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Deletes the tables written inside, but for those of ``written(..., keep=True)``: a result must not be lazy on them."""
-    _OPEN.append([])
-    try:
-        yield
-    finally:
-        for path in _OPEN.pop():
-            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: a lost executor costs a re-read, not the lineage before it.
-
-    Once the table is there, the shuffle files that made it are of no use and go.
-    """
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    before = spark.conf.get(CLEAN, "false")
-    spark.conf.set(CLEAN, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(CLEAN, before)
-    if _OPEN and not keep:
-        _OPEN[-1].append(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["content_key", "delete", "fresh_path", "scratch", "shared_dir", "table", "written"]
 
 
 def content_key(text: Column) -> list[Column]:
