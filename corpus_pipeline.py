@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm.common import table, written
+from plumbline.llm.common import scratch, table, written
 from plumbline.llm.decontam import drop_leaks
 from plumbline.llm.jaccard import one_of_each
 from plumbline.llm.mixing import mix
@@ -77,6 +77,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    with scratch(spark):
+        for name, stage in STAGES[:-1]:
+            # the mix reads the last of these tables when it runs; the others go
+            docs = written(stage(spark, docs, sf_dir), f"stage-{name}", keep=name == STAGES[-2][0])
     return STAGES[-1][1](spark, docs, sf_dir)
