@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.operators.assign import settle
 from plumbline.operators.graph import chains
 from plumbline.operators.positional import asof_pair, close_by, neighbours
 from plumbline.scratch import scratch, written
@@ -110,3 +111,41 @@ def table_of_words(words: DataFrame, is_anchor: Column, columns: int, row_gap: f
         cells = placed.withColumn("column", F.array_position(away, F.array_min(away)).cast("long")).groupBy("page", F.col("prev").alias("row"), "column")
         text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("y0", "x0", "id", F.coalesce("text", F.lit("")).alias("t")))), lambda p: p["t"]), " ")
         return written(cells.agg(text.alias("text")), "table", keep=True)
+
+
+def in_reading_frame(lines: DataFrame) -> DataFrame:
+    """``lines`` with u0, v0, u1, v1: the box (x0, y0, x1, y1) along and across the way the text runs (``way``): right, up or
+    down; the next line of a text has the larger v. Lines of other ways are left out."""
+    turned = {"right": ("x0", "y0", "x1", "y1"), "up": ("-y1", "x0", "-y0", "x1"), "down": ("y0", "-x1", "y1", "-x0")}
+    box = {k: F.when(F.col("way") == "right", F.expr(turned["right"][n])).when(F.col("way") == "up", F.expr(turned["up"][n])).when(F.col("way") == "down", F.expr(turned["down"][n])) for n, k in enumerate(("u0", "v0", "u1", "v1"))}
+    return lines.withColumns(box).where("u0 is not null")
+
+
+def callout_chains(lines: DataFrame, excluded: Column, stops: Column, longest: int = 5, tallest: float = 60.0) -> DataFrame:
+    """(page, id, text, ids): labels written over several lines, by their first line; at most ``longest`` lines each.
+
+    ``lines``: page, id, text, way, colour, size, x0, y0, x1, y1. A line goes on in the one right under it (up to 1 into it, less
+    than 0.8 of its height or 3.5 away) of the same way and colour and nearly its size, that starts (8) or ends (4) where it does
+    or is centred under it (10), has a word of three letters and no figure, and is neither ``excluded`` nor one that ``stops``.
+    Lines choose in reading order, the nearest below that none before took; ties go to the smaller id. Lines taller than
+    ``tallest`` have none under them. A bar in a text is a space."""
+    with scratch(lines.sparkSession):
+        named = lines.withColumn("_out", F.coalesce(excluded, F.lit(False))).withColumn("_stop", F.coalesce(stops, F.lit(False))).where("not _out")
+        l = written(in_reading_frame(named).withColumn("mid", (F.col("u0") + F.col("u1")) / 2).select("page", "id", "text", "way", "colour", "size", "u0", "v0", "u1", "v1", "mid", "_stop"), "lines")
+        under = l.where(~F.col("_stop") & F.col("text").rlike("[A-Za-z]{3}") & ~F.col("text").rlike("[0-9]"))
+        other = under.select("page", "way", F.col("id").alias("next"), *[F.col(c).alias(f"o_{c}") for c in ("colour", "size", "u0", "v0", "u1", "mid")])
+        down = F.col("o_v0") - F.col("v1")
+        fits = (F.col("id") != F.col("next")) & F.col("colour").eqNullSafe(F.col("o_colour")) & (F.abs(F.col("size") - F.col("o_size")) <= 0.25 * F.col("size"))
+        fits = fits & (down >= -1) & (down < F.greatest(F.lit(3.5), 0.8 * (F.col("v1") - F.col("v0"))))
+        low = l.where(F.col("v1") - F.col("v0") <= tallest)
+        pairs = None
+        for a, reach in (("u0", 8.0), ("mid", 10.0), ("u1", 4.0)):
+            met = close_by(low, other, ["page", "way"], [("v1", "o_v0", max(3.5, 0.8 * tallest)), (a, f"o_{a}", reach)]).where(fits).select(F.col("page").alias("sheet"), F.struct("v0", "u0", "id").alias("block"), F.col("next").alias("curve"), F.col("o_v0").alias("gap"))
+            pairs = met if pairs is None else pairs.unionByName(met)
+        # what follows what is settled like blocks that take turns
+        taken = settle(pairs.distinct()).select(F.col("curve").alias("id"), F.col("block.id").alias("prev"))
+        ranked = chains(l.select("id").join(taken, "id", "left"))
+        parts = ranked.where(F.col("rank") < longest).join(l.select("page", "id", "text"), "id").groupBy("page", "head")
+        rows = parts.agg(F.array_sort(F.collect_list(F.struct("rank", "id", F.coalesce("text", F.lit("")).alias("t")))).alias("parts")).where(F.size("parts") > 1)
+        text = F.trim(F.regexp_replace(F.regexp_replace(F.array_join(F.col("parts.t"), " "), r"\|", " "), r"\s+", " "))
+        return written(rows.select("page", F.col("head").alias("id"), text.alias("text"), F.col("parts.id").alias("ids")), "callouts", keep=True)
