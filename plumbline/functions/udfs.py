@@ -2,41 +2,74 @@
 
 from __future__ import annotations
 
-import ast
 import difflib
 import hashlib
 import json
-import operator
+import math
 import random
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_OPS = {ast.Add: operator.add, ast.Sub: operator.sub, ast.Mult: operator.mul, ast.Div: operator.truediv, ast.UAdd: operator.pos, ast.USub: operator.neg}
+_TOKEN = re.compile(r"\s*(?:([0-9]+\.?[0-9]*(?:[eE][+-]?[0-9]+)?|\.[0-9]+(?:[eE][+-]?[0-9]+)?)|(\S))")
+#: How strongly signs between numbers bind; a sign before a number binds most.
+_BINDS = {"+": 1, "-": 1, "*": 2, "×": 2, "/": 2, "÷": 2}
+_SIGN = 3
 
 
 def evaluate(text: str | None) -> tuple[float | None, str | None]:
-    """(value to 3 decimals, error) of an arithmetic expression: numbers, + - * /, signs and brackets only."""
-
-    def walk(node: ast.AST, depth: int = 0) -> float:
-        if depth > 50:
-            raise ValueError("too deep")
-        if isinstance(node, ast.Constant) and type(node.value) in (int, float):
-            return node.value
-        if isinstance(node, ast.BinOp) and type(node.op) in _OPS:
-            return _OPS[type(node.op)](walk(node.left, depth + 1), walk(node.right, depth + 1))
-        if isinstance(node, ast.UnaryOp) and type(node.op) in _OPS:
-            return _OPS[type(node.op)](walk(node.operand, depth + 1))
-        raise ValueError("not arithmetic")
-
+    """(value to 3 decimals, error) of an arithmetic expression: numbers, + - * /, signs and brackets only.
+
+    Numbers wait on one stack, operators on another; an operator is carried out once one that binds no more strongly follows."""
+    numbers: list[float] = []
+    waiting: list[tuple[str, int]] = []
+
+    def carry_out(least: int) -> None:
+        while waiting and waiting[-1][1] >= least:
+            sign, binds = waiting.pop()
+            x = numbers.pop()
+            if binds == _SIGN:
+                numbers.append(-x if sign == "-" else x)
+            else:
+                first = numbers.pop()
+                numbers.append(first + x if sign == "+" else first - x if sign == "-" else first * x if sign in "*×" else first / x)
+
+    if text is None or not text.strip() or len(text) > 200:
+        return None, "no expression"
+    wanted = True
     try:
-        if text is None or len(text) > 200:
-            raise ValueError("no expression")
-        return round(float(walk(ast.parse(text.replace("×", "*").replace("÷", "/").strip(), mode="eval").body)), 3), None
-    except (ValueError, SyntaxError, ZeroDivisionError, OverflowError, RecursionError, MemoryError) as e:
-        return None, str(e) or "error"
+        for number, mark in _TOKEN.findall(text.rstrip()):
+            if wanted and number:
+                numbers.append(float(number))
+                wanted = False
+            elif wanted and mark == "(":
+                waiting.append(("(", 0))
+            elif wanted and mark and mark in "+-":
+                waiting.append((mark, _SIGN))
+            elif not wanted and mark in _BINDS:
+                carry_out(_BINDS[mark])
+                waiting.append((mark, _BINDS[mark]))
+                wanted = True
+            elif not wanted and mark == ")":
+                carry_out(1)
+                if not waiting:
+                    return None, "a bracket is not open"
+                waiting.pop()
+            else:
+                return None, f"{number or mark} is not expected"
+        if wanted:
+            return None, "a number is missing"
+        carry_out(1)
+        if waiting:
+            return None, "a bracket is not closed"
+        if not math.isfinite(numbers[0]):
+            return None, "too large"
+        return round(numbers[0], 3), None
+    except ZeroDivisionError:
+        return None, "division by zero"
 
 
 @F.pandas_udf(T.StructType([T.StructField("value", T.DoubleType()), T.StructField("error", T.StringType())]))
@@ -115,20 +148,23 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)])
 
 
-_KEEP = re.compile(r"\d+\+\d+(?:\.\d+)?|-?\d+(?:\.\d+)?|\"[^\"]*\"")
+#: Numbers, positions and quotes, which no rewording may touch.
+KEEP = r"[0-9]+\+[0-9]+(?:\.[0-9]+)?|-?[0-9]+(?:\.[0-9]+)?|\"[^\"]*\""
 
 
 def protect(text: str) -> tuple[str, list[str]]:
-    """Numbers, positions and quotes as placeholders."""
-    kept: list[str] = []
-    return _KEEP.sub(lambda m: kept.append(m[0]) or f"⟦{len(kept) - 1}⟧", text), kept
+    """The text with a numbered placeholder for each kept piece, and those pieces: cut at them, every second piece is one."""
+    pieces = re.split(f"({KEEP})", text)
+    return "".join(p if at % 2 == 0 else f"⟦{at // 2}⟧" for at, p in enumerate(pieces)), pieces[1::2]
 
 
 def restore(text: str, kept: list[str]) -> str | None:
     """The text with its placeholders filled; null if one was lost or doubled."""
-    if sorted(re.findall(r"⟦(\d+)⟧", text)) != sorted(str(i) for i in range(len(kept))):
+    pieces = re.split(r"⟦([0-9]+)⟧", text)
+    held = pieces[1::2]
+    if sorted(held) != sorted(map(str, range(len(kept)))):
         return None
-    return re.sub(r"⟦(\d+)⟧", lambda m: kept[int(m[1])], text)
+    return pieces[0] + "".join(kept[int(number)] + free for number, free in zip(held, pieces[2::2], strict=True))
 
 
 # Plain rewordings of question words.
@@ -173,19 +209,22 @@ def match_boxes(refs: list[list[float]], preds: list[list[float]], least: float
 
 
 def answer_mask(ids: list[int], start: list[int], end: int) -> list[int]:
-    """1 for ids from behind each start sequence to the end id inclusive; to the end of the row if there is none."""
-    out, i, n = [0] * len(ids), 0, len(start)
-    while i <= len(ids) - n:
-        if ids[i : i + n] == start:
-            i += n
-            while i < len(ids):
-                out[i] = 1
-                i += 1
-                if ids[i - 1] == end:
-                    break
-        else:
-            i += 1
-    return out
+    """1 for ids from behind each start sequence to the end id inclusive; to the end of the row if there is none.
+
+    The places of starts and ends are found in arrays; a start inside what is marked already does not count."""
+    x, n = np.asarray(ids, np.int64), len(start)
+    out = np.zeros(len(x), np.int64)
+    if len(x) < n or not n:
+        return out.tolist()
+    begins = np.flatnonzero((np.lib.stride_tricks.sliding_window_view(x, n) == np.asarray(start)).all(1))
+    ends = np.flatnonzero(x == end)
+    upto = 0
+    for at in begins.tolist():
+        if at >= upto:
+            k = np.searchsorted(ends, at + n)
+            upto = int(ends[k]) + 1 if k < len(ends) else len(x)
+            out[at + n : upto] = 1
+    return out.tolist()
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))

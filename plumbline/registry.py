@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plumbline import query
 
-for _name in ("positional", "windows", "joins", "aggregates", "sampling", "sets", "rules", "retrieve", "evaluate", "curate", "layout", "parsing", "scalars", "lookup", "store", "printed", "checks", "wording", "sequence", "pages", "routing", "records"):
+for _name in ("positional", "windows", "joins", "aggregates", "sampling", "sets", "rules", "retrieve", "evaluate", "curate", "layout", "parsing", "scalars", "lookup", "store", "printed", "checks", "wording", "sequence", "pages", "routing", "records", "values"):
     importlib.import_module(f"plumbline.plans.{_name}")
 
 
