@@ -39,9 +39,10 @@ def curve_findings(radius: Column, length: Column, angle: Column, shift: Column,
     """(severity, what, value): printed values of a curve that its formulas do not give. CHECK where shift (L²/24R) or degree
     (1750/R) is off by over 0.0015, INFO where the tangent length ((R + S) tan(Δ/2) + L/2) is off by over 0.02. A value that is not
     printed is not checked; without radius or angle, or with a radius of 0, none is."""
+    radius = F.nullif(radius, F.lit(0.0))
     s = length * length / (24 * radius)
     t = (radius + s) * F.tan(F.radians(angle / 2)) + length / 2
     one = lambda severity, what, printed, value, reach: F.when(F.abs(value - printed) > reach, F.struct(F.lit(severity).alias("severity"), F.lit(what).alias("what"), value.alias("value")))
     found = F.array(one("CHECK", "shift", shift, s, 0.0015), one("CHECK", "degree", degree, 1750 / radius, 0.0015), one("INFO", "tangent", tangent, t, 0.02))
-    known = (radius != 0) & length.isNotNull() & (angle != 0)
+    known = radius.isNotNull() & length.isNotNull() & (angle != 0)
     return F.when(F.coalesce(known, F.lit(False)), F.filter(found, lambda x: x.isNotNull())).otherwise(F.filter(found, lambda x: F.lit(False)))

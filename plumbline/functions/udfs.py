@@ -144,7 +144,7 @@ def split_successive(text: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratio of matching blocks of two labels."""
+    """Ratio of matching blocks of two labels; null if one is."""
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)])
 
 

@@ -129,3 +129,36 @@ def nearest(pairs: DataFrame, pos: str) -> DataFrame:
     back, ahead = F.col(pos) - F.col("prev_pos"), F.col("next_pos") - F.col(pos)
     use_next = F.col("prev_pos").isNull() | (ahead < back)
     return pairs.withColumn("near_pos", F.when(use_next, F.col("next_pos")).otherwise(F.col("prev_pos"))).withColumn("near", F.when(use_next, F.col("next")).otherwise(F.col("prev")))
+
+
+def beside(points: DataFrame, line: str, pos: str, seq: str, payload: Column) -> DataFrame:
+    """``points`` with _earlier and _later: the payload of the point before and of the one behind each on its line, itself left out.
+
+    What ``neighbours`` finds behind a row, seen from the other end of the line, lies before it."""
+    ahead = neighbours(points, line, pos, [pos, seq], payload).drop("_prev").withColumnRenamed("_next", "_later")
+    turned = ahead.withColumns({"_pos": -F.col(pos), "_seq": -F.col(seq)})
+    back = neighbours(turned, line, "_pos", ["_pos", "_seq"], payload).drop("_prev").withColumnRenamed("_next", "_earlier")
+    return back.drop("_pos", "_seq")
+
+
+def interpolate_at_breaks(probes: DataFrame, columns: DataFrame, breaks: DataFrame, line: str, pos: str, value: str, seq: str, reach: float = 0.0015) -> DataFrame:
+    """``probes`` (line, pos, seq) with value and how: between the two columns around a probe, but on the stretch that holds it
+    where the grade breaks between them.
+
+    A break counts if it lies strictly between the columns and the lines through the two columns before it and the two behind
+    it meet there (within ``reach``) off the straight line between the columns (by more than that); of several breaks between
+    two columns the last at or before the probe is looked at, else the next. how: straight, left or right of the break; exact on
+    a column; outside where a column is missing (null value). ``columns``: line, pos, seq, ``value``; ``breaks``: line, pos, seq."""
+    own = F.struct(F.col(pos).alias("p"), F.col(value).alias("v"))
+    c = beside(columns.where(F.col(pos).isNotNull()), line, pos, seq, own).select(line, pos, seq, F.struct(F.col(pos).alias("p"), F.col(value).alias("v"), F.col("_earlier").alias("before"), F.col("_later").alias("behind")).alias("_column"))
+    held = asof_pair(probes, c, line, pos, "_column", seq).withColumnsRenamed({"prev": "_l", "next": "_r"}).drop("prev_pos", "next_pos")
+    g = asof_pair(held, breaks.select(line, pos, seq, F.lit(1).alias("_one")), line, pos, "_one", seq)
+    x, a, b = F.col(pos), F.col("_l"), F.col("_r")
+    inside = lambda p: (p > a["p"]) & (p < b["p"])
+    at = F.when(inside(F.col("prev_pos")), F.col("prev_pos")).when(inside(F.col("next_pos")), F.col("next_pos"))
+    through = lambda s, t, p: s["v"] + (t["v"] - s["v"]) * (p - s["p"]) / F.nullif(t["p"] - s["p"], F.lit(0.0))
+    before, behind = lambda p: through(a["before"], a, p), lambda p: through(b, b["behind"], p)
+    meets = (F.abs(before(at) - behind(at)) <= reach) & (F.abs(before(at) - through(a, b, at)) > reach)
+    how = F.when(a["p"] == x, "exact").when(a.isNull() | b.isNull(), "outside").when(F.coalesce(meets, F.lit(False)), F.when(x <= at, "left").otherwise("right")).otherwise("straight")
+    found = F.when(how == "exact", a["v"]).when(how == "left", before(x)).when(how == "right", behind(x)).when(how == "straight", through(a, b, x))
+    return g.select(*probes.columns, how.alias("how"), found.alias("value"))

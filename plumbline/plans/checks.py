@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.operators import positional, scoring
 from plumbline.plans.positional import _EVENTS, events
 from plumbline.query import query, table
+from plumbline.scratch import fresh_path as scratch
 from plumbline.sources.io import file_hashes, read_json_lines, unseen, write_csv, write_json_lines
 from plumbline.sources.store import Store
 
@@ -122,17 +119,6 @@ def block_against_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     return l.select("l_orderkey", "l_linenumber", verdict.alias("verdict"))
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder of ``spark.checkpoint.dir``; where it is unset, on one machine, in a temporary folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        shared = "file://" + tempfile.mkdtemp(prefix="plumbline-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/plumbline/{name}-{uuid.uuid4().hex}"
-
-
 def _sheets(spark: SparkSession, sf_dir: str, revision: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     text = F.concat_ws("|", F.lit(revision), F.col("p_partkey").cast("string"), "p_name")
@@ -173,12 +159,15 @@ def csv_with_a_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col(f"`{back.columns[0]}`").cast("int").alias("k"), F.col("n_name").alias("name"))
 
 
-@query("SELECT 2::BIGINT AS files, 1::BIGINT AS new")
+@query("""WITH f AS (SELECT p_brand, p_size % 3 AS copy, string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey) AS content FROM part WHERE p_size % 3 < 2 GROUP BY 1, 2 UNION ALL SELECT p_brand, 2, string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey) FROM part WHERE p_size % 3 = 0 GROUP BY 1),
+k AS (SELECT content FROM f WHERE copy = 1) SELECT count(*) AS files, count(DISTINCT content) AS contents, count(DISTINCT CASE WHEN content NOT IN (SELECT content FROM k) THEN content END) AS new FROM f""")
 def files_not_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files by the hash of their content; those that are known are left out, and copies of a new one count once."""
-    path = scratch(spark, "files")
-    for k, name in enumerate(("a", "b", "b")):
-        spark.createDataFrame([(f"content {name}",)], "text string").coalesce(1).write.text(f"{path}/{k}")
-    files = file_hashes(spark, f"{path}/*/part-*").cache()
-    known = files.where(F.col("path").rlike("/0/part-")).select("sha")
-    return files.agg(F.count_distinct("sha").alias("files")).crossJoin(unseen(files, known).agg(F.count("*").alias("new")))
+    """Files of each brand's parts by the hash of their content: those that are known are left out, copies of a new one count once."""
+    path, p = scratch(spark, "files"), table(spark, sf_dir, "part")
+    content = F.array_join(F.transform(F.array_sort(F.collect_list("p_partkey")), lambda x: x.cast("string")), ",").alias("text")
+    made = p.withColumn("copy", F.explode(F.when(F.col("p_size") % 3 == 0, F.array(F.lit(0), F.lit(2))).when(F.col("p_size") % 3 == 1, F.array(F.lit(1))))).groupBy("p_brand", "copy").agg(content)
+    made.repartition("p_brand", "copy").write.partitionBy("copy", "p_brand").text(path)
+    files = file_hashes(spark, f"{path}/copy=*/p_brand=*/part-*").cache()
+    known = files.where(F.col("path").contains("/copy=1/")).select("sha")
+    counts = files.agg(F.count("*").alias("files"), F.count_distinct("sha").alias("contents"))
+    return counts.crossJoin(unseen(files, known).agg(F.count("*").alias("new")))

@@ -39,6 +39,25 @@ class Lookups:
             return spark.createDataFrame([("a term has two characters or more",)], "error string")
         return self.notes.where(F.contains(F.lower("text"), F.lit(ask["term"].lower()))).select("*", none)
 
+    def answer_all(self, questions: DataFrame, bin_width: float = 20_000.0) -> DataFrame:
+        """(qid, key, sheet, error) for a table of questions: qid, kind (item, range, containing or versions), line, key, low,
+        high, pos, sheet. Each kind is one join for all its questions; a question that lacks an argument, or is of no known kind,
+        has one row with the error as ``answer`` words it, and one without an answer has none."""
+        need = {"item": ("key", "line"), "range": ("high", "line", "low"), "containing": ("line", "pos"), "versions": ("line", "sheet")}
+        lacks = F.lit(None).cast("string")
+        for kind, names in need.items():
+            lacks = F.when(F.col("kind") == kind, F.array_join(F.filter(F.array(*[F.when(F.col(n).isNull(), n) for n in names]), lambda x: x.isNotNull()), ", ")).otherwise(lacks)
+        error = F.when(lacks.isNull(), F.concat(F.lit("unknown kind "), F.coalesce("kind", F.lit("")))).when(lacks != "", F.concat(F.lit("missing "), lacks))
+        q = questions.withColumn("error", error)
+        ask = lambda kind, *names: q.where((F.col("kind") == kind) & F.col("error").isNull()).select("qid", *names)
+        none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+        item = ask("item", "line", "key").join(self.items.select("line", "key"), ["line", "key"]).select("qid", "key", none("long", "sheet"))
+        span = positional.containing(self.items.select("line", "key", "pos"), ask("range", "line", "low", "high"), "line", "pos", "low", "high", True, bin_width).select("qid", "key", none("long", "sheet"))
+        held = positional.containing(ask("containing", "line", "pos"), self.sheets.select("line", "sheet", "low", "high"), "line", "pos", "low", "high", True, bin_width).select("qid", none("long", "key"), "sheet")
+        same = ask("versions", "line", "sheet").join(self.sheets.select("line", "sheet"), ["line", "sheet"]).select("qid", none("long", "key"), "sheet")
+        rows = item.unionByName(span).unionByName(held).unionByName(same).withColumn("error", F.lit(None).cast("string"))
+        return rows.unionByName(q.where("error is not null").select("qid", none("long", "key"), none("long", "sheet"), "error"))
+
 
 def lookups(spark: SparkSession, sf_dir: str) -> Lookups:
     o = table(spark, sf_dir, "orders")
@@ -62,9 +81,20 @@ def lookup_term(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookups(spark, sf_dir).answer("term", term="Thing").select("sheet", "error")
 
 
-@query("SELECT 'missing high, low' AS error")
-def lookup_error_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookups(spark, sf_dir).answer("range", line="F")
+@query("""WITH q AS (SELECT l_orderkey * 10 + l_linenumber AS qid, CASE l_linenumber WHEN 1 THEN 'item' WHEN 2 THEN 'range' WHEN 3 THEN CASE WHEN l_quantity < 3 THEN 'containing' ELSE 'versions' END WHEN 5 THEN 'curve' WHEN 6 THEN NULL ELSE 'item' END AS kind, CASE WHEN l_partkey % 9 > 0 THEN l_returnflag END AS flag, l_orderkey % 4000 AS k, l_extendedprice AS x, l_suppkey FROM lineitem),
+a AS (SELECT DISTINCT qid, kind, CASE flag WHEN 'A' THEN 'F' WHEN 'N' THEN 'O' WHEN 'R' THEN 'P' END AS line, CASE WHEN k % 5 > 0 THEN k END AS key, CASE WHEN k % 6 > 0 THEN x END AS low, x + 300 AS high, x AS pos, k AS sheet FROM q),
+o AS (SELECT o_orderstatus AS line, o_orderkey AS key, o_totalprice AS pos, o_totalprice + 20000 AS high FROM orders),
+e AS (SELECT *, CASE WHEN kind IS NULL OR kind = 'curve' THEN 'unknown kind ' || coalesce(kind, '') ELSE nullif('missing ' || array_to_string(list_filter(CASE kind WHEN 'item' THEN [CASE WHEN key IS NULL THEN 'key' END, CASE WHEN line IS NULL THEN 'line' END] WHEN 'range' THEN [CASE WHEN line IS NULL THEN 'line' END, CASE WHEN low IS NULL THEN 'low' END] ELSE [CASE WHEN line IS NULL THEN 'line' END] END, lambda x: x IS NOT NULL), ', '), 'missing ') END AS error FROM a)
+SELECT qid, NULL::BIGINT AS key, NULL::BIGINT AS sheet, error FROM e WHERE error IS NOT NULL UNION ALL SELECT qid, o.key, NULL, NULL FROM e JOIN o USING (line, key) WHERE kind = 'item' AND error IS NULL UNION ALL SELECT qid, o.key, NULL, NULL FROM e JOIN o ON e.line = o.line AND o.pos BETWEEN e.low AND e.high WHERE kind = 'range' AND error IS NULL
+UNION ALL SELECT qid, NULL, o.key, NULL FROM e JOIN o ON e.line = o.line AND e.pos BETWEEN o.pos AND o.high WHERE kind = 'containing' AND error IS NULL UNION ALL SELECT qid, NULL, o.key, NULL FROM e JOIN o ON e.line = o.line AND e.sheet = o.key WHERE kind = 'versions' AND error IS NULL""")
+def lookup_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions of four kinds, some without an argument, some of no kind, answered together; errors are values."""
+    l = table(spark, sf_dir, "lineitem")
+    n, k, x = F.col("l_linenumber"), F.col("l_orderkey") % 4000, F.col("l_extendedprice")
+    kind = F.when(n == 2, "range").when(n == 3, F.when(F.col("l_quantity") < 3, "containing").otherwise("versions")).when(n == 5, "curve").when(n != 6, "item")
+    line = F.when(F.col("l_partkey") % 9 > 0, F.when(F.col("l_returnflag") == "A", "F").when(F.col("l_returnflag") == "N", "O").otherwise("P"))
+    q = l.select((F.col("l_orderkey") * 10 + n).alias("qid"), kind.alias("kind"), line.alias("line"), F.when(k % 5 > 0, k).alias("key"), F.when(k % 6 > 0, x).alias("low"), (x + 300).alias("high"), x.alias("pos"), k.alias("sheet")).distinct()
+    return lookups(spark, sf_dir).answer_all(q)
 
 
 @query("""WITH s AS (SELECT o_custkey AS line, o_orderkey AS sheet, o_totalprice AS low, o_totalprice + 20000 AS high FROM orders)

@@ -123,9 +123,17 @@ def words_run_together(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("p_partkey", F.array_join(segment_udf(frozenset(words))(F.replace("p_name", F.lit(" "), F.lit(""))), " ").alias("words"))
 
 
-@query("SELECT p_partkey, 1.0::DOUBLE AS same, 0.0::DOUBLE AS other FROM part")
+@query(r"""WITH t AS (SELECT p_partkey, p_name AS a, CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN upper(p_name) || '.' WHEN 2 THEN replace(p_name, ' ', '  ') WHEN 3 THEN '0123456789' ELSE NULL END AS b FROM part),
+n AS (SELECT p_partkey, a IS NULL OR b IS NULL AS gap, regexp_replace(lower(a), '[^a-z]', '', 'g') AS a, regexp_replace(lower(b), '[^a-z]', '', 'g') AS b FROM t)
+SELECT p_partkey, CASE WHEN gap THEN NULL WHEN a = b THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS ratio, CASE WHEN NOT gap THEN a = b END AS alike FROM n""")
 def label_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return part(spark, sf_dir).select("p_partkey", similarity("p_name", "p_name").alias("same"), similarity("p_name", F.lit("0123456789")).alias("other"))
+    """Names against what was read of them: the same, in capitals with a point, with wider gaps, another thing, nothing. Only letters
+    count, and 0.8 makes them alike."""
+    k = F.col("p_partkey") % 5
+    read = F.when(k == 0, F.col("p_name")).when(k == 1, F.concat(F.upper("p_name"), F.lit("."))).when(k == 2, F.replace("p_name", F.lit(" "), F.lit("  "))).when(k == 3, "0123456789")
+    letters = lambda x: F.regexp_replace(F.lower(x), "[^a-z]", "")
+    rows = part(spark, sf_dir).select("p_partkey", similarity(letters(F.col("p_name")), letters(read)).alias("ratio"))
+    return rows.select("p_partkey", "ratio", (F.col("ratio") >= 0.8).alias("alike"))
 
 
 @query("""WITH n AS (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k FROM conversations), t AS (SELECT conv_id, k, CASE WHEN role = 'assistant' THEN 3 ELSE 0 END AS on_ FROM n)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.operators.assign import ranked_assignment
 from plumbline.operators.fold import Machine, run_machine
 from plumbline.operators.period import pitch_and_phase
-from plumbline.operators.positional import neighbours
+from plumbline.operators.positional import interpolate_at_breaks, neighbours
 from plumbline.plans.positional import _EVENTS, events
 from plumbline.query import query, table
 
@@ -81,3 +81,25 @@ def profile_pitch(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.when(F.pmod(x, 17 + k) == 3, F.lit(100)).otherwise(F.col("o_custkey") % 40).cast("double")
     profile = table(spark, sf_dir, "orders").groupBy(k.alias("key"), x.alias("x")).agg(F.sum(value).alias("value"))
     return pitch_and_phase(profile, 5, 80)
+
+
+_WAVE = "abs((pos - floor(pos / 10000) * 10000) - 5000) * 0.002"
+
+
+@query(f"""WITH e AS ({_EVENTS}), c0 AS (SELECT line, event_id AS seq, pos, {_WAVE} AS v FROM e WHERE event_type IN ('view', 'signup')),
+c AS (SELECT *, lag(pos) OVER w AS bp, lag(v) OVER w AS bv, lead(pos) OVER w AS fp, lead(v) OVER w AS fv, lead(pos, 2) OVER w AS gp, lead(v, 2) OVER w AS gv FROM c0 WINDOW w AS (PARTITION BY line ORDER BY pos, seq)),
+k AS (SELECT line, floor(pos / 5000) * 5000 + (event_id % 2) AS pos FROM e WHERE event_type = 'click'), q AS (SELECT line, event_id, pos FROM e WHERE event_type = 'error'),
+h AS (SELECT q.line, q.event_id, q.pos AS x, c.pos AS ap, c.v AS av, bp, bv, fp, fv, gp, gv FROM q LEFT JOIN LATERAL (SELECT * FROM c WHERE c.line = q.line AND c.pos <= q.pos ORDER BY c.pos DESC, c.seq DESC LIMIT 1) c ON true),
+b AS (SELECT h.*, coalesce((SELECT max(pos) FROM k WHERE k.line = h.line AND k.pos <= h.x AND k.pos > ap AND k.pos < fp), CASE WHEN (SELECT min(pos) FROM k WHERE k.line = h.line AND k.pos > h.x) < fp THEN (SELECT min(pos) FROM k WHERE k.line = h.line AND k.pos > h.x) END) AS at_ FROM h),
+m AS (SELECT *, bv + (av - bv) * (at_ - bp) / nullif(ap - bp, 0) AS l, fv + (gv - fv) * (at_ - fp) / nullif(gp - fp, 0) AS r, av + (fv - av) * (at_ - ap) / nullif(fp - ap, 0) AS s FROM b),
+w AS (SELECT *, CASE WHEN ap = x THEN 'exact' WHEN ap IS NULL OR fp IS NULL THEN 'outside' WHEN abs(l - r) <= 0.0015 AND abs(l - s) > 0.0015 THEN CASE WHEN x <= at_ THEN 'left' ELSE 'right' END ELSE 'straight' END AS how FROM m)
+SELECT line, event_id, how, floor(CASE how WHEN 'exact' THEN av WHEN 'left' THEN bv + (av - bv) * (x - bp) / nullif(ap - bp, 0) WHEN 'right' THEN fv + (gv - fv) * (x - fp) / nullif(gp - fp, 0) WHEN 'straight' THEN av + (fv - av) * (x - ap) / nullif(fp - ap, 0) END * 1000 + 0.5) / 1000 AS value FROM w""")
+def interpolation_at_grade_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Levels that rise and fall by stretches of 5000: columns are views and signups, breaks clicks moved to the turns (some
+    beside them), probes errors."""
+    e = events(spark, sf_dir)
+    wave = F.abs((F.col("pos") - F.floor(F.col("pos") / 10000) * 10000) - 5000) * 0.002
+    columns = e.where("event_type in ('view', 'signup')").select("line", F.col("event_id"), "pos", wave.alias("v"))
+    breaks = e.where("event_type = 'click'").select("line", (F.floor(F.col("pos") / 5000) * 5000 + F.col("event_id") % 2).cast("double").alias("pos"), "event_id")
+    found = interpolate_at_breaks(e.where("event_type = 'error'").select("line", "pos", "event_id"), columns, breaks, "line", "pos", "v", "event_id")
+    return found.select("line", "event_id", "how", (F.floor(F.col("value") * 1000 + 0.5) / 1000).alias("value"))
