@@ -113,14 +113,10 @@ def segment(text: str, words: frozenset[str], longest: int = 20) -> list[str]:
     return out[::-1]
 
 
-def segment_udf(words: frozenset[str]):
-    """A UDF over a fixed vocabulary, which the caller has bounded."""
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def run(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: None if t is None else segment(t, words))
-
-    return run
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def segment_udf(text: pd.Series, words: pd.Series) -> pd.Series:
+    """``segment`` with the words that each text may be made up of."""
+    return pd.Series([None if t is None else segment(t, frozenset(() if w is None else w)) for t, w in zip(text, words, strict=True)])
 
 
 def successive(text: str) -> list[int] | None:

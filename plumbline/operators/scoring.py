@@ -56,3 +56,11 @@ def replay(recorded: DataFrame, live: DataFrame, keys: list[str], result: str) -
     both = recorded.select(*keys, text(result).alias("was")).join(live.select(*keys, text(result).alias("now")), keys, "left")
     same = F.col("was") == F.col("now")
     return both.groupBy(*keys[:-1]).agg(F.count_if(same).alias("identical"), F.count_if(~same).alias("different"), F.count_if(F.col("now").isNull()).alias("missing"))
+
+
+def stop_if(rows: DataFrame, wrong: Column, what: str) -> DataFrame:
+    """``rows``, unless one is ``wrong``: then an error that names the first found, and nothing is built on them."""
+    found = rows.where(wrong).limit(1).collect()
+    if found:
+        raise ValueError(f"{what}: {found[0].asDict()}")
+    return rows

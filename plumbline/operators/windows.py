@@ -59,3 +59,11 @@ def label_stack(rows: DataFrame, keys: list[str], offset: str, text: str, max_ga
     ends = F.when((F.col(offset) - F.lag(offset).over(w) > max_gap) | F.col(text).rlike(stop), 1).otherwise(0)
     kept = rows.withColumn("_end", ends).withColumn("_ended", F.sum("_end").over(w.rowsBetween(Window.unboundedPreceding, 0))).where("_ended = 0")
     return kept.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(offset, text))), lambda s: s[text]), " ").alias("stacked"))
+
+
+def budgeted(rows: DataFrame, keys: list[str], order: list[Column], size: Column, forced: Column, most: int, total: int) -> DataFrame:
+    """Rows of each key in order up to the first that would be more than ``most`` rows or ``total`` in size; what comes behind
+    it is left out too. Forced rows never overflow, but count."""
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    over = ~F.coalesce(forced, F.lit(False)) & ((F.count("*").over(w) > most) | (F.sum(size).over(w) > total))
+    return rows.withColumn("_over", over).withColumn("_ended", F.max("_over").over(w)).where("not _ended").drop("_over", "_ended")

@@ -57,7 +57,7 @@ def length_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     lengths = n.groupBy("n").agg(F.count("*").alias("k")).withColumn("slice", F.floor(F.col("n") / 4096))
     by_slice = lengths.groupBy("slice").agg(F.sum("k").alias("k"))
     before = by_slice.withColumn("before", F.sum("k").over(Window.orderBy("slice")) - F.col("k")).drop("k")
-    upto = lengths.join(F.broadcast(before), "slice").withColumn("upto", F.col("before") + F.sum("k").over(Window.partitionBy("slice").orderBy("n")))
+    upto = lengths.join(before, "slice").withColumn("upto", F.col("before") + F.sum("k").over(Window.partitionBy("slice").orderBy("n")))
     total = lengths.agg(F.sum("k").alias("c"))
     limit = upto.join(F.broadcast(total)).where(F.col("upto") > F.least(F.col("c") - 1, F.floor(0.95 * F.col("c")))).agg((F.ceil(F.min("n") / 256.0) * 256).alias("max_len"))
     return n.join(F.broadcast(limit)).select("conv_id", "n", (F.col("n") <= F.col("max_len")).alias("kept"))

@@ -115,12 +115,20 @@ def stacked_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT p_partkey, array_to_string(list_filter(string_split(p_name, ' '), lambda x: x <> ''), ' ') AS words FROM part")
 def words_run_together(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names without their spaces, cut into the words of the vocabulary; the vocabulary's size is checked."""
-    p = part(spark, sf_dir)
-    words = [r.w for r in p.select(F.explode(F.split("p_name", " ")).alias("w")).where("w <> ''").distinct().limit(10_001).collect()]
-    if len(words) > 10_000:
-        raise ValueError("the vocabulary has more than 10000 words")
-    return p.select("p_partkey", F.array_join(segment_udf(frozenset(words))(F.replace("p_name", F.lit(" "), F.lit(""))), " ").alias("words"))
+    """Names without their spaces, cut into the words of the vocabulary of all names."""
+    p = part(spark, sf_dir).select("p_partkey", F.replace("p_name", F.lit(" "), F.lit("")).alias("run"), "p_name")
+    words = p.select(F.explode(F.split("p_name", " ")).alias("word")).where("word <> ''").distinct()
+    return p.join(run_words(p.select("run"), words), "run", "left").select("p_partkey", F.array_join("words", " ").alias("words"))
+
+
+def run_words(runs: DataFrame, words: DataFrame, longest: int = 20) -> DataFrame:
+    """(run, words): each different ``run`` as the fewest of ``words`` (word, up to ``longest`` characters) that make it up, else as
+    it is. The pieces of a run meet the vocabulary by equality, so that is of any size and never gathered."""
+    each = runs.where("run is not null").distinct()
+    n = F.length("run")
+    pieces = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.greatest(n - i + 1, F.lit(1)))), lambda k: F.substr(F.col("run"), i, k)))))
+    met = each.select("run", F.explode(pieces).alias("word")).join(words.select("word").distinct(), "word").groupBy("run").agg(F.collect_set("word").alias("known"))
+    return each.join(met, "run", "left").select("run", segment_udf("run", "known").alias("words"))
 
 
 @query(r"""WITH t AS (SELECT p_partkey, p_name AS a, CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN upper(p_name) || '.' WHEN 2 THEN replace(p_name, ' ', '  ') WHEN 3 THEN '0123456789' ELSE NULL END AS b FROM part),

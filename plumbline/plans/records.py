@@ -7,11 +7,16 @@ from pyspark.sql import functions as F
 
 from plumbline.operators.headings import resolved_headings
 from plumbline.operators.pieces import callout_chains
+from plumbline.operators.positional import close_by
 from plumbline.operators.variants import varied
+from plumbline.operators.windows import budgeted
+from plumbline.plans.checks import _sheets
+from plumbline.plans.evaluate import _BOX, boxes
 from plumbline.plans.pages import _LINES, _lines
 from plumbline.query import query, table
 from plumbline.scratch import fresh_path
 from plumbline.sources.log import Log, write_index
+from plumbline.sources.store import Store
 
 # Words of the printed labels.
 _WORDS = ["STONE", "PITCHING WITH", "CEMENT|GROUTING", "300 THK", "of it", "WALL"]
@@ -96,3 +101,51 @@ def sheet_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many things of each kind a sheet has, written as CSV and read back."""
     rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("sheet"), "event_type")
     return write_index(rows, "sheet", "event_type", ["view", "click", "error"], fresh_path(spark, "index"))
+
+
+@query(f"""WITH l AS ({_LINES}), s AS (SELECT page, k, CASE flag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS grp, q FROM l), c AS (SELECT *, count(*) OVER w AS n, sum(q) OVER w AS upto FROM s WINDOW w AS (PARTITION BY page ORDER BY grp, q DESC, k ROWS UNBOUNDED PRECEDING)),
+o AS (SELECT *, max(CASE WHEN grp <> 1 AND (n > 4 OR upto > 90) THEN 1 ELSE 0 END) OVER (PARTITION BY page ORDER BY grp, q DESC, k ROWS UNBOUNDED PRECEDING) AS ended FROM c)
+SELECT page, k, grp FROM o WHERE ended = 0""")
+def budgeted_with_forced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Core lines, forced ones, then the rest by size, up to four lines or 90 in all; forced ones go beyond, but count."""
+    group = F.when(F.col("flag") == "A", 0).when(F.col("flag") == "N", 1).otherwise(2)
+    rows = _lines(spark, sf_dir).withColumn("grp", group)
+    return budgeted(rows, ["page"], [F.asc("grp"), F.desc("q"), F.asc("k")], F.col("q"), F.col("grp") == 1, 4, 90).select("page", "k", "grp")
+
+
+@query("""SELECT 'S-' || p_partkey AS sheet_id, CASE WHEN p_size > 40 THEN 'R12' WHEN p_size > 25 THEN 'R10' ELSE 'R2' END AS revision,
+CASE WHEN p_size > 40 THEN 'R12 after R2, R10' WHEN p_size > 25 THEN 'R10 after R2' ELSE 'R2 is the first' END AS status FROM part""")
+def version_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is stored of each sheet, in words: its latest revision and those before it."""
+    store, p = Store(spark, fresh_path(spark, "store")), table(spark, sf_dir, "part")
+    few = lambda least: p.where(F.col("p_size") > least).select(F.format_string("S-%d", "p_partkey").alias("sheet_id"))
+    for revision, least in (("R10", 25), ("R2", -1), ("R12", 40), ("R10", 25)):
+        store.add(_sheets(spark, sf_dir, revision).join(few(least), "sheet_id", "left_semi"))
+    return store.status()
+
+
+@query(f"""WITH b AS ({_BOX}), p AS (SELECT *, c, CASE c WHEN 'corners' THEN x + 3.2 ELSE x + 3.2 - x * (vec_id % 2) END AS px, CASE c WHEN 'corners' THEN y + 2.9 ELSE y + 2.9 - y * (vec_id % 2) END AS py FROM b, (VALUES ('corners'), ('sizes')) v(c)),
+i AS (SELECT *, greatest(least(x + 3, px) - x, 0) * greatest(least(y + 3, py) - y, 0) AS shared, greatest(px - x, 0) * greatest(py - y, 0) AS own FROM p), a AS (SELECT c, floor(avg(shared / (9 + own - shared)) * 1e6 + 0.5) / 1e6 AS agreement, count(*) AS n FROM i GROUP BY 1)
+SELECT c AS convention, agreement, n, agreement = max(agreement) OVER () AS best FROM a""")
+def box_convention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which reading of predicted boxes, as corners or (for odd vectors) as sizes, agrees best with the references on average."""
+    corner = F.array(F.struct(F.lit("corners").alias("c"), (F.col("x") + 3.2).alias("px"), (F.col("y") + 2.9).alias("py")), F.struct(F.lit("sizes").alias("c"), (F.col("x") + 3.2 - F.col("x") * (F.col("vec_id") % 2)).alias("px"), (F.col("y") + 2.9 - F.col("y") * (F.col("vec_id") % 2)).alias("py")))
+    p = boxes(spark, sf_dir).select("x", "y", F.explode(corner).alias("p")).select("x", "y", "p.*")
+    zero = F.lit(0.0)
+    shared = F.greatest(F.least(F.col("x") + 3, "px") - F.col("x"), zero) * F.greatest(F.least(F.col("y") + 3, "py") - F.col("y"), zero)
+    own = F.greatest(F.col("px") - F.col("x"), zero) * F.greatest(F.col("py") - F.col("y"), zero)
+    means = p.groupBy(F.col("c").alias("convention")).agg((F.floor(F.avg(shared / (9 + own - shared)) * 1e6 + 0.5) / 1e6).alias("agreement"), F.count("*").alias("n"))
+    # two rows, one for each convention
+    return means.join(F.broadcast(means.agg(F.max("agreement").alias("top")))).select("convention", "agreement", "n", (F.col("agreement") == F.col("top")).alias("best"))
+
+
+@query(f"""WITH b AS ({_BOX}), j AS (SELECT r.page, r.vec_id AS ref, greatest(least(r.x, p.x) + 3 - greatest(r.x, p.x), 0) AS w, greatest(least(r.y, p.y) + 3 - greatest(r.y, p.y), 0) AS h FROM b r LEFT JOIN b p ON r.page = p.page AND r.vec_id <> p.vec_id),
+m AS (SELECT page, ref, max(CASE WHEN w * h > 0 THEN w * h / (18 - w * h) ELSE 0 END) AS best FROM j GROUP BY 1, 2) SELECT page, floor(avg(best) * 1e6 + 0.5) / 1e6 AS agreement FROM m GROUP BY 1""")
+def mean_box_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean over a page's references of the best overlap that any other box has with them, 0 where none has."""
+    b = boxes(spark, sf_dir)
+    other = b.select("page", F.col("vec_id").alias("other"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    shared = (F.least("x", "x2") + 3 - F.greatest("x", "x2")) * (F.least("y", "y2") + 3 - F.greatest("y", "y2"))
+    best = close_by(b, other, ["page"], [("x", "x2", 3.0), ("y", "y2", 3.0)]).where("vec_id <> other").groupBy("vec_id").agg(F.max(shared / (18 - shared)).alias("best"))
+    means = b.join(best, "vec_id", "left").groupBy("page").agg(F.avg(F.coalesce("best", F.lit(0.0))).alias("mean"))
+    return means.select("page", (F.floor(F.col("mean") * 1e6 + 0.5) / 1e6).alias("agreement"))

@@ -53,3 +53,11 @@ class Store:
     def history(self, line: str, sheet_no: str) -> DataFrame:
         rows = self.versions().where((F.col("line") == F.lit(line)) & (F.col("sheet_no") == F.lit(sheet_no)))
         return rows.join(self.latest().select("id", F.lit(True).alias("is_latest")), "id", "left").withColumn("is_latest", F.coalesce("is_latest", F.lit(False)))
+
+    def status(self) -> DataFrame:
+        """(sheet_id, revision, status) of each sheet's latest version: what it is, and the earlier revisions in their order."""
+        each = self.versions().groupBy("sheet_id", "revision").agg(F.min("id").alias("id"))
+        listed = each.groupBy("sheet_id").agg(F.array_sort(F.collect_list(F.struct(revision_order(F.col("revision")).alias("n"), "id", "revision"))).alias("all"))
+        rows = self.latest().select("sheet_id", "revision").join(listed, "sheet_id")
+        earlier = F.array_join(F.filter(F.col("all.revision"), lambda r: r != F.col("revision")), ", ")
+        return rows.select("sheet_id", "revision", F.when(earlier == "", F.concat("revision", F.lit(" is the first"))).otherwise(F.concat("revision", F.lit(" after "), earlier)).alias("status"))

@@ -101,3 +101,28 @@ def test_questions_answered_together(spark):
     q = df(asked, "qid long, kind string, line string, key long, low double, high double, pos double, sheet long")
     got = sorted((r.qid, r.key, r.sheet, r.error) for r in book.answer_all(q, 4.0).collect())
     assert sorted(got, key=str) == sorted([(1, 2, None, None), (2, 1, None, None), (2, 2, None, None), (3, None, 7, None), (3, None, 8, None), (4, None, 8, None), (5, None, None, "missing high, line"), (6, None, None, "unknown kind curve"), (7, None, None, "unknown kind ")], key=str)
+
+
+def test_a_build_stops_at_a_wrong_row(spark):
+    from plumbline.operators.scoring import stop_if
+
+    rows = spark.createDataFrame([(1, "fine"), (2, "it is None here")], "k int, text string")
+    assert stop_if(rows, F.col("text").contains("Nothing"), "text").count() == 2
+    with pytest.raises(ValueError, match="a value is missing.*'k': 2"):
+        stop_if(rows, F.col("text").rlike(r"\bNone\b"), "a value is missing")
+
+
+def test_runs_of_words_of_any_vocabulary(spark):
+    from plumbline.plans.printed import run_words
+
+    runs = spark.createDataFrame([("railwaybridge",), ("xyz",), ("",), (None,), ("railwaybridge",)], "run string")
+    words = spark.createDataFrame([("rail",), ("way",), ("railway",), ("bridge",), ("x",)], "word string")
+    assert {r.run: r.words for r in run_words(runs, words).collect()} == {"railwaybridge": ["railway", "bridge"], "xyz": ["xyz"], "": udfs.segment("", frozenset())}
+
+
+def test_budget_with_forced_rows(spark):
+    from plumbline.operators.windows import budgeted
+
+    rows = spark.createDataFrame([("a", 1, 5, False), ("a", 2, 50, True), ("a", 3, 5, False), ("a", 4, 1, True), ("b", 1, 5, False), ("b", 2, 4, False)], "g string, k int, n int, f boolean")
+    got = budgeted(rows, ["g"], [F.asc("k")], F.col("n"), F.col("f"), 9, 12)
+    assert sorted((r.g, r.k) for r in got.collect()) == [("a", 1), ("a", 2), ("b", 1), ("b", 2)]
