@@ -77,26 +77,44 @@ def calc(text: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([evaluate(t) for t in text], columns=["value", "error"])
 
 
-def flatten(value, path: str = "") -> dict[str, str]:
-    """Path -> scalar of a nested value; nulls are left out."""
+def flatten(value, path: str = "", key: str | None = None) -> dict[str, str]:
+    """Path -> scalar of a nested value; nulls are left out. Items of a list go by their number, or, where all are objects that
+    have ``key``, each with another value, by that."""
     if isinstance(value, dict):
-        return {k: v for name, x in value.items() for k, v in flatten(x, f"{path}.{name}" if path else str(name)).items()}
+        return {k: v for name, x in value.items() for k, v in flatten(x, f"{path}.{name}" if path else str(name), key).items()}
     if isinstance(value, list):
-        return {k: v for i, x in enumerate(value) for k, v in flatten(x, f"{path}[{i}]").items()}
+        names = [x.get(key) if isinstance(x, dict) else None for x in value]
+        if key is None or None in names or len(set(map(str, names))) < len(names):
+            names = range(len(value))
+        return {k: v for i, x in zip(names, value, strict=True) for k, v in flatten(x, f"{path}[{i}]", key).items()}
     return {} if value is None else {path: str(value)}
 
 
-@F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
-def flatten_json(text: pd.Series) -> pd.Series:
+def _flattened(text: pd.Series, key: str | None) -> pd.Series:
     def one(t: str | None) -> dict[str, str] | None:
         try:
-            return flatten(json.loads(t)) if t else None
+            return flatten(json.loads(t), key=key) if t else None
         except ValueError:
             return None
 
     return text.map(one)
 
 
+@F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
+def flatten_json(text: pd.Series) -> pd.Series:
+    return _flattened(text, None)
+
+
+def flatten_json_by(key: str):
+    """As ``flatten_json``, with the items of lists by their ``key``."""
+
+    @F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
+    def run(text: pd.Series) -> pd.Series:
+        return _flattened(text, key)
+
+    return run
+
+
 def segment(text: str, words: frozenset[str], longest: int = 20) -> list[str]:
     """The fewest dictionary words that make up ``text``; the text itself if none do."""
     best: list[tuple[int, int] | None] = [(0, 0)] + [None] * len(text)

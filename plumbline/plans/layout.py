@@ -19,6 +19,17 @@ def point_to_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boxes(spark, sf_dir).join(F.broadcast(r), hit).groupBy("vec_id").agg(F.min("region").alias("region"))
 
 
+@query(f"""WITH b AS ({_BOX}), r AS (SELECT k AS region, -3.0 + 2 * (k % 3) AS x0, -3.0 + 2 * (k // 3) AS y0 FROM range(9) AS t(k)),
+o AS (SELECT vec_id, region, floor(greatest(least(x + 3, x0 + 2.5) - greatest(x, x0), 0) * greatest(least(y + 3, y0 + 2.5) - greatest(y, y0), 0) * 1e6) AS shared FROM b, r)
+SELECT vec_id, arg_max(region, (shared, -region)) AS region FROM o WHERE shared > 0 GROUP BY 1""")
+def box_to_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The region that a box shares the largest area with, the first of equals; regions are a table of nine rows."""
+    r = spark.range(9).select(F.col("id").alias("region"), (-3.0 + 2 * (F.col("id") % 3)).alias("x0"), (-3.0 + 2 * F.floor(F.col("id") / 3)).alias("y0"))
+    side = lambda c: F.greatest(F.least(F.col(c) + 3, F.col(f"{c}0") + 2.5) - F.greatest(c, f"{c}0"), F.lit(0.0))
+    rows = boxes(spark, sf_dir).join(F.broadcast(r)).withColumn("shared", F.floor(side("x") * side("y") * 1e6)).where("shared > 0")
+    return rows.groupBy("vec_id").agg(F.max_by("region", F.struct("shared", -F.col("region"))).alias("region"))
+
+
 @query(f"""WITH b AS ({_BOX}) SELECT a.vec_id, arg_min(c.vec_id, struct_pack(d := c.y - a.y, v := c.vec_id)) AS below FROM b a JOIN b c ON a.page = c.page AND c.y > a.y AND c.y - a.y < 2 AND abs(c.x - a.x) < 1 GROUP BY 1""")
 def neighbour_below(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = boxes(spark, sf_dir)

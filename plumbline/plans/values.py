@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions import rules, values
-from plumbline.functions.udfs import KEEP, match_boxes, reword_udf
+from plumbline.functions.udfs import KEEP, flatten_json_by, match_boxes, reword_udf
 from plumbline.operators.variants import draw
 from plumbline.plans.evaluate import boxes
 from plumbline.plans.retrieve import STOP
@@ -164,3 +164,14 @@ def reworded_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
         return rows.withColumn("other", other).select("conv_id", "turn", F.coalesce("other", "text").alias("text"), (F.col("reworded") | F.col("other").isNotNull()).alias("reworded"))
 
     return again(again(c))
+
+
+_TREE = """'{"sheet": "' || p_brand || '", "marks": [{"tbm_id": "T' || p_size || '", "level": ' || p_size || '.5}, {"tbm_id": "' || (CASE WHEN p_partkey % 3 = 0 THEN 'T' || p_size ELSE 'U' END) || '", "level": null, "at": [1, ' || p_partkey || ']}]' || CASE WHEN p_partkey % 7 = 0 THEN '' ELSE '}' END"""
+
+
+@query("""WITH p AS (SELECT *, 'T' || p_size AS a, CASE WHEN p_partkey % 3 = 0 THEN '1' ELSE 'U' END AS second FROM part WHERE p_partkey % 7 > 0), n AS (SELECT *, CASE WHEN p_partkey % 3 = 0 THEN '0' ELSE a END AS first FROM p)
+SELECT p_partkey, unnest(['sheet', 'marks[' || first || '].tbm_id', 'marks[' || first || '].level', 'marks[' || second || '].tbm_id', 'marks[' || second || '].at[0]', 'marks[' || second || '].at[1]']) AS path, unnest([p_brand, a, p_size || '.5', CASE WHEN p_partkey % 3 = 0 THEN a ELSE 'U' END, '1', p_partkey::VARCHAR]) AS value FROM n""")
+def paths_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of nested JSON by their paths, list items by their id where ids tell them apart; broken JSON has no rows."""
+    t = texts(spark, sf_dir, "part", "p_partkey", _TREE)
+    return t.select("p_partkey", F.explode(flatten_json_by("tbm_id")("text")).alias("path", "value"))

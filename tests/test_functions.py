@@ -46,6 +46,8 @@ def test_text_folds():
     assert udfs.restore(body.replace("⟦0⟧", ""), kept) is None
     assert udfs.reword("What is the height at 12.5?", "a") == udfs.reword("What is the height at 12.5?", "a")
     assert udfs.flatten({"a": [{"b": 1}, {"b": None}], "c": "x"}) == {"a[0].b": "1", "c": "x"}
+    assert udfs.flatten({"a": [{"id": "p", "b": 1}, {"id": "q", "b": [2]}]}, key="id") == {"a[p].id": "p", "a[p].b": "1", "a[q].id": "q", "a[q].b[0]": "2"}
+    assert udfs.flatten([{"id": 1}, {"id": 1}, 3], key="id") == {"[0].id": "1", "[1].id": "1", "[2]": "3"}
 
 
 def test_boxes_and_masks():
