@@ -62,9 +62,11 @@ def best_printed(texts: DataFrame, questions: DataFrame, most: int = 1, reach: f
 
     Every pair with a number or a code is scored. Of the words the rarest come first: once a text with score s is known, a
     text that lacks all but the s - 1 most frequent words of the question cannot reach it. So the texts of the first word are
-    scored, then those of the next two, four and so on, until that holds: frequent words are looked up for candidates alone.
+    scored, then those of the next four, sixteen and so on, until that holds: frequent words are looked up for candidates alone.
     """
     with scratch(texts.sparkSession):
+        # parsed once, not for each pass
+        texts, questions = written(texts.select("tid", "numbers", "codes", "words"), "printed"), written(questions.select("qid", "numbers", "codes", "words"), "asked")
         asked = questions.select("qid", F.explode("words").alias("word")).distinct()
         posted = written(texts.select("tid", F.explode("words").alias("word")).distinct().join(asked.select("word").distinct(), "word"), "postings")
         held = asked.join(posted.groupBy("word").agg(F.count("*").alias("df")), "word")
@@ -75,16 +77,21 @@ def best_printed(texts: DataFrame, questions: DataFrame, most: int = 1, reach: f
         left = places.select("qid", "n").distinct()
         while True:
             word = places.where((F.col("place") > done) & (F.col("place") <= done + step)).join(left.select("qid"), "qid", "left_semi")
-            met = word.join(posted, "word").select("qid", "tid").distinct()
-            pairs = met if scored is None else met.join(scored, ["qid", "tid"], "left_anti")
+            met = word.join(posted, "word").groupBy("qid", "tid", "n").agg(F.count("*").alias("got"))
+            if scored is None:
+                pairs = met.select("qid", "tid")
+            else:
+                # what has none of the words before, few of these and too few left cannot reach the floor
+                open_ = met.join(floors, "qid", "left").where(F.col("got") + F.greatest(F.col("n") - (done + step), F.lit(0)) >= F.coalesce("floor", F.lit(0)))
+                pairs = open_.select("qid", "tid").join(scored, ["qid", "tid"], "left_anti")
             pairs = pairs.withColumn("strong", F.lit(0).cast("long"))
             if scored is None:
                 pairs = pairs.unionByName(fresh).groupBy("qid", "tid").agg(F.sum("strong").alias("strong"))
             shared = pairs.join(places.select("qid", "word"), "qid").join(posted, ["tid", "word"]).groupBy("qid", "tid").agg(F.count("*").alias("words"))
             new = pairs.join(shared, ["qid", "tid"], "left").select("qid", "tid", (F.col("strong") + F.coalesce("words", F.lit(0))).alias("score"))
             scored = written(new if scored is None else scored.unionByName(new), "scored")
-            done, step = done + step, 2 * step
-            floors = scored.groupBy("qid").agg(F.max("score").alias("floor"))
+            done, step = done + step, 4 * step
+            floors = written(scored.groupBy("qid").agg(F.max("score").alias("floor")), "floors")
             left = written(places.select("qid", "n").distinct().join(floors, "qid", "left").where(F.col("n") - F.coalesce("floor", F.lit(0)) + 1 > done).where(F.col("n") > done).select("qid", "n"), "open")
             if left.isEmpty():
                 break
