@@ -13,11 +13,11 @@ def resolved_headings(cells: DataFrame, printed: DataFrame, names: dict[str, str
     (``printed``: sheet, row, heading, pos, value, the row's first value) that has its value at that position.
 
     Positions differ by less than ``place`` and values by less than ``same``: both sides meet in cells of those widths. Of
-    several rows the last wins. Without one the key's name in ``names``, else the key with spaces for underscores. Printed
+    several rows the last wins, of equal ones that with the least ``seq``, if ``printed`` has it. Without one the key's name in ``names``, else the key with spaces for underscores. Printed
     rows without a heading, a position or a value match nothing; keys without a value keep their name."""
-    known = printed.where("heading <> '' and pos is not null and value is not null").select("sheet", "row", "heading", F.col("pos").alias("_pos"), F.col("value").alias("_value"))
+    known = printed.where("heading <> '' and pos is not null and value is not null").select("sheet", "row", "heading", (F.col("seq") if "seq" in printed.columns else F.col("heading")).alias("_seq"), F.col("pos").alias("_pos"), F.col("value").alias("_value"))
     met = close_by(cells.where("pos is not null and value is not null"), known, ["sheet"], [("pos", "_pos", place), ("value", "_value", same)])
-    found = met.groupBy("sheet", "key").agg(F.max_by("heading", "row").alias("heading"))
+    found = met.where("row is not null").groupBy("sheet", "key").agg(F.min_by("heading", F.struct((-F.col("row")).alias("row"), "_seq")).alias("heading"))
     listed = F.create_map(*[F.lit(x) for pair in names.items() for x in pair]) if names else F.lit(None).cast("map<string,string>")
     name = F.coalesce(F.try_element_at(listed, F.col("key")), F.replace("key", F.lit("_"), F.lit(" ")))
     return cells.select("sheet", "key").distinct().join(found, ["sheet", "key"], "left").select("sheet", "key", F.coalesce("heading", name).alias("heading"))

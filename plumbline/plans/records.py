@@ -56,7 +56,9 @@ def headings_by_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = l.where("l_returnflag <> 'R'").select(F.col("l_orderkey").alias("sheet"), key.alias("key"), pos.alias("pos"), F.col("l_quantity").cast("double").alias("value"))
     heading = F.when(F.col("l_suppkey") % 7 > 0, F.concat(F.lit("HEAD "), F.col("l_suppkey").cast("string")))
     row = F.col("l_linenumber") * 100000 + F.col("l_partkey")
-    printed = l.select(F.col("l_orderkey").alias("sheet"), row.alias("row"), heading.alias("heading"), (pos + F.col("l_suppkey") % 3 * F.lit(0.006)).alias("pos"), (F.floor(F.col("l_quantity") / 2) * 2).cast("double").alias("value"))
+    # rows that repeat an order, line and part: the first in the file
+    seq = F.struct("_metadata.file_path", "_metadata.row_index").alias("seq")
+    printed = l.select(F.col("l_orderkey").alias("sheet"), row.alias("row"), seq, heading.alias("heading"), (pos + F.col("l_suppkey") % 3 * F.lit(0.006)).alias("pos"), (F.floor(F.col("l_quantity") / 2) * 2).cast("double").alias("value"))
     return resolved_headings(cells, printed, {"ground_level": "GROUND LEVEL", "fill": "FILL (m)"})
 
 

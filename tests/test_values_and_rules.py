@@ -126,3 +126,16 @@ def test_budget_with_forced_rows(spark):
     rows = spark.createDataFrame([("a", 1, 5, False), ("a", 2, 50, True), ("a", 3, 5, False), ("a", 4, 1, True), ("b", 1, 5, False), ("b", 2, 4, False)], "g string, k int, n int, f boolean")
     got = budgeted(rows, ["g"], [F.asc("k")], F.col("n"), F.col("f"), 9, 12)
     assert sorted((r.g, r.k) for r in got.collect()) == [("a", 1), ("a", 2), ("b", 1), ("b", 2)]
+
+
+def test_equal_rows_of_a_heading_go_by_the_file(spark, sf, tmp_path):
+    """Lines that repeat an order, line and part with other suppliers: the first in the file wins, as in the SQL's engine."""
+    import duckdb
+
+    from plumbline import registry
+
+    c = duckdb.connect()
+    c.sql(f"COPY (SELECT * REPLACE (l_suppkey + 21 * r AS l_suppkey) FROM '{sf}/lineitem.parquet', range(3) x(r) ORDER BY hash(l_orderkey * 31 + l_partkey * 7 + l_suppkey)) TO '{tmp_path}/lineitem.parquet'")
+    c.sql(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet'")
+    got = [tuple(r) for r in registry.queries()["headings_by_values"](spark, str(tmp_path)).select("sheet", "key", "heading").collect()]
+    assert sorted(got) == sorted(c.sql(registry.oracle_sql()["headings_by_values"]).fetchall())
