@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,30 +60,46 @@ def _clean(x: Column) -> Column:
     return F.nullif(F.regexp_replace(x, r"^[\s-]+|[\s-]+$", ""), F.lit(""))
 
 
+def _once(x: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(x)`` with ``x`` worked out once, however often ``f`` names it: columns are expressions and would be repeated."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 def callout(text: Column) -> Column:
     """A bridge callout as a struct; null for a text that is none."""
+    return _once(text, lambda t: F.when(t.rlike("^C/L OF EXG"), _callout(t)))
+
+
+def _callout(text: Column) -> Column:
     head = r"^C/L OF EXG\.? *"
     kind = r"(?:BR\.? *NO\.? *)"
     lc, rob = group(text, head + kind + r"?(LC[ -]?[0-9]+\w*)"), group(text, head + r"(ROB(?:-[0-9]+)?)")
     plain_no = group(text, head + kind + r"([\w-]+(?:\([\w -]+\))?)")
-    pos = number(group(text, r"AT CH: *([0-9.]+)"))
-    named = F.when((rob == "ROB") & pos.isNotNull(), F.concat(F.lit("ROB at CH "), plain(pos))).when(rob != "ROB", rob)
-    ident = F.coalesce(F.regexp_replace(lc, "^LC[ -]?", "LC-"), named, F.when(rob.isNull(), plain_no))
     rest = F.regexp_replace(text, head + r"(?:" + kind + r"?LC[ -]?[0-9]+\w*|ROB(?:-[0-9]+)?|" + kind + r"[\w-]+(?:\([\w -]+\))?) *", "")
-    on = F.when(rest.rlike("^(UP|DN) "), F.concat(F.lit("existing "), F.substring(rest, 1, 2), F.lit(" line")))
+    found = F.struct(lc.alias("lc"), rob.alias("rob"), plain_no.alias("no"), number(group(text, r"AT CH: *([0-9.]+)")).alias("pos"), rest.alias("rest"))
+    return _once(found, lambda x: _once(_callout_body(x["rest"]), lambda y: _callout_fields(x, y)))
+
+
+def _callout_body(rest: Column) -> Column:
     body = F.regexp_replace(rest, "^(UP|DN) ", "")
     body = F.regexp_replace(body, rf"({EXTENDED}|{SUFFICIENT}|(?:ROB PROPOSED BY [\w.]+ *)?{SPACE}|AT CH:).*$", "")
-    after = group(rest, rf"{EXTENDED} *(.*)$")
-    span = group(body, f"({SPAN})")
+    wanted = lambda after: _clean(F.regexp_extract(after, r"^(.*?)(?:\(|AT CH:|$)", 1))
+    after = _once(group(rest, rf"{EXTENDED} *(.*)$"), lambda a: F.struct(a.alias("text"), wanted(a).alias("wanted")))
+    return _once(body, lambda b: F.struct(b.alias("body"), group(b, f"({SPAN})").alias("span"), F.filter(F.split(b, r"\s*-\s*"), lambda p: p != "").alias("parts"), b.rlike(r"^\s*-").alias("held"), after.alias("after")))
+
+
+def _callout_fields(x: Column, y: Column) -> Column:
+    lc, rob, plain_no, pos, rest = (x[c] for c in ("lc", "rob", "no", "pos", "rest"))
+    body, span, parts, held, after, wanted = y["body"], y["span"], y["parts"], y["held"], y["after"]["text"], y["after"]["wanted"]
+    named = F.when((rob == "ROB") & pos.isNotNull(), F.concat(F.lit("ROB at CH "), plain(pos))).when(rob != "ROB", rob)
+    ident = F.coalesce(F.regexp_replace(lc, "^LC[ -]?", "LC-"), named, F.when(rob.isNull(), plain_no))
+    on = F.when(rest.rlike("^(UP|DN) "), F.concat(F.lit("existing "), F.substring(rest, 1, 2), F.lit(" line")))
     before_span, behind = F.regexp_extract(body, f"^(.*?){SPAN}", 1), F.regexp_extract(body, rf"^.*?{SPAN}(.*)$", 1)
-    parts = F.filter(F.split(body, r"\s*-\s*"), lambda p: p != "")
-    held = body.rlike(r"^\s*-")
     etype = F.when(rob.isNotNull(), "ROB").when(held, None).when(span.isNotNull(), _clean(before_span)).when(lc.isNotNull(), "LEVEL CROSSING").otherwise(F.get(parts, F.lit(0)))
     over = F.when(held, None).when(span.isNotNull() & rob.isNull(), _clean(behind)).when(rob.isNotNull() | lc.isNotNull(), _clean(body)).otherwise(F.nullif(F.array_join(F.slice(parts, 2, 9), " "), F.lit("")))
-    wanted = _clean(F.regexp_extract(after, r"^(.*?)(?:\(|AT CH:|$)", 1))
     proposal = F.when(rest.contains(SUFFICIENT), "none - existing structure is sufficient").when(rest.contains(SPACE), "none - space available for proposed line").when(wanted.rlike(r"[0-9] *X"), wanted)
     category = F.when(wanted.rlike(r"[0-9] *X"), group(after, r"\(([^)]*)\)"))
-    return F.when(text.rlike("^C/L OF EXG"), F.struct(ident.alias("bridge_id"), on.alias("existing_on"), etype.alias("existing_type"), F.when(rob.isNull() & ~held, span).alias("existing_span"), over.alias("crossing"), proposal.alias("proposal"), category.alias("category"), pos.alias("chainage_m")))
+    return F.struct(ident.alias("bridge_id"), on.alias("existing_on"), etype.alias("existing_type"), F.when(rob.isNull() & ~held, span).alias("existing_span"), over.alias("crossing"), proposal.alias("proposal"), category.alias("category"), pos.alias("chainage_m"))
 
 
 def level_block(text: Column) -> Column:

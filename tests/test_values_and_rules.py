@@ -156,3 +156,11 @@ def test_bands_in_one_place_are_not_met_pair_by_pair(spark, tmp_path):
     got = registry.queries()["row_to_band_by_overlap"](spark, str(tmp_path))
     want = c.sql(registry.oracle_sql()["row_to_band_by_overlap"]).fetchall()
     assert sorted((r.vec_id, r.band) for r in got.collect()) == sorted(want)
+
+
+def test_a_callout_reads_its_text_once(spark):
+    """The expression names its text once, however many fields there are."""
+    from plumbline.functions.documents import callout
+
+    df = spark.createDataFrame([("C/L OF EXG. LC 5 ROAD AT CH: 5.5",)], "t string").select(callout(F.concat("t", F.lit("mark"))).alias("c"))
+    assert df.select("c.*")._jdf.queryExecution().analyzed().toString().count("mark") == 1
