@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from plumbline.scratch import scratch, written
 
 
+#: Shared tokens and numbers of facts that a task scores.
+FACT_ROWS = 200_000
+
+
 def score_facts(facts: DataFrame, questions: DataFrame, each_number: bool = False, titles: bool = False, weak: str | None = "text") -> DataFrame:
     """(qid, fid, score) of every fact that shares a token, a number or its title with a question.
 
@@ -16,22 +20,28 @@ def score_facts(facts: DataFrame, questions: DataFrame, each_number: bool = Fals
     tokens of the fact's title (with ``titles``), less 0.5 for facts of the group ``weak``. Only tokens that questions
     hold cross the shuffle.
     """
-    q = questions.select("qid", F.explode("tokens").alias("token"))
-    f = facts.select("fid", F.explode("tokens").alias("token")).join(q.select("token").distinct(), "token")
-    n = facts.agg(F.count("*").alias("n"))
-    weights = f.groupBy("token").agg(F.count("*").alias("df")).crossJoin(n).select("token", F.log1p(F.col("n") / F.col("df")).alias("w"))
-    shared = f.join(weights, "token").join(q, "token").groupBy("qid", "fid").agg(F.sum("w").alias("score"))
-    number = lambda rows, key: rows.select(key, F.explode("numbers").alias("v"))
-    numbers = number(facts, "fid").join(number(questions, "qid"), "v").groupBy("qid", "fid").agg((F.count("*") * 6 if each_number else F.lit(6)).cast("double").alias("score"))
-    out = shared.unionByName(numbers)
-    if titles:
-        title = facts.where(F.size("title") > 0).select("fid", F.size("title").alias("n"), F.explode("title").alias("token"))
-        out = out.unionByName(title.join(q, "token").groupBy("qid", "fid", "n").count().where("count = n").select("qid", "fid", F.lit(8.0).alias("score")))
-    total = out.groupBy("qid", "fid").agg(F.sum("score").alias("score"))
-    if weak is None:
-        return total
-    less = facts.where(F.col("grp") == weak).select("fid", F.lit(0.5).alias("less"))
-    return total.join(less, "fid", "left").select("qid", "fid", (F.col("score") - F.coalesce("less", F.lit(0.0))).alias("score"))
+    kinds = [("token", "tokens", "tokens"), ("number", "numbers", "numbers")] + ([("title", "title", "tokens")] if titles else [])
+    empty = F.array().cast("array<struct<kind:string,v:string>>")
+    marked = lambda column, kind: F.coalesce(F.transform(column, lambda v: F.struct(F.lit(kind).alias("kind"), v.cast("string").alias("v"))), empty)
+    less = F.when(F.coalesce(F.col("grp") == weak, F.lit(False)), 0.5).otherwise(0.0) if weak is not None else F.lit(0.0)
+    with scratch(facts.sparkSession):
+        q = written(questions.select("qid", F.explode(F.concat(*[marked(there, kind) for kind, _, there in kinds])).alias("e")).select("qid", "e.*"), "asked")
+        # texts are parsed once: what questions hold of them is a small part
+        f = facts.select("fid", less.alias("less"), F.size("title").alias("n"), F.explode(F.concat(*[marked(column, kind) for kind, column, _ in kinds])).alias("e")).select("fid", "less", "n", "e.*")
+        f = written(f.join(q.select("kind", "v").distinct(), ["kind", "v"]), "facts")
+        df = f.where("kind = 'token'").groupBy("v").agg(F.count("*").alias("df"))
+        weights = df.crossJoin(facts.agg(F.count("*").alias("all"))).select(F.lit("token").alias("kind"), "v", F.log1p(F.col("all") / F.col("df")).alias("w"))
+        asked = written(q.join(weights, ["kind", "v"], "left"), "weighed")
+        # all rows of a fact are in one task before they meet the questions, so pairs do not cross a shuffle; tasks grow in
+        # number, not in size
+        met = f.repartition(f.count() // FACT_ROWS + 1, "fid").join(asked, ["kind", "v"]).groupBy("fid", "qid").agg(
+            F.count_if(F.col("kind") == "token").alias("tokens"), F.sum("w").alias("w"), F.count_if(F.col("kind") == "number").alias("numbers"),
+            (F.count_if(F.col("kind") == "title") == F.max("n")).alias("titled"), F.max("less").alias("less"),
+        )
+        met = met.where("tokens > 0 or numbers > 0 or titled").withColumn("w", F.coalesce("w", F.lit(0.0)))
+        number = (F.col("numbers") if each_number else (F.col("numbers") > 0).cast("int")) * 6.0
+        score = F.col("w") + number + (F.when(F.col("titled"), 8.0).otherwise(0.0) if titles else F.lit(0.0)) - F.col("less")
+        return written(met.select("qid", "fid", score.alias("score")), "scores", keep=True)
 
 
 def _strong(texts: DataFrame, questions: DataFrame, reach: float, least: float) -> DataFrame:

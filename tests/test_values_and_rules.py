@@ -164,3 +164,18 @@ def test_a_callout_reads_its_text_once(spark):
 
     df = spark.createDataFrame([("C/L OF EXG. LC 5 ROAD AT CH: 5.5",)], "t string").select(callout(F.concat("t", F.lit("mark"))).alias("c"))
     assert df.select("c.*")._jdf.queryExecution().analyzed().toString().count("mark") == 1
+
+
+def test_pairs_of_facts_do_not_cross_a_shuffle(spark):
+    """One read of the facts, and no more rows of a task for more facts."""
+    from plumbline.operators import ranking
+
+    facts = spark.range(500).select(F.col("id").alias("fid"), F.lit("g").alias("grp"), F.array(F.lit("a"), F.concat(F.lit("b"), F.col("id") % 7)).alias("tokens"), F.array().cast("array<string>").alias("numbers"), F.array(F.lit("a")).alias("title"))
+    asked = spark.createDataFrame([(1, ["a", "b3"], ["7"]), (2, ["zz"], ["8"])], "qid long, tokens array<string>, numbers array<string>")
+    was, ranking.FACT_ROWS = ranking.FACT_ROWS, 100
+    try:
+        got = ranking.score_facts(facts, asked, titles=True)
+    finally:
+        ranking.FACT_ROWS = was
+    assert got.count() == 500 and {r.qid for r in got.select("qid").distinct().collect()} == {1}
+    assert len(got.inputFiles()) > 4
