@@ -72,15 +72,18 @@ def segments(points: DataFrame, line: str, pos: str, seq: str) -> DataFrame:
     return points.withColumn("end", F.lead(pos).over(Window.partitionBy(line).orderBy(pos, seq)))
 
 
-def containing(probes: DataFrame, intervals: DataFrame, line: str, pos: str, low: str, high: str, closed: bool = True, bin_width: float = 64.0) -> DataFrame:
+def containing(probes: DataFrame, intervals: DataFrame, line: str, pos: str, low: str, high: str, closed: bool = True, bin_width: float = 64.0, tasks: int | None = None) -> DataFrame:
     """Inner join of probes with the intervals of their line that hold them.
 
     Intervals are cut at multiples of ``bin_width``, so the join has an equality on (line, bin) and a hot line spreads.
+    ``tasks``: into how many the bins are dealt, where far more pairs come out than rows go in; else Spark goes by the rows.
     """
     left = probes.withColumn("_bin", F.floor(F.col(pos) / bin_width))
     right = intervals.where(F.col(low).isNotNull() & F.col(high).isNotNull() & (F.col(low) <= F.col(high)))
     right = right.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(low) / bin_width), F.floor(F.col(high) / bin_width))))
     inside = (F.col(pos) >= F.col(low)) & ((F.col(pos) <= F.col(high)) if closed else (F.col(pos) < F.col(high)))
+    if tasks is not None:
+        left, right = left.repartition(tasks, line, "_bin"), right.repartition(tasks, line, "_bin")
     return left.join(right, [line, "_bin"]).where(inside).drop("_bin")
 
 

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from plumbline.operators import positional
 from plumbline.query import query, table
 
+#: Rows of items or sheets for each task of a join on positions: its pairs grow faster than its rows.
+DEALT = 5_000
+
 KINDS = ("item", "range", "containing", "versions", "term")
 
 
@@ -39,10 +42,11 @@ class Lookups:
             return spark.createDataFrame([("a term has two characters or more",)], "error string")
         return self.notes.where(F.contains(F.lower("text"), F.lit(ask["term"].lower()))).select("*", none)
 
-    def answer_all(self, questions: DataFrame, bin_width: float = 20_000.0) -> DataFrame:
+    def answer_all(self, questions: DataFrame, range_bin: float = 250.0, sheet_bin: float = 1_000.0) -> DataFrame:
         """(qid, key, sheet, error) for a table of questions: qid, kind (item, range, containing or versions), line, key, low,
         high, pos, sheet. Each kind is one join for all its questions; a question that lacks an argument, or is of no known kind,
-        has one row with the error as ``answer`` words it, and one without an answer has none."""
+        has one row with the error as ``answer`` words it, and one without an answer has none. The bins are narrow against ranges and
+        sheets, so that a question meets few rows that it does not hold, and many tasks share a line."""
         need = {"item": ("key", "line"), "range": ("high", "line", "low"), "containing": ("line", "pos"), "versions": ("line", "sheet")}
         lacks = F.lit(None).cast("string")
         for kind, names in need.items():
@@ -51,9 +55,10 @@ class Lookups:
         q = questions.withColumn("error", error)
         ask = lambda kind, *names: q.where((F.col("kind") == kind) & F.col("error").isNull()).select("qid", *names)
         none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+        dealt = lambda rows: rows.count() // DEALT + 1
         item = ask("item", "line", "key").join(self.items.select("line", "key"), ["line", "key"]).select("qid", "key", none("long", "sheet"))
-        span = positional.containing(self.items.select("line", "key", "pos"), ask("range", "line", "low", "high"), "line", "pos", "low", "high", True, bin_width).select("qid", "key", none("long", "sheet"))
-        held = positional.containing(ask("containing", "line", "pos"), self.sheets.select("line", "sheet", "low", "high"), "line", "pos", "low", "high", True, bin_width).select("qid", none("long", "key"), "sheet")
+        span = positional.containing(self.items.select("line", "key", "pos"), ask("range", "line", "low", "high"), "line", "pos", "low", "high", True, range_bin, dealt(self.items)).select("qid", "key", none("long", "sheet"))
+        held = positional.containing(ask("containing", "line", "pos"), self.sheets.select("line", "sheet", "low", "high"), "line", "pos", "low", "high", True, sheet_bin, dealt(self.sheets)).select("qid", none("long", "key"), "sheet")
         same = ask("versions", "line", "sheet").join(self.sheets.select("line", "sheet"), ["line", "sheet"]).select("qid", none("long", "key"), "sheet")
         rows = item.unionByName(span).unionByName(held).unionByName(same).withColumn("error", F.lit(None).cast("string"))
         return rows.unionByName(q.where("error is not null").select("qid", none("long", "key"), none("long", "sheet"), "error"))

@@ -179,3 +179,24 @@ def test_pairs_of_facts_do_not_cross_a_shuffle(spark):
         ranking.FACT_ROWS = was
     assert got.count() == 500 and {r.qid for r in got.select("qid").distinct().collect()} == {1}
     assert len(got.inputFiles()) > 4
+
+
+def test_positions_of_one_line_are_dealt_to_many_tasks(spark):
+    """A line with all sheets and items, against plain loops, in more tasks than the tables have parts."""
+    from plumbline.plans import lookup
+
+    rng = random.Random(8)
+    items = [("a", k, rng.random() * 9000) for k in range(400)]
+    sheets = [("a", k, p, p + rng.choice([0.0, 700.0, 5000.0])) for _, k, p in items]
+    asked = [(k, "containing" if k % 2 else "range", "a", None, p, p + 300, p, None) for k, p in enumerate(rng.random() * 9000 for _ in range(40))]
+    want = sorted([(q, i, None) for q, kind, _, _, low, high, _, _ in asked if kind == "range" for _, i, p in items if low <= p <= high] + [(q, None, s) for q, kind, _, _, _, _, p, _ in asked if kind == "containing" for _, s, low, high in sheets if low <= p <= high], key=str)
+    df = lambda rows, schema: spark.createDataFrame(rows, schema)
+    was, lookup.DEALT = lookup.DEALT, 50
+    try:
+        found = Lookups(df(items, "line string, key long, pos double"), df(sheets, "line string, sheet long, low double, high double"), spark.range(1)).answer_all(
+            df(asked, "qid long, kind string, line string, key long, low double, high double, pos double, sheet long")
+        )
+    finally:
+        lookup.DEALT = was
+    assert sorted(((r.qid, r.key, r.sheet) for r in found.collect()), key=str) == want
+    assert found._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") >= 4
