@@ -36,7 +36,7 @@ def score_facts(facts: DataFrame, questions: DataFrame, each_number: bool = Fals
         # number, not in size
         met = f.repartition(f.count() // FACT_ROWS + 1, "fid").join(asked, ["kind", "v"]).groupBy("fid", "qid").agg(
             F.count_if(F.col("kind") == "token").alias("tokens"), F.sum("w").alias("w"), F.count_if(F.col("kind") == "number").alias("numbers"),
-            (F.count_if(F.col("kind") == "title") == F.max("n")).alias("titled"), F.max("less").alias("less"),
+            ((F.max("n") > 0) & (F.count_if(F.col("kind") == "title") == F.max("n"))).alias("titled"), F.max("less").alias("less"),
         )
         met = met.where("tokens > 0 or numbers > 0 or titled").withColumn("w", F.coalesce("w", F.lit(0.0)))
         number = (F.col("numbers") if each_number else (F.col("numbers") > 0).cast("int")) * 6.0
