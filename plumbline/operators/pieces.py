@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.operators.assign import settle
 from plumbline.operators.graph import chains
-from plumbline.operators.positional import asof_pair, close_by, neighbours
+from plumbline.operators.positional import asof_pair, close_by, neighbours, parted
 from plumbline.scratch import scratch, written
 
+#: Words of a page that a task reads as they are; those of larger pages are dealt out by cells and stretches.
+WORDS = 256
+
 
 def _overlaps(rows: DataFrame, size: float) -> DataFrame:
     """Pairs (a, b of the same page, columns of b with the prefix o_) whose boxes overlap, met by cells of ``size``."""
@@ -96,21 +99,60 @@ def table_of_words(words: DataFrame, is_anchor: Column, columns: int, row_gap: f
     the row of the last anchor that begins up to ``lead`` below its middle, and to the nearest column, the left one of equals; the
     words of a cell are read from above, then from the left, then by id."""
     with scratch(words.sparkSession):
-        w = words.where("x0 is not null and y0 is not null and x1 is not null and y1 is not null")
+        w = words.where("page is not null and x0 is not null and y0 is not null and x1 is not null and y1 is not null")
         w = written(w.select("page", "id", "text", "x0", "y0", ((F.col("x0") + F.col("x1")) / 2).alias("cx"), ((F.col("y0") + F.col("y1")) / 2).alias("cy"), F.coalesce(is_anchor, F.lit(False)).alias("anchor")), "words")
-        anchors = written(w.where("anchor").groupBy("page", "y0").agg(F.min_by("id", F.struct("x0", "id")).alias("row"), F.min_by("cy", F.struct("x0", "id")).alias("at")), "anchors")
-        rows = anchors.groupBy("page").agg(F.count("*").alias("rows"))
-        near = close_by(w.select("page", "id", "cx", "cy"), anchors.select("page", "at"), ["page"], [("cy", "at", row_gap)]).select("page", "id", "cx").distinct()
-        found = clusters_along(near, "page", "cx", column_gap).groupBy("page", "cluster").agg(F.count("*").alias("n"), F.avg("cx").alias("centre")).join(rows, "page")
-        held = found.where(F.col("n") >= F.when(F.col("rows") <= 3, 1).otherwise(F.greatest(F.lit(2), F.floor(F.col("rows") / 3))))
-        # kept pages have ``columns`` centres, so the array is bounded
-        centres = held.groupBy("page").agg(F.count("*").alias("k")).where(F.col("k") == columns).join(held, "page").groupBy("page").agg(F.array_sort(F.collect_list("centre")).alias("centres"))
-        begin = anchors.select("page", (F.col("y0") - lead).alias("cy"), F.col("row"), F.lit(0).cast("long").alias("id"))
-        placed = asof_pair(w.select("page", "cy", "id", "text", "cx", "x0", "y0"), begin, "page", "cy", "row", "id").where("prev is not null").join(centres, "page")
+        few, many = parted(w, ["page"], WORDS)
+        placed = _placed_on_small_pages(few, columns, row_gap, column_gap, lead)
+        if many is not None:
+            placed = placed.unionByName(_placed_on_large_pages(many, columns, row_gap, column_gap, lead))
         away = F.transform("centres", lambda c: F.abs(c - F.col("cx")))
-        cells = placed.withColumn("column", F.array_position(away, F.array_min(away)).cast("long")).groupBy("page", F.col("prev").alias("row"), "column")
-        text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("y0", "x0", "id", F.coalesce("text", F.lit("")).alias("t")))), lambda p: p["t"]), " ")
-        return written(cells.agg(text.alias("text")), "table", keep=True)
+        words = placed.select("page", "row", F.array_position(away, F.array_min(away)).cast("long").alias("column"), "y0", "x0", "id", F.coalesce("text", F.lit("")).alias("text"))
+        cell = Window.partitionBy("page", "row", "column").orderBy("y0", "x0", "id")
+        # all of a cell at its first word: one sort, where a grouped list takes three
+        whole = F.collect_list("text").over(cell.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        cells = words.withColumn("texts", whole).withColumn("n", F.row_number().over(cell)).where("n = 1")
+        return written(cells.select("page", "row", "column", F.array_join("texts", " ").alias("text")), "table", keep=True)
+
+
+def _anchors(w: DataFrame) -> DataFrame:
+    """(page, y0, row, at): of each height with anchors the first of them from the left, and its middle."""
+    return w.where("anchor").groupBy("page", "y0").agg(F.min_by("id", F.struct("x0", "id")).alias("row"), F.min_by("cy", F.struct("x0", "id")).alias("at"))
+
+
+def _centres(spots: DataFrame, columns: int) -> DataFrame:
+    """(page, centres) from words on anchors' lines (page, cx, cluster, rows): middles of the clusters that count, on pages with
+    ``columns`` of them."""
+    found = spots.groupBy("page", "cluster").agg(F.count("*").alias("n"), F.avg("cx").alias("centre"), F.first("rows").alias("rows"))
+    held = found.where(F.col("n") >= F.when(F.col("rows") <= 3, 1).otherwise(F.greatest(F.lit(2), F.floor(F.col("rows") / 3))))
+    counted = held.groupBy("page").agg(F.count("*").alias("k"), F.collect_list("centre").alias("centres"))
+    return counted.where(F.col("k") == columns).select("page", F.array_sort("centres").alias("centres"))
+
+
+def _placed_on_small_pages(w: DataFrame, columns: int, row_gap: float, column_gap: float, lead: float) -> DataFrame:
+    """(page, id, text, x0, y0, cx, row, centres): a page's anchors, at most as many as its words, meet each word in one row."""
+    anchor = F.struct((F.col("y0") - lead).alias("begin"), "y0", "row", "at")
+    anchors = _anchors(w).groupBy("page").agg(F.count("*").alias("rows"), F.collect_list(anchor).alias("anchors"))
+    near = w.select("page", "id", "cx", "cy").join(anchors, "page").where(F.exists("anchors", lambda a: F.abs(F.col("cy") - a["at"]) < row_gap))
+    # words of a page stay together from here on
+    spots = near.groupBy("page", "id", "cx").agg(F.first("rows").alias("rows"))
+    along = Window.partitionBy("page").orderBy("cx")
+    back = F.lag("cx").over(along)
+    spots = spots.withColumn("start", F.when(back.isNull() | (F.col("cx") - back >= column_gap), F.col("cx")))
+    clusters = spots.withColumn("cluster", F.last("start", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    pages = anchors.select("page", "anchors").join(_centres(clusters, columns), "page")
+    last = F.array_max(F.filter("anchors", lambda a: a["begin"] <= F.col("cy")))
+    return w.join(pages, "page").select("page", "id", "text", "x0", "y0", "cx", last["row"].alias("row"), "centres").where("row is not null")
+
+
+def _placed_on_large_pages(w: DataFrame, columns: int, row_gap: float, column_gap: float, lead: float) -> DataFrame:
+    """The same by cells and stretches, so that a page is dealt to many tasks."""
+    anchors = written(_anchors(w), "anchors")
+    rows = anchors.groupBy("page").agg(F.count("*").alias("rows"))
+    near = close_by(w.select("page", "id", "cx", "cy"), anchors.select("page", "at"), ["page"], [("cy", "at", row_gap)]).select("page", "id", "cx").distinct()
+    centres = _centres(clusters_along(near, "page", "cx", column_gap).join(rows, "page"), columns)
+    begin = anchors.select("page", (F.col("y0") - lead).alias("cy"), F.col("row"), F.lit(0).cast("long").alias("id"))
+    placed = asof_pair(w.select("page", "cy", "id", "text", "cx", "x0", "y0"), begin, "page", "cy", "row", "id").where("prev is not null").join(centres, "page")
+    return placed.select("page", "id", "text", "x0", "y0", "cx", F.col("prev").alias("row"), "centres")
 
 
 def in_reading_frame(lines: DataFrame) -> DataFrame:

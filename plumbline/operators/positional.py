@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.scratch import written
+
 
 def round3(x: Column) -> Column:
     """Half-up on the third decimal, the same in every engine."""
@@ -94,6 +96,17 @@ def within(left: DataFrame, right: DataFrame, line: str, pos: str, other: str, r
     return a.join(b, [line, "_bin"]).withColumn("distance", F.abs(F.col(pos) - F.col(other))).where(F.col("distance") <= radius).drop("_bin")
 
 
+def parted(rows: DataFrame, keys: list[str], most: int) -> tuple[DataFrame, DataFrame | None]:
+    """``rows`` of keys that at most ``most`` rows have, and those of the others, None where there are none.
+
+    What is small can be met by its keys alone; only what is not needs cells and stretches, which cost a row several copies.
+    ``rows`` are read once more to count them."""
+    large = written(rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > most).select(*keys), "large")
+    if large.isEmpty():
+        return rows, None
+    return rows.join(large, keys, "left_anti"), rows.join(large, keys, "left_semi")
+
+
 def close_by(left: DataFrame, right: DataFrame, keys: list[str], axes: list[tuple[str, str, float]]) -> DataFrame:
     """Pairs with equal ``keys`` whose positions differ by less than the reach on every axis (column, other, reach).
 

@@ -117,5 +117,5 @@ def table_from_words(spark: SparkSession, sf_dir: str) -> DataFrame:
         word(3, part.cast("string"), 185 - part % 10, F.lit(9), part % 4 > 0),
         word(4, F.col("flag"), 270 + q % 7, F.lit(1), F.col("flag") != "R"),
     )
-    w = s.select("page", F.explode(F.filter(made, lambda x: x.isNotNull())).alias("w")).select("page", "w.*").withColumns({"x1": F.col("x0") + 30, "y1": F.col("y0") + 8})
+    w = s.select("page", F.explode(made).alias("w")).where("w is not null").select("page", "w.*").withColumns({"x1": F.col("x0") + 30, "y1": F.col("y0") + 8})
     return pieces.table_of_words(w, F.col("text").startswith("A") & (F.col("id") % 10 == 0), 4)

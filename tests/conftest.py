@@ -34,3 +34,20 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf():
     return SF
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Rows that ``run()`` writes to shuffles."""
+    store, none = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jvm.java.util.ArrayList
+
+    def stages():
+        found = store.stageList(none(), False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), none())
+        return {(s.stageId(), s.attemptId()): s.shuffleWriteRecords() for s in (found.apply(k) for k in range(found.size()))}
+
+    def count(run):
+        before = stages()
+        run()
+        return sum(n for k, n in stages().items() if k not in before)
+
+    return count

@@ -144,3 +144,22 @@ def test_table_of_words(spark):
     df = spark.createDataFrame(one + two, "page long, id long, text string, x0 double, y0 double, x1 double, y1 double")
     got = {(r.page, r.row, r.column): r.text for r in pieces.table_of_words(df, F.col("text").rlike(r"^\d[A-Z]?$") & (F.col("x0") < 30), 3).collect()}
     assert got == {(1, 0, 1): "1A", (1, 0, 2): "span long", (1, 0, 3): "12.5", (1, 10, 1): "2", (1, 10, 3): "7 late", (1, 20, 1): "3", (1, 20, 2): "box", (1, 20, 3): "9"}
+
+
+def test_table_of_words_of_small_and_large_pages(spark, shuffled, monkeypatch):
+    """Pages of a few words do not go through cells and stretches, whose copies and counts are many rows; the rows are the same."""
+    rng = random.Random(5)
+    rows = []
+    for page in range(300):
+        for k in range(rng.randrange(1, 7)):
+            rows.append((page, 10 * k, "A", 20.0, 25.0 * k + rng.randrange(3)))
+            rows += [(page, 10 * k + c, f"w{c}", 80.0 * c + rng.randrange(12), 25.0 * k + rng.randrange(9)) for c in range(1, 4) if rng.random() < 0.9]
+    words = spark.createDataFrame([(*r, r[3] + 30, r[4] + 8) for r in rows], "page long, id long, text string, x0 double, y0 double, x1 double, y1 double")
+    table = lambda: sorted(map(tuple, pieces.table_of_words(words, F.col("text") == "A", 4).collect()))
+    got = []
+    assert shuffled(lambda: got.append(table())) < 4 * len(rows)
+    for most in (0, 12):
+        monkeypatch.setattr(pieces, "WORDS", most)
+        got.append(table())
+    assert len(got[0]) > 1000
+    assert got[0] == got[1] == got[2]
