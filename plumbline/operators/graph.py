@@ -29,6 +29,12 @@ def components(links: DataFrame) -> DataFrame:
         return written(labels.join(least, "comp").select("node", F.col("least").alias("comp")), "components", keep=True)
 
 
+def linked(pairs: DataFrame) -> DataFrame:
+    """(id, prev) of ``pairs`` (id, prev) and, with a null prev, of the heads they name: links for ``chains`` without what stands alone."""
+    heads = pairs.select(F.col("prev").alias("id")).join(pairs.select("id"), "id", "left_anti")
+    return pairs.select("id", "prev").unionByName(heads.withColumn("prev", F.lit(None).cast(pairs.schema["prev"].dataType)))
+
+
 def chains(links: DataFrame) -> DataFrame:
     """(id, head, rank) of every row of ``links`` (id, prev): the first of its chain and how many rows lie between.
 

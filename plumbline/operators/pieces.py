@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.operators.assign import settle
-from plumbline.operators.graph import chains
+from plumbline.operators.graph import chains, linked
 from plumbline.operators.positional import asof_pair, close_by, neighbours, parted
 from plumbline.scratch import scratch, written
 
+#: Lines or pieces of a page that all meet each other; those of larger pages meet by cells.
+LINES = 64
 #: Words of a page that a task reads as they are; those of larger pages are dealt out by cells and stretches.
 WORDS = 256
 
@@ -174,19 +176,25 @@ def callout_chains(lines: DataFrame, excluded: Column, stops: Column, longest: i
     with scratch(lines.sparkSession):
         named = lines.withColumn("_out", F.coalesce(excluded, F.lit(False))).withColumn("_stop", F.coalesce(stops, F.lit(False))).where("not _out")
         l = written(in_reading_frame(named).withColumn("mid", (F.col("u0") + F.col("u1")) / 2).select("page", "id", "text", "way", "colour", "size", "u0", "v0", "u1", "v1", "mid", "_stop"), "lines")
-        under = l.where(~F.col("_stop") & F.col("text").rlike("[A-Za-z]{3}") & ~F.col("text").rlike("[0-9]"))
-        other = under.select("page", "way", F.col("id").alias("next"), *[F.col(c).alias(f"o_{c}") for c in ("colour", "size", "u0", "v0", "u1", "mid")])
+        under = ~F.col("_stop") & F.col("text").rlike("[A-Za-z]{3}") & ~F.col("text").rlike("[0-9]")
+        nexts = lambda u: u.select("page", "way", F.col("id").alias("next"), *[F.col(c).alias(f"o_{c}") for c in ("colour", "size", "u0", "v0", "u1", "mid")])
         down = F.col("o_v0") - F.col("v1")
         fits = (F.col("id") != F.col("next")) & F.col("colour").eqNullSafe(F.col("o_colour")) & (F.abs(F.col("size") - F.col("o_size")) <= 0.25 * F.col("size"))
         fits = fits & (down >= -1) & (down < F.greatest(F.lit(3.5), 0.8 * (F.col("v1") - F.col("v0"))))
-        low = l.where(F.col("v1") - F.col("v0") <= tallest)
-        pairs = None
-        for a, reach in (("u0", 8.0), ("mid", 10.0), ("u1", 4.0)):
-            met = close_by(low, other, ["page", "way"], [("v1", "o_v0", max(3.5, 0.8 * tallest)), (a, f"o_{a}", reach)]).where(fits).select(F.col("page").alias("sheet"), F.struct("v0", "u0", "id").alias("block"), F.col("next").alias("curve"), F.col("o_v0").alias("gap"))
-            pairs = met if pairs is None else pairs.unionByName(met)
+        axes = (("u0", 8.0), ("mid", 10.0), ("u1", 4.0))
+        low = F.col("v1") - F.col("v0") <= tallest
+        pair = lambda met: met.where(fits).select(F.col("page").alias("sheet"), F.struct("v0", "u0", "id").alias("block"), F.col("next").alias("curve"), F.col("o_v0").alias("gap"))
+        few, many = parted(l, ["page", "way"], LINES)
+        beside = F.lit(False)
+        for a, reach in axes:
+            beside = beside | (F.abs(F.col(a) - F.col(f"o_{a}")) < reach)
+        pairs = pair(few.where(low).join(nexts(few.where(under)), ["page", "way"]).where(beside))
+        if many is not None:
+            cells = [pair(close_by(many.where(low), nexts(many.where(under)), ["page", "way"], [("v1", "o_v0", max(3.5, 0.8 * tallest)), (a, f"o_{a}", reach)])) for a, reach in axes]
+            pairs = pairs.unionByName(cells[0].unionByName(cells[1]).unionByName(cells[2]).distinct())
         # what follows what is settled like blocks that take turns
-        taken = settle(pairs.distinct()).select(F.col("curve").alias("id"), F.col("block.id").alias("prev"))
-        ranked = chains(l.select("id").join(taken, "id", "left"))
+        taken = written(settle(pairs).select(F.col("curve").alias("id"), F.col("block.id").alias("prev")), "taken")
+        ranked = chains(linked(taken))
         parts = ranked.where(F.col("rank") < longest).join(l.select("page", "id", "text"), "id").groupBy("page", "head")
         rows = parts.agg(F.array_sort(F.collect_list(F.struct("rank", "id", F.coalesce("text", F.lit("")).alias("t")))).alias("parts")).where(F.size("parts") > 1)
         text = F.trim(F.regexp_replace(F.regexp_replace(F.array_join(F.col("parts.t"), " "), r"\|", " "), r"\s+", " "))
