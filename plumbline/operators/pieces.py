@@ -51,33 +51,40 @@ def without_contained(texts: DataFrame, share: float = 0.6, size: float = 50.0)
 
 
 def line_links(texts: DataFrame, beside: float = 0.35, ahead: float = 0.9, reach: float = 100.0) -> DataFrame:
-    """(id, prev): for each text the piece of its line that it continues, null where there is none.
+    """(id, prev): for each text that continues a piece of its line, that piece. Ids are unique.
 
     ``texts``: page, id, x0, y0, x1, y1, size. A piece continues the one whose middle line is less than ``beside`` of the
     larger size away and that ends less than ``ahead`` of it before its start; the nearest of several, then the smaller id.
     Of several pieces that continue one, the nearest does. ``reach`` bounds the sizes: pieces of larger ones meet no other."""
     rows = texts.select("page", "id", "x0", "x1", ((F.col("y0") + F.col("y1")) / 2).alias("mid"), "size").where(F.col("size") <= reach)
-    other = rows.select("page", F.col("id").alias("prev"), F.col("x1").alias("end"), F.col("mid").alias("omid"), F.col("size").alias("osize"))
-    large = F.greatest("size", "osize")
-    met = close_by(rows, other, ["page"], [("x0", "end", ahead * reach), ("mid", "omid", beside * reach)]).where("id <> prev").withColumn("gap", F.col("x0") - F.col("end"))
-    met = met.where((F.col("gap") >= 0) & (F.col("gap") < ahead * large) & (F.abs(F.col("mid") - F.col("omid")) < beside * large))
+    others = lambda r: r.select("page", F.col("id").alias("prev"), F.col("x1").alias("end"), F.col("mid").alias("omid"), F.col("size").alias("osize"))
+    few, many = parted(rows, ["page"], LINES)
+    met = few.join(others(few), "page")
+    if many is not None:
+        met = met.unionByName(close_by(many, others(many), ["page"], [("x0", "end", ahead * reach), ("mid", "omid", beside * reach)]))
+    large, gap = F.greatest("size", "osize"), F.col("x0") - F.col("end")
+    met = met.where((F.col("id") != F.col("prev")) & (gap >= 0) & (gap < ahead * large) & (F.abs(F.col("mid") - F.col("omid")) < beside * large))
     # a gap of 0 between texts without width would link both ways
-    met = met.where((F.col("x1") > F.col("x0")) | (F.col("gap") > 0))
-    back = met.groupBy("id").agg(F.min(F.struct("gap", "prev")).alias("p")).select("id", "p.prev", "p.gap")
-    one = back.groupBy("prev").agg(F.min(F.struct("gap", "id")).alias("p")).select("prev", F.col("p.id").alias("id"))
-    return texts.select("id").join(one, "id", "left")
+    met = met.withColumn("gap", gap).where((F.col("x1") > F.col("x0")) | (F.col("gap") > 0))
+    # by page too: what met on a page is there already
+    back = met.groupBy("page", "id").agg(F.min(F.struct("gap", "prev")).alias("p")).select("page", "id", "p.prev", "p.gap")
+    return back.groupBy("page", "prev").agg(F.min(F.struct("gap", "id")).alias("p")).select(F.col("p.id").alias("id"), "prev")
 
 
 def joined_pieces(texts: DataFrame, beside: float = 0.35, ahead: float = 0.9, reach: float = 100.0) -> DataFrame:
     """(page, id, text, x0, y0, x1, y1, pieces): lines of the pieces of ``texts`` (page, id, text, x0, y0, x1, y1, size), with the
     id of the first, their texts joined by a space and the box around all. Ids are unique."""
     with scratch(texts.sparkSession):
-        ranked = chains(line_links(texts, beside, ahead, reach))
-        rows = texts.join(ranked, "id").groupBy("page", "head").agg(
-            F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", F.coalesce("text", F.lit("")).alias("t")))), lambda p: p["t"]), " ").alias("text"),
+        texts = written(texts.select("page", "id", F.coalesce("text", F.lit("")).alias("text"), "x0", "y0", "x1", "y1", "size"), "pieces")
+        ranked = chains(linked(written(line_links(texts, beside, ahead, reach), "links")))
+        rows = written(texts.drop("size").join(ranked, "id", "left"), "ranked")
+        # most pieces are a line of their own: only the others are brought together
+        alone = rows.where("head is null").select("page", "id", "text", "x0", "y0", "x1", "y1", F.lit(1).cast("long").alias("pieces"))
+        lines = rows.where("head is not null").groupBy("page", "head").agg(
+            F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", F.col("text").alias("t")))), lambda p: p["t"]), " ").alias("text"),
             *[F.min(c).alias(c) for c in ("x0", "y0")], *[F.max(c).alias(c) for c in ("x1", "y1")], F.count("*").alias("pieces"),
         )
-        return written(rows.withColumnRenamed("head", "id"), "lines", keep=True)
+        return written(alone.unionByName(lines.withColumnRenamed("head", "id")), "lines", keep=True)
 
 
 def clusters_along(rows: DataFrame, key: str, value: str, gap: float, stretch: float = 10_000.0) -> DataFrame:

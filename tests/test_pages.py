@@ -163,3 +163,17 @@ def test_table_of_words_of_small_and_large_pages(spark, shuffled, monkeypatch):
         got.append(table())
     assert len(got[0]) > 1000
     assert got[0] == got[1] == got[2]
+
+
+def test_joined_pieces_of_small_and_large_pages(spark, shuffled, monkeypatch):
+    """Pieces of small pages meet on their page, not as nine copies, and single ones take no part in chains."""
+    rng = random.Random(7)
+    rows = [(page, 10 * page + k, f"t{k}", 40.0 * k + rng.randrange(12), 5.0 * rng.randrange(2), 10.0 + rng.randrange(4)) for page in range(400) for k in range(7)]
+    texts = spark.createDataFrame([(p, i, t, x, y, x + 28, y + 8, s) for p, i, t, x, y, s in rows], TEXTS)
+    lines = lambda: sorted(map(tuple, pieces.joined_pieces(texts).collect()))
+    got = []
+    assert shuffled(lambda: got.append(lines())) < 8 * len(rows)
+    monkeypatch.setattr(pieces, "LINES", 0)
+    got.append(lines())
+    assert {n for *_, n in got[0]} >= {1, 2, 3}
+    assert got[0] == got[1]
