@@ -100,24 +100,27 @@ def merge(shards: list[Transform], depth: int) -> tuple[np.ndarray, np.ndarray,
 
     A common prefix of ``depth`` means that many symbols or more."""
     source = np.repeat(np.arange(len(shards), dtype=np.uint8), [len(s.order) for s in shards])
+    befores = np.concatenate([s.before for s in shards])
     group = np.zeros(len(source), np.int32)
     common = np.full(len(source), depth, np.int32)
-    if len(source):
-        common[0] = 0
-    before = np.empty(len(source), np.uint16)
+    before, parted, groups = np.empty(len(source), np.uint16), np.zeros(len(source), bool), -1
     for reached in range(depth):
-        for k, s in enumerate(shards):
-            before[source == k] = s.before
+        # a shard's suffixes keep their order
+        before[np.argsort(source, kind="stable")] = befores
         deal = np.argsort(before, kind="stable")
         symbol, came = before[deal], group[deal]
-        parted = np.zeros(len(source), bool)
         parted[1:] = (symbol[1:] != symbol[:-1]) | (came[1:] != came[:-1])
-        common[parted & (common == depth) & (np.arange(len(source)) > 0)] = reached
         source = source[deal]
         group = np.cumsum(parted, dtype=np.int32)
+        # what is parted stays so; a round that parts nothing new is like all that would follow
+        if len(group) and group[-1] == groups:
+            common -= parted * (depth - reached)
+            break
+        common -= parted
+        groups = group[-1] if len(group) else 0
+    common[:1] = 0
     place = np.empty(len(source), np.int64)
-    for k, s in enumerate(shards):
-        place[source == k] = np.arange(len(s.order))
+    place[np.argsort(source, kind="stable")] = np.concatenate([np.arange(len(s.order)) for s in shards])
     return source, place, common
 
 
@@ -126,33 +129,34 @@ def repeated_windows(contexts: list[bytes], length: int = LENGTH, stride: int =
     depth = length // stride
     if length % stride:
         raise ValueError("the length is a multiple of the stride")
-    # ranks of all symbols; 0 parts strings
-    pieces, owner, start = [], [], []
-    for i, c in enumerate(contexts):
-        data = np.frombuffer(c, np.uint8)
-        for phase in range(stride):
-            m = (len(c) - phase) // stride
-            if m >= depth:
-                pieces.append(np.ascontiguousarray(data[phase : phase + m * stride]).view(f">u{stride}"))
-                owner.append(i)
-                start.append(phase)
-    if not pieces:
+    # a string for each context and phase, a 0 behind it
+    sizes = np.array([len(c) for c in contexts], np.int64)
+    owner, phase = np.repeat(np.arange(len(contexts)), stride), np.tile(np.arange(stride), len(contexts))
+    count = (sizes[owner] - phase) // stride
+    owner, phase, count = (x[count >= depth] for x in (owner, phase, count))
+    if not len(owner):
         return [np.zeros(0, np.int64) for _ in contexts]
-    lengths = np.array([len(p) for p in pieces])
-    _, rank = np.unique(np.concatenate(pieces), return_inverse=True)
-    if len(rank) and rank.max() >= 65_535:
+    ends = np.cumsum(count + 1)
+    piece = np.repeat(np.arange(len(owner)), count + 1)
+    nth = np.arange(ends[-1]) - (ends - count - 1)[piece]
+    left = count[piece] - nth
+    at = phase[piece] + stride * nth
+    data = np.frombuffer(b"".join(contexts) + bytes(stride), np.uint8)
+    every = np.lib.stride_tricks.sliding_window_view(data, stride)
+    inside = left > 0
+    symbols = np.ascontiguousarray(every[((np.cumsum(sizes) - sizes)[owner[piece]] + at)[inside]]).view(f">u{stride}").ravel().astype(f"u{stride}")
+    # ranks of all symbols; 0 parts strings
+    different, rank = np.unique(symbols, return_inverse=True)
+    if len(different) > 65_535:
         raise ValueError("too many different symbols for one merge")
-    ranks = np.split((rank + 1).astype(np.uint16), np.cumsum(lengths)[:-1])
-    zero = np.zeros(1, np.uint16)
+    text = np.zeros(len(piece), np.uint16)
+    text[inside] = rank + 1
     transforms, maps = [], []
-    for part in np.array_split(np.arange(len(pieces)), min(n_shards, len(pieces))):
-        text = np.concatenate([x for i in part for x in (ranks[i], zero)])
-        own = np.concatenate([np.append(np.full(lengths[i], owner[i]), -1) for i in part])
-        at = np.concatenate([np.append(start[i] + stride * np.arange(lengths[i]), 0) for i in part])
-        left = np.concatenate([np.append(lengths[i] - np.arange(lengths[i]), 0) for i in part])
-        t = Transform(text, depth)
+    for part in np.array_split(np.arange(len(owner)), min(n_shards, len(owner))):
+        cut = slice(ends[part[0]] - count[part[0]] - 1, ends[part[-1]])
+        t = Transform(text[cut], depth)
         transforms.append(t)
-        maps.append((own[t.order], at[t.order], left[t.order] >= depth))
+        maps.append((owner[piece[cut]][t.order], at[cut][t.order], left[cut][t.order] >= depth))
     source, place, common = merge(transforms, depth)
     same = common >= depth
     hit = same.copy()
@@ -273,7 +277,8 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     Every returned window of ``length`` bytes occurs elsewhere, in another text or at another place of its own."""
     group = ["anchor", "cut", "core"]
     long_enough = texts.where(F.octet_length("data") >= length)
-    found = long_enough.mapInArrow(_emit_anchors(length, gram), "anchor long, key_hi long, key_lo long, pos int, first int, last int")
+    # read twice, found once
+    found = written(long_enough.mapInArrow(_emit_anchors(length, gram), "anchor long, key_hi long, key_lo long, pos int, first int, last int"), "suffix-anchored")
     place = F.xxhash64("key_hi", "key_lo", "pos")
     twice = written(found.groupBy("anchor").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("anchor"), "suffix-anchors")
     # the copies of a text go in a step of their own: a join that nothing is grouped behind can be split where it is hot
