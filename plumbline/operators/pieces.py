@@ -139,17 +139,18 @@ def _centres(spots: DataFrame, columns: int) -> DataFrame:
 
 def _placed_on_small_pages(w: DataFrame, columns: int, row_gap: float, column_gap: float, lead: float) -> DataFrame:
     """(page, id, text, x0, y0, cx, row, centres): a page's anchors, at most as many as its words, meet each word in one row."""
-    anchor = F.struct((F.col("y0") - lead).alias("begin"), "y0", "row", "at")
-    anchors = _anchors(w).groupBy("page").agg(F.count("*").alias("rows"), F.collect_list(anchor).alias("anchors"))
-    near = w.select("page", "id", "cx", "cy").join(anchors, "page").where(F.exists("anchors", lambda a: F.abs(F.col("cy") - a["at"]) < row_gap))
+    # a word carries its page's lists through the join, so they are short
+    anchors = _anchors(w).groupBy("page").agg(F.count("*").alias("rows"), F.collect_list("at").alias("lines"), F.collect_list(F.struct("y0", "row")).alias("begins"))
+    lines = anchors.select("page", "rows", "lines")
+    near = w.select("page", "id", "cx", "cy").join(lines, "page").where(F.exists("lines", lambda at: F.abs(F.col("cy") - at) < row_gap))
     # words of a page stay together from here on
     spots = near.groupBy("page", "id", "cx").agg(F.first("rows").alias("rows"))
     along = Window.partitionBy("page").orderBy("cx")
     back = F.lag("cx").over(along)
     spots = spots.withColumn("start", F.when(back.isNull() | (F.col("cx") - back >= column_gap), F.col("cx")))
     clusters = spots.withColumn("cluster", F.last("start", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    pages = anchors.select("page", "anchors").join(_centres(clusters, columns), "page")
-    last = F.array_max(F.filter("anchors", lambda a: a["begin"] <= F.col("cy")))
+    pages = anchors.select("page", "begins").join(_centres(clusters, columns), "page")
+    last = F.array_max(F.filter("begins", lambda a: a["y0"] - lead <= F.col("cy")))
     return w.join(pages, "page").select("page", "id", "text", "x0", "y0", "cx", last["row"].alias("row"), "centres").where("row is not null")
 
 
