@@ -6,8 +6,8 @@
    one with a count before anything is dealt out; a context that occurs twice repeats in full.
 3. Transforms. Contexts that occur once but share their anchor with others go to ``repeated_windows``: shards of them get
    a Burrows-Wheeler transform each, and the transforms are merged by iterative refinement of their interleave, which
-   starts unordered and is stably dealt by the next preceding symbol until suffixes are in order to LENGTH bytes. The
-   round in which two neighbours part is their common prefix; intervals that no round parts are the repeated strings.
+   starts unordered and is stably dealt by the next preceding symbol until suffixes are in order to LENGTH bytes. A suffix
+   that has parted from both its neighbours leaves; intervals that no round parts are the repeated strings.
    No suffix is sorted again. A symbol is STRIDE bytes, with a string for each phase, so 25 rounds reach 200 bytes.
 4. Hot anchors. Where more than HOT different contexts share an anchor, they are cut into narrower ones keyed by the
    bytes that all their strings share: first a few strings wide, then one, which its count alone decides. So no task
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +39,8 @@ SHARDS = 4
 MERGE = 64_000
 HOT = 150
 BUCKET = 2000
+#: Bytes that are hashed at a time: what is made of them stays in a processor's cache.
+PIECE = 1 << 17
 WIDTHS = (8, 1)
 #: Fixed pseudo-random values, one for each byte.
 _BYTE = np.random.default_rng(3).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -64,8 +67,10 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int
     size, step = 1, 0
     with np.errstate(over="ignore"):
         while size < gram:
-            h = h[:-size] * _STEP[step % 6] + h[size:]
-            h = h ^ (h >> np.uint64(31))
+            left = h[:-size] * _STEP[step % 6]
+            left += h[size:]
+            h = left
+            h ^= h >> np.uint64(31)
             size, step = size * 2, step + 1
         h *= _STEP[0]
         h ^= h >> np.uint64(32)
@@ -89,43 +94,78 @@ class Transform:
     """A shard's Burrows-Wheeler transform: for its suffixes in order to ``depth`` symbols, where each starts and what precedes it."""
 
     def __init__(self, symbols: np.ndarray, depth: int):
-        ring = np.concatenate([symbols, symbols[: min(depth, len(symbols))], np.zeros(max(0, depth - len(symbols)), symbols.dtype)]).astype(">u2")
-        view = np.lib.stride_tricks.as_strided(ring, (len(symbols), depth), (2, 2)).copy().view(f"S{2 * depth}").ravel()
-        self.order = np.argsort(view, kind="stable")
+        # ranks of one symbol, three, nine and so on; suffixes go on at the front
+        rank, have, groups, n = symbols, 1, -1, len(symbols)
+        ring = np.arange(n)
+        while (have < depth or groups < 0) and groups < n - 1:
+            reach = min(depth, 3 * have)
+            self.order, parted = _sorted([rank[(ring + k) % n] for k in sorted({0, min(have, reach - have), reach - have})])
+            rank = np.empty(n, np.int64)
+            rank[self.order] = np.cumsum(parted)
+            have, groups = reach, int(parted.sum())
         self.before = symbols[self.order - 1]
 
 
-def merge(shards: list[Transform], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Merges transforms: (shard, place in the shard's order, common prefix with the suffix before) in merged order.
+def _sorted(ranks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The places of rows of up to three ranks in stable order, and which rows in order differ from the one before.
+
+    A row and its place are one word, as sorting words is several times as fast as finding the order of rows."""
+    n = len(ranks[0])
+    if n > 1 << 16:
+        order = np.lexsort(ranks[::-1])
+        return order, np.append(False, np.any([r[order][1:] != r[order][:-1] for r in ranks], axis=0))
+    kind = np.uint32 if len(ranks) == 1 else np.uint64
+    word = ranks[0].astype(kind)
+    for r in ranks[1:]:
+        word <<= kind(16)
+        word |= r.astype(kind)
+    word <<= kind(16)
+    word |= np.arange(n, dtype=kind)
+    word.sort()
+    order = (word & kind(0xFFFF)).astype(np.int64)
+    word >>= kind(16)
+    parted = np.zeros(n, bool)
+    np.not_equal(word[1:], word[:-1], out=parted[1:])
+    return order, parted
+
 
-    A common prefix of ``depth`` means that many symbols or more."""
-    source = np.repeat(np.arange(len(shards), dtype=np.uint8), [len(s.order) for s in shards])
+def merge(shards: list[Transform], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Merges transforms: (shard, place in the shard's order, interval) of the suffixes that share ``depth`` symbols with another, in merged order."""
+    sizes = np.array([len(s.order) for s in shards], np.int64)
+    begin, source = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(shards)), sizes)
     befores = np.concatenate([s.before for s in shards])
-    group = np.zeros(len(source), np.int32)
-    common = np.full(len(source), depth, np.int32)
-    before, parted, groups = np.empty(len(source), np.uint16), np.zeros(len(source), bool), -1
-    for reached in range(depth):
-        # a shard's suffixes keep their order
-        before[np.argsort(source, kind="stable")] = befores
-        deal = np.argsort(before, kind="stable")
-        symbol, came = before[deal], group[deal]
-        parted[1:] = (symbol[1:] != symbol[:-1]) | (came[1:] != came[:-1])
-        source = source[deal]
-        group = np.cumsum(parted, dtype=np.int32)
-        # what is parted stays so; a round that parts nothing new is like all that would follow
-        if len(group) and group[-1] == groups:
-            common -= parted * (depth - reached)
+    # a shard's suffixes keep their order: where each goes among its own is the same in all rounds
+    follow = np.empty(len(source), np.int64)
+    for first, s in zip(begin, shards, strict=True):
+        follow[first + _sorted([s.before])[0]] = np.arange(first, first + len(s.order))
+    at, group, last = np.arange(len(source)), np.zeros(len(source), np.int32), (0, 0)
+    for _ in range(depth):
+        deal, parted = _sorted([befores[at]])
+        came = group[deal]
+        parted[1:] |= came[1:] != came[:-1]
+        parted[:1] = True
+        # what is parted stays so: who stands alone leaves, and so does what it precedes
+        stay = ~parted
+        stay[:-1] |= stay[1:]
+        at = follow[at[deal[stay]]]
+        group = np.cumsum(parted[stay], dtype=np.int32)
+        # a round that parts nothing new is like all that would follow
+        now = (len(group), int(group[-1]) if len(group) else 0)
+        if now == last or not len(group):
             break
-        common -= parted
-        groups = group[-1] if len(group) else 0
-    common[:1] = 0
-    place = np.empty(len(source), np.int64)
-    place[np.argsort(source, kind="stable")] = np.concatenate([np.arange(len(s.order)) for s in shards])
-    return source, place, common
+        last = now
+    source = source[at]
+    return source, at - begin[source], group
 
 
 def repeated_windows(contexts: list[bytes], length: int = LENGTH, stride: int = STRIDE, n_shards: int = SHARDS) -> list[np.ndarray]:
     """For each byte string the starts of its ``length``-byte windows that also start elsewhere in the collection."""
+    who, where = _repeated(contexts, length, stride, n_shards)
+    return np.split(where, np.searchsorted(who, np.arange(1, len(contexts)))) if contexts else []
+
+
+def _repeated(contexts: list[bytes], length: int, stride: int = STRIDE, n_shards: int = SHARDS) -> tuple[np.ndarray, np.ndarray]:
+    """(string, start) of each such window, in order."""
     depth = length // stride
     if length % stride:
         raise ValueError("the length is a multiple of the stride")
@@ -135,7 +175,7 @@ def repeated_windows(contexts: list[bytes], length: int = LENGTH, stride: int =
     count = (sizes[owner] - phase) // stride
     owner, phase, count = (x[count >= depth] for x in (owner, phase, count))
     if not len(owner):
-        return [np.zeros(0, np.int64) for _ in contexts]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     ends = np.cumsum(count + 1)
     piece = np.repeat(np.arange(len(owner)), count + 1)
     nth = np.arange(ends[-1]) - (ends - count - 1)[piece]
@@ -157,73 +197,82 @@ def repeated_windows(contexts: list[bytes], length: int = LENGTH, stride: int =
         t = Transform(text[cut], depth)
         transforms.append(t)
         maps.append((owner[piece[cut]][t.order], at[cut][t.order], left[cut][t.order] >= depth))
-    source, place, common = merge(transforms, depth)
-    same = common >= depth
-    hit = same.copy()
-    hit[:-1] |= same[1:]
-    out: list[list[np.ndarray]] = [[] for _ in contexts]
-    for k, (own, at, whole) in enumerate(maps):
-        mine = place[(source == k) & hit]
-        mine = mine[whole[mine]]
-        order = np.argsort(own[mine], kind="stable")
-        who, where = own[mine][order], at[mine][order]
-        if len(who):
-            cuts = np.flatnonzero(np.diff(who)) + 1
-            for ids, places in zip(np.split(who, cuts), np.split(where, cuts), strict=True):
-                out[ids[0]].append(places)
-    return [np.sort(np.concatenate(x)) if x else np.zeros(0, np.int64) for x in out]
-
-
-def _runs(at: np.ndarray) -> list[tuple[int, int]]:
-    """(first, count) of runs of consecutive integers."""
-    if not len(at):
-        return []
-    cuts = np.flatnonzero(np.diff(at) != 1) + 1
-    return [(int(x[0]), len(x)) for x in np.split(at, cuts)]
+    source, place, _ = merge(transforms, depth)
+    sizes = np.array([len(t.order) for t in transforms], np.int64)
+    mine = (np.cumsum(sizes) - sizes)[source] + place
+    own, at, whole = (np.concatenate(x) for x in zip(*maps, strict=True))
+    mine = mine[whole[mine]]
+    found = np.sort(own[mine] << 32 | at[mine])
+    return found >> 32, found & 0xFFFFFFFF
+
+
+def _parts(column: pa.Array, size: int = 2_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Rows of a binary column, about ``size`` bytes at a time: (first row, rows, bytes in one, where each row begins and the last one ends)."""
+    bounds = np.append(0, np.cumsum(pc.binary_length(column).to_numpy(), dtype=np.int64))
+    at = 0
+    while at < len(column):
+        n = min(max(1, int(np.searchsorted(bounds, bounds[at] + size)) - at), len(column) - at)
+        data = b"".join([x.as_buffer() for x in column.slice(at, n)])
+        yield at, n, np.frombuffer(data, np.uint8), bounds[at : at + n + 1] - bounds[at]
+        at += n
+
+
+def _listed(column: pa.Array) -> tuple[np.ndarray, list[pa.Array]]:
+    """The row of each struct in a column of lists of structs, and the fields of the structs."""
+    inner = column.flatten()
+    return np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy())), inner.flatten()
 
 
 def _emit_anchors(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hi, lo, data = (batch.column(i) for i in range(3))
-            at = 0
-            while at < batch.num_rows:
-                n, size = 0, 0
-                while at + n < batch.num_rows and (n == 0 or size < 2_000_000):
-                    size += len(data[at + n].as_buffer())
-                    n += 1
-                part = [x.as_buffer() for x in data.slice(at, n)]
-                sizes = np.array([len(x) for x in part])
-                ends = np.cumsum(sizes)
-                pos, h, first, last = anchors(np.frombuffer(b"".join(part), np.uint8), ends - sizes, ends, length, gram)
-                row = np.searchsorted(ends, pos, side="right")
-                take, begin = pa.array(row + at), (ends - sizes)[row]
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), hi.take(take), lo.take(take), *(pa.array((x - begin).astype(np.int32)) for x in (pos, first, last))], names=["anchor", "key_hi", "key_lo", "pos", "first", "last"])
-                at += n
+            out: list[tuple] = []
+            for at, n, whole, bounds in _parts(data, PIECE):
+                begin, end = bounds[:-1], bounds[1:]
+                pos, h, first, last = anchors(whole, begin, end, length, gram)
+                row = np.searchsorted(end, pos, side="right")
+                out.append((h.view(np.int64), row + at, *((x - begin[row]).astype(np.int32) for x in (pos, first, last))))
+                if len(out) == 16 or at + n == batch.num_rows:
+                    h, row, *places = (np.concatenate(x) for x in zip(*out, strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(h), hi.take(pa.array(row)), lo.take(pa.array(row)), *map(pa.array, places)], names=["anchor", "key_hi", "key_lo", "pos", "first", "last"])
+                    out = []
 
     return run
 
 
+def _digests(data: list[bytes], starts: np.ndarray, stops: np.ndarray, size: int) -> np.ndarray:
+    """Digests of data[start:stop] as rows of longs."""
+    made = b"".join([hashlib.blake2b(d[a:b], digest_size=size).digest() for d, a, b in zip(data, starts.tolist(), stops.tolist(), strict=True)])
+    return np.frombuffer(made, ">i8").reshape(-1, size // 8).astype(np.int64)
+
+
 def _emit_contexts(width: int | None, length: int, gram: int):
     """Rows (key_hi, key_lo, data, at: array<struct<pos, first, last, anchor, weight>>) to contexts; width None: one for each anchor."""
     reach = length - gram
+    wide = width or reach + 1
+    cuts = np.arange(0, reach + 1, wide)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for hi, lo, data, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for p in places:
-                    pos, low, high = p["pos"], p["pos"] - p["last"], p["pos"] - p["first"]
-                    for r in range(0, reach + 1, width or reach + 1):
-                        o1, o2 = max(r, low), min(r + (width or reach + 1) - 1, high)
-                        if o1 > o2:
-                            continue
-                        c = hashlib.blake2b(data[pos - o2 : pos - o1 + length], digest_size=16).digest()
-                        # bytes that every string of this cut holds, however the text clips it
-                        core = 0 if width is None else int.from_bytes(hashlib.blake2b(data[pos - r : pos - r - width + 1 + length], digest_size=8).digest(), "big", signed=True)
-                        out.append((hi, lo, pos, p["first"], p["last"], pos - o2, o2 - o1 + 1, p["anchor"], r, core, int.from_bytes(c[:8], "big", signed=True), int.from_bytes(c[8:], "big", signed=True), p["weight"]))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), _CONTEXT_TYPES, strict=True)], names=_CONTEXT_NAMES)
+            texts = batch.column(2).to_pylist()
+            rows, fields = _listed(batch.column(3))
+            every = [x.to_numpy() for x in fields]
+            step = max(1, 100_000 // len(cuts))
+            for at in range(0, len(rows), step):
+                row = rows[at : at + step]
+                pos, first, last, anchor, weight = (x[at : at + step] for x in every)
+                o1, o2 = np.maximum(cuts, (pos - last)[:, None]), np.minimum(cuts + wide - 1, (pos - first)[:, None])
+                place, cut = np.nonzero(o1 <= o2)
+                o1, o2, r = o1[place, cut], o2[place, cut], cuts[cut]
+                row, pos, first, last, anchor, weight = (x[place] for x in (row, pos, first, last, anchor, weight))
+                data = [texts[k] for k in row.tolist()]
+                c = _digests(data, pos - o2, pos - o1 + length, 16)
+                # bytes that every string of this cut holds, however the text clips it
+                core = np.zeros(len(row), np.int64) if width is None else _digests(data, pos - r, pos - r - width + 1 + length, 8)[:, 0]
+                hi, lo = (batch.column(k).take(pa.array(row)) for k in range(2))
+                made = (hi, lo, pos, first, last, pos - o2, o2 - o1 + 1, anchor, r, core, c[:, 0], c[:, 1], weight)
+                yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x.astype(t.to_pandas_dtype())) for x, t in zip(made, _CONTEXT_TYPES, strict=True)], names=_CONTEXT_NAMES)
 
     return run
 
@@ -235,28 +284,28 @@ _CONTEXT = "key_hi long, key_lo long, pos int, first int, last int, start int, w
 
 def _merge_bucket(length: int):
     def run(part: pa.Table) -> pa.Table:
-        rows = part.sort_by([("anchor", "ascending"), ("cut", "ascending"), ("core", "ascending")]).to_pylist()
-        out: list[tuple] = []
+        part = part.sort_by([("anchor", "ascending"), ("cut", "ascending"), ("core", "ascending")])
+        anchor, cut, core, hi, lo, start, n = (part[k].to_numpy() for k in ("anchor", "cut", "core", "key_hi", "key_lo", "start", "n"))
+        data = part["data"].to_pylist()
+        new = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (cut[1:] != cut[:-1]) | (core[1:] != core[:-1])))
+        stops = np.append(new[1:], len(data))
+        sizes = np.append(0, np.cumsum([len(x) for x in data], dtype=np.int64))
+        out = [(np.zeros(0, np.int64),) * 3]
         at = 0
-        while at < len(rows):
+        while at < len(data):
             # whole groups, as many as one merge takes
-            end, size = at, 0
-            while end < len(rows):
-                stop = end
-                group = (rows[end]["anchor"], rows[end]["cut"], rows[end]["core"])
-                more = 0
-                while stop < len(rows) and (rows[stop]["anchor"], rows[stop]["cut"], rows[stop]["core"]) == group:
-                    more += len(rows[stop]["data"])
-                    stop += 1
-                if end > at and size + more > MERGE:
-                    break
-                end, size = stop, size + more
-            for r, found in zip(rows[at:end], repeated_windows([r["data"] for r in rows[at:end]], length), strict=True):
-                if r["n"] == 1:
-                    out += [(r["key_hi"], r["key_lo"], r["start"] + first, n) for first, n in _runs(found)]
+            end = max(int(np.searchsorted(sizes[stops], sizes[at] + MERGE, side="right")), int(np.searchsorted(stops, at, side="right")) + 1)
+            end = int(stops[end - 1])
+            who, where = _repeated(data[at:end], length)
+            who += at
+            alone = n[who] == 1
+            who, where = who[alone], where[alone]
+            # runs of windows
+            first = np.flatnonzero(np.append(True, (np.diff(who) != 0) | (np.diff(where) != 1))[: len(who)])
+            out.append((who[first], where[first], np.diff(np.append(first, len(who)))))
             at = end
-        columns = list(zip(*out, strict=True)) or [(), (), (), ()]
-        return pa.table({k: pa.array(v, t) for k, v, t in zip(("key_hi", "key_lo", "start", "windows"), columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)})
+        who, first, windows = (np.concatenate(x) for x in zip(*out, strict=True))
+        return pa.table({"key_hi": hi[who], "key_lo": lo[who], "start": (start[who] + first).astype(np.int32), "windows": windows.astype(np.int32)})
 
     return run
 
@@ -264,11 +313,13 @@ def _merge_bucket(length: int):
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key_hi, key_lo, data, at) to the bytes of each wanted context."""
     for batch in batches:
-        out: list[dict] = []
-        for data, places in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            out += [p | {"data": data[p["start"] : p["stop"]]} for p in places]
-        if out:
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("key_hi", pa.int64()), ("key_lo", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("anchor", pa.int64()), ("cut", pa.int32()), ("core", pa.int64()), ("n", pa.int64()), ("data", pa.binary())]))
+        texts = batch.column(2).to_pylist()
+        rows, fields = _listed(batch.column(3))
+        for at in range(0, len(rows), 20_000):
+            part = [x.slice(at, 20_000) for x in fields]
+            start, stop = (part[k].to_pylist() for k in (2, 3))
+            data = pa.array([texts[k][a:b] for k, a, b in zip(rows[at : at + 20_000].tolist(), start, stop, strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*part, data], names=["key_hi", "key_lo", "start", "stop", "anchor", "cut", "core", "n", "data"])
 
 
 def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
@@ -283,15 +334,16 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     twice = written(found.groupBy("anchor").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("anchor"), "suffix-anchors")
     # the copies of a text go in a step of their own: a join that nothing is grouped behind can be split where it is hot
     held_places = written(found.join(twice, "anchor"), "suffix-found")
-    places = written(held_places.distinct().select("key_hi", "key_lo", "pos", "first", "last", "anchor", F.lit(1).cast("long").alias("weight")), "suffix-places")
-    keys = places.select("key_hi", "key_lo").distinct()
-    held = written(long_enough.join(keys, ["key_hi", "key_lo"]).groupBy("key_hi", "key_lo").agg(F.first("data").alias("data")), "suffix-texts")
+    # the anchors of a text are at most as many as its bytes
+    key = ["key_hi", "key_lo"]
+    per_text = held_places.groupBy(*key).agg(F.collect_set(F.struct("pos", "first", "last", "anchor", F.lit(1).cast("long").alias("weight"))).alias("at"))
+    held = written(long_enough.join(per_text, key).groupBy(*key).agg(F.first("data").alias("data"), F.first("at").alias("at")), "suffix-texts")
+    # each text meets its first places where it is written, so neither is dealt out again
+    placed, held = held, held.drop("at")
     results: list[DataFrame] = []
     width: int | None = None
     for level in range(len(WIDTHS) + 1):
-        # the anchors of a text are at most as many as its bytes
-        per_text = places.groupBy("key_hi", "key_lo").agg(F.collect_list(F.struct("pos", "first", "last", "anchor", "weight")).alias("at"))
-        contexts = written(held.join(per_text, ["key_hi", "key_lo"]).select("key_hi", "key_lo", "data", "at").mapInArrow(_emit_contexts(width, length, gram), _CONTEXT), "suffix-contexts")
+        contexts = written(placed.select(*key, "data", "at").mapInArrow(_emit_contexts(width, length, gram), _CONTEXT), "suffix-contexts")
         counts = contexts.groupBy(*group, "c_hi", "c_lo").agg(F.sum("weight").alias("n"), F.min(F.struct("key_hi", "key_lo", "pos", "first", "last", "start", "windows")).alias("rep"))
         counts = written(counts, "suffix-counts")
         # a context that occurs twice repeats in full, wherever it is
@@ -314,6 +366,7 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
         places = written(counts.join(hot, group).select("rep.key_hi", "rep.key_lo", "rep.pos", "rep.first", "rep.last", "anchor", F.least("n", F.lit(2)).alias("weight")).groupBy("key_hi", "key_lo", "pos", "first", "last", "anchor").agg(F.max("weight").alias("weight")), "suffix-hot")
         if places.isEmpty():
             break
+        placed = held.join(places.groupBy(*key).agg(F.collect_list(F.struct("pos", "first", "last", "anchor", "weight")).alias("at")), key)
         width = WIDTHS[level]
     out = results[0]
     for r in results[1:]:
@@ -326,17 +379,22 @@ def _cut(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for hi, lo, data, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                edge = np.zeros(len(data) + 1, np.int32)
-                np.add.at(edge, [r["start"] for r in at], 1)
-                np.add.at(edge, [r["start"] + r["windows"] - 1 + length for r in at], -1)
+            rows, fields = _listed(batch.column(3))
+            start, windows = (x.to_numpy().astype(np.int64) for x in fields)
+            for at, n, data, bounds in _parts(batch.column(2)):
+                own = slice(*np.searchsorted(rows, [at, at + n]))
+                first = bounds[rows[own] - at] + start[own]
+                edge = np.bincount(first, minlength=len(data) + 1) - np.bincount(first + windows[own] - 1 + length, minlength=len(data) + 1)
                 gone = np.cumsum(edge[:-1]) > 0
-                kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-                spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                rows.append((hi, lo, int(gone.sum()), spans, kept))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["key_hi", "key_lo", "n_removed", "n_spans", "kept"])
+                # a run begins where nothing before it in its text is gone
+                begins = gone.copy()
+                begins[1:] &= ~gone[:-1]
+                begins[bounds[:-1]] = gone[bounds[:-1]]
+                removed, spans = (np.diff(np.append(0, np.cumsum(x))[bounds]) for x in (gone, begins))
+                kept = data[~gone].tobytes()
+                ends = np.cumsum(np.diff(bounds) - removed).tolist()
+                left = pa.array([kept[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), batch.column(1).slice(at, n), pa.array(removed), pa.array(spans), left], names=["key_hi", "key_lo", "n_removed", "n_spans", "kept"])
 
     return run
 
@@ -345,7 +403,7 @@ def _analysed(documents: DataFrame, length: int) -> tuple[DataFrame, DataFrame,
     """(row, key, data): the user's row packed, so that its names clash with none here; keys that occur twice; (key,
     n_removed, n_spans, kept) of texts that lose something."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), *content_key(text), F.encode(text, "UTF-8").alias("data"))
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), *content_key(text), text.cast("binary").alias("data"))
     texts = rows.select("key_hi", "key_lo", "data")
     copies = written(texts.groupBy("key_hi", "key_lo").agg(F.count("*").alias("copies")).where("copies > 1"), "suffix-copies", keep=True)
     with scratch(documents.sparkSession):

@@ -818,3 +818,38 @@ def test_merge_stops_when_a_round_parts_nothing(monkeypatch):
     found = suffix.repeated_windows([text, text, b"x" * 150])
     assert [x.tolist() for x in found] == [list(range(101)), list(range(101)), []]
     assert len(sorts) < 20
+
+
+def test_merge_keeps_who_shares_symbols_alone():
+    """Suffixes that are told apart from all others leave the rounds; those that stay are the ones a plain count finds."""
+    rng = np.random.default_rng(4)
+    core = rng.integers(1, 9, 40).astype(np.uint16)
+    parts = [np.concatenate([rng.integers(1, 900, 60), core, rng.integers(1, 900, 30), [0]]).astype(np.uint16) for _ in range(3)]
+    depth = 10
+    prefix = lambda part, k: tuple(np.roll(part, -k)[:depth])
+    count = collections.Counter(prefix(part, k) for part in parts for k in range(len(part)))
+    shards = [suffix.Transform(part, depth) for part in parts]
+    for shard, part in zip(shards, parts, strict=True):
+        assert [prefix(part, k) for k in shard.order] == sorted(prefix(part, k) for k in range(len(part)))
+    source, place, interval = suffix.merge(shards, depth)
+    found = [prefix(parts[s], shards[s].order[p]) for s, p in zip(source, place, strict=True)]
+    assert found == sorted(found) and collections.Counter(found) == {k: n for k, n in count.items() if n > 1}
+    assert (np.diff(interval) > 0).tolist() == [a != b for a, b in zip(found, found[1:], strict=False)]
+
+
+def test_repeated_windows_of_more_than_16_bits():
+    rng = np.random.default_rng(6)
+    texts = [bytes(rng.integers(97, 99, 300, dtype=np.uint8)) * 100, b"abc" * 14_000, bytes(rng.integers(97, 99, 5000, dtype=np.uint8))]
+    count = collections.Counter(c[i : i + 200] for c in texts for i in range(len(c) - 199))
+    for c, found in zip(texts, suffix.repeated_windows(texts), strict=True):
+        assert found.tolist() == [i for i in range(len(c) - 199) if count[c[i : i + 200]] > 1]
+
+
+def test_suffix_texts_meet_their_first_places_where_they_are_written(spark, monkeypatch):
+    plans, write = [], suffix.written
+    monkeypatch.setattr(suffix, "written", lambda df, name, **k: plans.append((name, df._jdf.queryExecution().toString())) or write(df, name, **k))
+    rows = [(k, "".join(chr(97 + (k * j * j + j) % 26) for j in range(400)) + "shared " * 60, "a") for k in range(6)]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix.digests(docs(spark, rows)).collect()}
+    assert [got[k] for k, _, _ in rows] == brute_cut([t.encode() for _, t, _ in rows])
+    contexts = [plan for name, plan in plans if name == "suffix-contexts"]
+    assert contexts and "Exchange" not in contexts[0] and "Join" not in contexts[0]
