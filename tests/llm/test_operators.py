@@ -853,3 +853,11 @@ def test_suffix_texts_meet_their_first_places_where_they_are_written(spark, monk
     assert [got[k] for k, _, _ in rows] == brute_cut([t.encode() for _, t, _ in rows])
     contexts = [plan for name, plan in plans if name == "suffix-contexts"]
     assert contexts and "Exchange" not in contexts[0] and "Join" not in contexts[0]
+
+
+def test_merge_stops_early_counted_by_its_own_sort(monkeypatch):
+    text = np.random.default_rng(9).integers(0, 256, 300, dtype=np.uint8).tobytes()
+    sorts, sort = [], suffix._sorted
+    monkeypatch.setattr(suffix, "_sorted", lambda ranks: sorts.append(1) or sort(ranks))
+    assert [len(x) for x in suffix.repeated_windows([text, text, b"x" * 150])] == [101, 101, 0]
+    assert 0 < len(sorts) < 20
