@@ -74,21 +74,40 @@ def segments(points: DataFrame, line: str, pos: str, seq: str) -> DataFrame:
     return points.withColumn("end", F.lead(pos).over(Window.partitionBy(line).orderBy(pos, seq)))
 
 
-def containing(probes: DataFrame, intervals: DataFrame, line: str, pos: str, low: str, high: str, closed: bool = True, bin_width: float = 64.0, tasks: int | None = None) -> DataFrame:
+def containing(probes: DataFrame, intervals: DataFrame, line: str, pos: str, low: str, high: str, closed: bool = True, bin_width: float = 64.0) -> DataFrame:
     """Inner join of probes with the intervals of their line that hold them.
 
     Intervals are cut at multiples of ``bin_width``, so the join has an equality on (line, bin) and a hot line spreads.
-    ``tasks``: into how many the bins are dealt, where far more pairs come out than rows go in; else Spark goes by the rows.
     """
     left = probes.withColumn("_bin", F.floor(F.col(pos) / bin_width))
     right = intervals.where(F.col(low).isNotNull() & F.col(high).isNotNull() & (F.col(low) <= F.col(high)))
     right = right.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(low) / bin_width), F.floor(F.col(high) / bin_width))))
     inside = (F.col(pos) >= F.col(low)) & ((F.col(pos) <= F.col(high)) if closed else (F.col(pos) < F.col(high)))
-    if tasks is not None:
-        left, right = left.repartition(tasks, line, "_bin"), right.repartition(tasks, line, "_bin")
     return left.join(right, [line, "_bin"]).where(inside).drop("_bin")
 
 
+def containing_many(probes: DataFrame, intervals: DataFrame, line: str, pos: str, low: str, high: str, bin_width: float, tasks: int) -> DataFrame:
+    """The pairs of ``containing``, ends included, without ``pos``, ``low`` and ``high``, where far more come out than rows go in.
+
+    An interval has a copy in each bin it reaches. Copies go only to bins between the first and the last position, and those in
+    bins that an interval fills carry no ends, so that many narrow bins cost little. The bins are dealt to ``tasks``, as Spark would
+    go by the rows. Pairs come out interval by interval, with the positions of a bin in the same order each time: such rows take
+    little room in a file. A position that is no number is in no interval.
+    """
+    at = probes.where(F.col(pos).isNotNull() & ~F.isnan(pos)).withColumn("_bin", F.floor(F.col(pos) / bin_width))
+    held = intervals.where(F.col(low).isNotNull() & ~F.isnan(low) & F.col(high).isNotNull() & (F.col(low) <= F.col(high)))
+    # a high that is no number is above all numbers
+    held = held.withColumn("_first", F.floor(F.col(low) / bin_width)).withColumn("_last", F.floor(F.nanvl(high, F.lit(float("inf"))) / bin_width))
+    ends, reach = at.agg(F.min("_bin").alias("a"), F.max("_bin").alias("b")).first(), held.agg(F.min("_first").alias("a"), F.max("_last").alias("b")).first()
+    at = at.where(F.col("_bin").between(F.lit(reach.a).cast("long"), F.lit(reach.b).cast("long")))
+    first, last = F.greatest("_first", F.lit(ends.a).cast("long")), F.least("_last", F.lit(ends.b).cast("long"))
+    cut = held.where(first <= last).withColumn("_bin", F.explode(F.sequence(first, last)))
+    full = (F.col("_bin") > F.col("_first")) & (F.col("_bin") < F.col("_last"))
+    cut = cut.withColumns({c: F.when(~full, F.col(c)) for c in (low, high)}).drop("_first", "_last")
+    cut, at = cut.repartition(tasks, line, "_bin"), at.repartition(tasks, line, "_bin")
+    return cut.join(at, [line, "_bin"]).where(F.col(low).isNull() | F.col(pos).between(F.col(low), F.col(high))).drop("_bin", pos, low, high)
+
+
 def within(left: DataFrame, right: DataFrame, line: str, pos: str, other: str, radius: float) -> DataFrame:
     """Band join: pairs of a line at most ``radius`` apart, with their distance. Bins of the radius, three for each row."""
     a = left.withColumn("_bin", F.floor(F.col(pos) / radius))

@@ -42,7 +42,7 @@ class Lookups:
             return spark.createDataFrame([("a term has two characters or more",)], "error string")
         return self.notes.where(F.contains(F.lower("text"), F.lit(ask["term"].lower()))).select("*", none)
 
-    def answer_all(self, questions: DataFrame, range_bin: float = 250.0, sheet_bin: float = 1_000.0) -> DataFrame:
+    def answer_all(self, questions: DataFrame, range_bin: float = 25.0, sheet_bin: float = 1_000.0) -> DataFrame:
         """(qid, key, sheet, error) for a table of questions: qid, kind (item, range, containing or versions), line, key, low,
         high, pos, sheet. Each kind is one join for all its questions; a question that lacks an argument, or is of no known kind,
         has one row with the error as ``answer`` words it, and one without an answer has none. The bins are narrow against ranges and
@@ -57,8 +57,8 @@ class Lookups:
         none = lambda kind, name: F.lit(None).cast(kind).alias(name)
         dealt = lambda rows: rows.count() // DEALT + 1
         item = ask("item", "line", "key").join(self.items.select("line", "key"), ["line", "key"]).select("qid", "key", none("long", "sheet"))
-        span = positional.containing(self.items.select("line", "key", "pos"), ask("range", "line", "low", "high"), "line", "pos", "low", "high", True, range_bin, dealt(self.items)).select("qid", "key", none("long", "sheet"))
-        held = positional.containing(ask("containing", "line", "pos"), self.sheets.select("line", "sheet", "low", "high"), "line", "pos", "low", "high", True, sheet_bin, dealt(self.sheets)).select("qid", none("long", "key"), "sheet")
+        span = positional.containing_many(self.items.select("line", "key", "pos"), ask("range", "line", "low", "high"), "line", "pos", "low", "high", range_bin, dealt(self.items)).select("qid", "key", none("long", "sheet"))
+        held = positional.containing_many(ask("containing", "line", "pos"), self.sheets.select("line", "sheet", "low", "high"), "line", "pos", "low", "high", sheet_bin, dealt(self.sheets)).select("qid", none("long", "key"), "sheet")
         same = ask("versions", "line", "sheet").join(self.sheets.select("line", "sheet"), ["line", "sheet"]).select("qid", none("long", "key"), "sheet")
         rows = item.unionByName(span).unionByName(held).unionByName(same).withColumn("error", F.lit(None).cast("string"))
         return rows.unionByName(q.where("error is not null").select("qid", none("long", "key"), none("long", "sheet"), "error"))
@@ -98,8 +98,10 @@ def lookup_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, k, x = F.col("l_linenumber"), F.col("l_orderkey") % 4000, F.col("l_extendedprice")
     kind = F.when(n == 2, "range").when(n == 3, F.when(F.col("l_quantity") < 3, "containing").otherwise("versions")).when(n == 5, "curve").when(n != 6, "item")
     line = F.when(F.col("l_partkey") % 9 > 0, F.when(F.col("l_returnflag") == "A", "F").when(F.col("l_returnflag") == "N", "O").otherwise("P"))
-    q = l.select((F.col("l_orderkey") * 10 + n).alias("qid"), kind.alias("kind"), line.alias("line"), F.when(k % 5 > 0, k).alias("key"), F.when(k % 6 > 0, x).alias("low"), (x + 300).alias("high"), x.alias("pos"), k.alias("sheet")).distinct()
-    return lookups(spark, sf_dir).answer_all(q)
+    # the other arguments follow from these, so equal questions are found by them
+    q = l.select((F.col("l_orderkey") * 10 + n).alias("qid"), kind.alias("kind"), line.alias("line"), k.alias("sheet"), x.alias("pos")).distinct()
+    asked, at = F.col("sheet"), F.col("pos")
+    return lookups(spark, sf_dir).answer_all(q.withColumns({"key": F.when(asked % 5 > 0, asked), "low": F.when(asked % 6 > 0, at), "high": at + 300}))
 
 
 @query("""WITH s AS (SELECT o_custkey AS line, o_orderkey AS sheet, o_totalprice AS low, o_totalprice + 20000 AS high FROM orders)

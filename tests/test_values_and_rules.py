@@ -200,3 +200,25 @@ def test_positions_of_one_line_are_dealt_to_many_tasks(spark):
         lookup.DEALT = was
     assert sorted(((r.qid, r.key, r.sheet) for r in found.collect()), key=str) == want
     assert found._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") >= 4
+
+
+def test_long_sheets_take_little_room_on_disk(spark, shuffled, tmp_path):
+    """Sheets have copies only in the bins where questions are; ends that are no numbers are above all; also without any question."""
+    from plumbline.plans import lookup
+
+    rng = random.Random(9)
+    sheets = [("a", k, p, p + 20000) for k, p in enumerate(rng.random() * 90000 for _ in range(1500))]
+    sheets += [("a", 1500, 39000.0, float("inf")), ("a", 1501, 41000.0, float("nan")), ("a", 1502, float("nan"), float("nan"))]
+    asked = [(k, "containing", "a", None, None, None, 40000 + rng.random() * 2500, None) for k in range(1500)] + [(-1, "containing", "a", None, None, None, float("nan"), None)]
+    want = sorted((q, s) for q, *_, p, _ in asked for _, s, low, high in sheets if low <= p and not p > high)  # no number is above all
+    df = lambda rows, schema: spark.createDataFrame(rows, schema)
+    book = Lookups(df([], "line string, key long, pos double"), df(sheets, "line string, sheet long, low double, high double"), spark.range(1))
+    q = df(asked, "qid long, kind string, line string, key long, low double, high double, pos double, sheet long")
+    was, lookup.DEALT = lookup.DEALT, 50
+    try:
+        assert shuffled(lambda: book.answer_all(q).write.parquet(f"{tmp_path}/out")) < 4 * (len(sheets) + len(asked))
+        assert book.answer_all(q.where("false")).count() == 0
+    finally:
+        lookup.DEALT = was
+    found = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted((r.qid, r.sheet) for r in found.collect()) == want
