@@ -105,7 +105,8 @@ def containing_many(probes: DataFrame, intervals: DataFrame, line: str, pos: str
     full = (F.col("_bin") > F.col("_first")) & (F.col("_bin") < F.col("_last"))
     cut = cut.withColumns({c: F.when(~full, F.col(c)) for c in (low, high)}).drop("_first", "_last")
     cut, at = cut.repartition(tasks, line, "_bin"), at.repartition(tasks, line, "_bin")
-    return cut.join(at, [line, "_bin"]).where(F.col(low).isNull() | F.col(pos).between(F.col(low), F.col(high))).drop("_bin", pos, low, high)
+    # a merge goes along its left side
+    return cut.join(at.hint("merge"), [line, "_bin"]).where(F.col(low).isNull() | F.col(pos).between(F.col(low), F.col(high))).drop("_bin", pos, low, high)
 
 
 def within(left: DataFrame, right: DataFrame, line: str, pos: str, other: str, radius: float) -> DataFrame:
